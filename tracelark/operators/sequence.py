@@ -31,11 +31,15 @@ LINKS = ("event_sequence", "next_activity", "next_ts", "is_end")
 STORED_ORDER = ("event_ts", "event_sequence")
 
 
-def long_cases(events: DataFrame, threshold: int = HOT_CASE_ROWS) -> list[Row]:
-    """(case_id, n) of the longest cases above the threshold; usually empty."""
+def long_cases(cases: DataFrame, threshold: int = HOT_CASE_ROWS) -> list[Row]:
+    """(case_id, n) of the longest cases above the threshold; usually empty.
+
+    ``cases`` has one row per event, or per ``weight`` events.
+    """
+    size = F.sum("weight") if "weight" in cases.columns else F.count("*")
     return (
-        events.groupBy(CASE)
-        .agg(F.count("*").alias("n"))
+        cases.groupBy(CASE)
+        .agg(size.alias("n"))
         .where(F.col("n") > threshold)
         .orderBy(F.desc("n"), CASE)
         .limit(HOT_CASE_LIMIT)
@@ -55,9 +59,9 @@ def link_events(
     ``order`` is ascending with nulls first and should be total; a log ordered
     by ``event_sequence`` keeps the numbers it has.  ``dims`` has one row per
     case and is left-joined after the window, whose partitioning and order the
-    join then reuses.  ``probe`` is any frame with the same case
-    ids that is cheaper to count than ``events``; ``hot_rows=None`` skips the
-    count.
+    join then reuses.  ``probe`` stands in for
+    ``events`` when cases are counted, see ``long_cases``; it may count too
+    much, not too little.  ``hot_rows=None`` skips the count.
     """
     kept = events.drop(*[name for name in LINKS if name not in order and name in events.columns])
     hot = long_cases(probe if probe is not None else events, hot_rows) if hot_rows else []

@@ -222,14 +222,14 @@ def tender_events(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("event_log")
 def event_log(spark: SparkSession, folder: str) -> DataFrame:
-    log = logs.order_log(spark, folder)
+    log = logs.order_log(spark, folder, dims=False)
     return log.select("case_id", "activity_name", "event_ts", "activity_category", "event_sequence")
 
 
 @query("event_log_attrs")
 def event_log_attrs(spark: SparkSession, folder: str) -> DataFrame:
     attributes = F.col("event_attributes")
-    return logs.order_log(spark, folder).select(
+    return logs.order_log(spark, folder, dims=False).select(
         "case_id",
         "event_sequence",
         "activity_name",
@@ -239,7 +239,7 @@ def event_log_attrs(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("retail_event_log")
 def retail_event_log(spark: SparkSession, folder: str) -> DataFrame:
-    log = retail.retail_tables(spark, folder).log()
+    log = retail.retail_log(spark, folder)
     names = [name for name in LOG_COLUMNS if name != "event_attributes"]
     return log.select(*names, F.col("event_attributes")["line_id"].alias("line_id"), "store_id", "channel")
 
@@ -290,7 +290,7 @@ def dfg_edges_milli(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("retail_dfg_edges")
 def retail_dfg_edges(spark: SparkSession, folder: str) -> DataFrame:
-    return dfg.dfg_edges(retail.retail_tables(spark, folder).log())
+    return dfg.dfg_edges(retail.retail_log(spark, folder))
 
 
 @query("start_activities")
@@ -327,12 +327,12 @@ def dfg_nodes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("retail_dfg_nodes")
 def retail_dfg_nodes(spark: SparkSession, folder: str) -> DataFrame:
-    return dfg.dfg_nodes(retail.retail_tables(spark, folder).log())
+    return dfg.dfg_nodes(retail.retail_log(spark, folder))
 
 
 @query("retail_dfg_nodes_paired")
 def retail_dfg_nodes_paired(spark: SparkSession, folder: str) -> DataFrame:
-    log = retail.retail_tables(spark, folder).log()
+    log = retail.retail_log(spark, folder)
     return dfg.dfg_nodes(log, precision="milli", pair_by=F.col("event_attributes")["incident_id"])
 
 
@@ -421,16 +421,20 @@ def node_rollup_exact(spark: SparkSession, folder: str) -> DataFrame:
 # --- graph views ------------------------------------------------------------
 
 
+def _subgraph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    log = logs.stored_order_log(spark, folder)
+    nodes, edges = rollup.node_rollup(dfg.dfg_nodes(log)), rollup.edge_rollup(dfg.dfg_edges(log))
+    return graph.dfg_subgraph(nodes, edges, MIN_FREQUENCY)
+
+
 @query("dfg_subgraph_nodes")
 def dfg_subgraph_nodes(spark: SparkSession, folder: str) -> DataFrame:
-    nodes, _ = graph.dfg_subgraph(_node_totals(spark, folder), _edge_totals(spark, folder), MIN_FREQUENCY)
-    return nodes
+    return _subgraph(spark, folder)[0]
 
 
 @query("dfg_subgraph_edges")
 def dfg_subgraph_edges(spark: SparkSession, folder: str) -> DataFrame:
-    _, edges = graph.dfg_subgraph(_node_totals(spark, folder), _edge_totals(spark, folder), MIN_FREQUENCY)
-    return edges
+    return _subgraph(spark, folder)[1]
 
 
 @query("self_loops")
@@ -470,7 +474,8 @@ def dim_values(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("graph_summary")
 def graph_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return graph.graph_summary(_nodes(spark, folder), _edges(spark, folder))
+    log = logs.stored_order_log(spark, folder)
+    return graph.graph_summary(dfg.dfg_nodes(log), dfg.dfg_edges(log))
 
 
 @query("freq_steps")
@@ -493,12 +498,12 @@ def label_format(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("variants_top")
 def variants_top(spark: SparkSession, folder: str) -> DataFrame:
-    return variants.top_variants(logs.click_log(spark, folder))
+    return variants.top_variants(logs.click_log(spark, folder, dims=False))
 
 
 @query("variants_top_orders")
 def variants_top_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return variants.top_variants(logs.order_log(spark, folder), k=25)
+    return variants.top_variants(logs.order_log(spark, folder, dims=False), k=25)
 
 
 # --- checks -----------------------------------------------------------------
@@ -506,7 +511,7 @@ def variants_top_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("v1_order")
 def v1_order(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.order_violations(logs.order_log(spark, folder).select("case_id", "activity_name", "event_ts", "event_sequence"))
+    return checks.order_violations(logs.stored_order_log(spark, folder))
 
 
 @query("v1_order_wrong")
@@ -523,17 +528,19 @@ def v1_order_wrong(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("v2_labels")
 def v2_labels(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.label_counts(logs.order_log(spark, folder))
+    return checks.label_counts(logs.order_log(spark, folder, dims=False))
 
 
 @query("v3_edges")
 def v3_edges(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.edge_reconciliation(logs.order_log(spark, folder), _edges(spark, folder))
+    log = logs.stored_order_log(spark, folder)
+    return checks.edge_reconciliation(log, dfg.dfg_edges(log))
 
 
 @query("v4_starts_ends")
 def v4_starts_ends(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.start_end_totals(logs.order_log(spark, folder), _nodes(spark, folder))
+    log = logs.stored_order_log(spark, folder)
+    return checks.start_end_totals(log, dfg.dfg_nodes(log))
 
 
 @query("v5_dims")

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.dedup import drop_copies
 from ..operators.event_log import Event, EventSource, linked_log
-from ..sources.tables import read_table
+from ..session import fresh_dir
+from ..sources.tables import overwrite_table, read_table
 
 CLICK_RANKS = {"CLICK": 0}
 ORDER_RANKS = {"ORDER": 0, "LINE": 1, "RETURN": 2, "PAYMENT": 3}
@@ -97,10 +98,11 @@ def order_sources(spark: SparkSession, folder: str, payments: bool = True) -> li
     )
     order_key = F.col("o_orderkey")
     no_key = F.lit("")
+    all_lines = read_table(spark, folder, "lineitem")
     return [
         EventSource(orders, order_key, no_key, [placed, paid] if payments else [placed]),
-        EventSource(shipped_orders, order_key, no_key, [closed]),
-        EventSource(lines, F.col("l_orderkey"), number, [moved, raised, resolved]),
+        EventSource(shipped_orders, order_key, no_key, [closed], count_in=orders),
+        EventSource(lines, F.col("l_orderkey"), number, [moved, raised, resolved], count_in=all_lines),
     ]
 
 
@@ -112,9 +114,17 @@ def order_dims(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def click_log(spark: SparkSession, folder: str, by: str = "day") -> DataFrame:
-    return linked_log(click_sources(spark, folder, by), CLICK_RANKS, click_dims(spark, folder, by))
+def click_log(spark: SparkSession, folder: str, by: str = "day", dims: bool = True) -> DataFrame:
+    places = click_dims(spark, folder, by) if dims else None
+    return linked_log(click_sources(spark, folder, by), CLICK_RANKS, places)
 
 
-def order_log(spark: SparkSession, folder: str) -> DataFrame:
-    return linked_log(order_sources(spark, folder), ORDER_RANKS, order_dims(spark, folder))
+def order_log(spark: SparkSession, folder: str, dims: bool = True) -> DataFrame:
+    places = order_dims(spark, folder) if dims else None
+    return linked_log(order_sources(spark, folder), ORDER_RANKS, places)
+
+
+def stored_order_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The order log, without attributes, written once for queries that use it several times."""
+    log = order_log(spark, folder).drop("event_attributes", "resource_id")
+    return overwrite_table(log, fresh_dir(spark, "order-log"))

@@ -8,15 +8,16 @@ grows with the number of lines of its order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.event_log import linked_log
 from ..operators.retail import CATEGORY_RANKS, case_dimensions, retail_sources
+from ..session import fresh_dir
 from ..sources.documents import explode_incidents, explode_items, explode_tender, parse_headers
 from ..sources.raw import add_ingest_columns
-from ..sources.tables import read_table
+from ..sources.tables import overwrite_table, read_table
 from .logs import order_lines
 
 BLOCK = 4
@@ -169,4 +170,13 @@ def typed_tables(raw: DataFrame, **options) -> RetailTables:
 
 
 def retail_tables(spark: SparkSession, folder: str) -> RetailTables:
-    return typed_tables(retail_raw(spark, folder))
+    """Typed tables over the documents, which are written once as a raw table."""
+    return typed_tables(overwrite_table(retail_raw(spark, folder), fresh_dir(spark, "retail-raw")))
+
+
+def retail_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The linked retail log over stored typed tables."""
+    parsed = retail_tables(spark, folder)
+    root = fresh_dir(spark, "retail-typed")
+    stored = {f.name: overwrite_table(getattr(parsed, f.name), f"{root}/{f.name}") for f in fields(RetailTables)}
+    return RetailTables(**stored).log()

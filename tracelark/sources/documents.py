@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.dedup import drop_copies, drop_stream_copies
 
@@ -93,9 +93,8 @@ def explode_tender(raw: DataFrame, **options) -> DataFrame:
 
 
 def _once_per_key(rows: DataFrame, keys: Sequence[str], scope: str) -> DataFrame:
-    """Streams keep the first arrival; batches keep the earliest ingested copy."""
+    """Streams keep the first arrival; batches the earliest ingested copy, then by content hash."""
     if rows.isStreaming:
         return drop_stream_copies(rows, keys, "ingest_ts", WATERMARK, scope)
-    order: list[Column] = [F.col("ingest_ts")]
-    order += [F.col(name) for name in rows.columns if name not in keys and name != "ingest_ts"]
-    return drop_copies(rows, keys, order)
+    rest = [name for name in rows.columns if name not in keys and name != "ingest_ts"]
+    return drop_copies(rows, keys, ["ingest_ts", F.xxhash64(*rest)])
