@@ -142,16 +142,18 @@ def test_edges_and_spans_from_both_plans(frame, events):
 def test_variants_by_hand(spark):
     rng = random.Random(3)
     rows = [
-        (f"c{case:02d}", rng.choice("AB"), START + dt.timedelta(seconds=i), 0, str(i))
+        (f"c{case:02d}" if case else None, rng.choice("AB"), START + dt.timedelta(seconds=i), 0, str(i))
         for case in range(40)
         for i in range(rng.randrange(1, 4))
     ]
     counted = {}
-    for case in sorted({r[0] for r in rows}):
+    rows += [(None, "ONLY", START + dt.timedelta(seconds=9), 0, "9")]
+    for case in sorted({r[0] for r in rows}, key=str):
         variant = " → ".join(r[1] for r in rows if r[0] == case)
         counted.setdefault(variant, []).append(case)
-    expected = sorted(((len(c), c[0], v) for v, c in counted.items()), key=lambda x: (-x[0], x[1]))[:5]
+    expected = sorted(((len(c), c[0] or "", v) for v, c in counted.items()), key=lambda x: (-x[0], x[1]))
     linked = link_events(spark.createDataFrame(rows, SCHEMA), ORDER, hot_rows=None)
-    got = variants.top_variants(linked, k=5).collect()
+    got = variants.top_variants(linked, k=50).collect()
     assert [(r.case_count, r.variant) for r in got] == [(n, v) for n, _, v in expected]
+    assert [r.variant for r in variants.top_variants(linked, k=3).collect()] == [v for _, _, v in expected[:3]]
     assert variants.top_variants(linked.where("false")).count() == 0

@@ -31,20 +31,21 @@ def top_variants(linked: DataFrame, k: int = 10, separator: str = SEPARATOR) ->
     """The k most frequent variants, written out; ties go to the smaller first case.
 
     The k winners (that many rows reach the driver) name one case each; only
-    those cases are read again to spell the labels.
+    those cases are read again to spell the labels.  A variant is one string,
+    so a winner's own events do come together, and nothing else does.
     """
     ranking = variant_counts(linked).orderBy(F.desc("case_count"), "first_case").limit(k)
     winners = ranking.select("first_case", "case_count")
     best = linked.sparkSession.createDataFrame(winners.collect(), winners.schema)
-    cases = F.broadcast(best.select(F.col("first_case").alias("case_id")))
+    cases = F.broadcast(best.select("first_case"))
     steps = (
-        linked.join(cases, "case_id", "left_semi")
+        linked.join(cases, linked["case_id"].eqNullSafe(cases["first_case"]), "left_semi")
         .groupBy("case_id")
         .agg(F.array_sort(F.collect_list(F.struct("event_sequence", "activity_name"))).alias("steps"))
     )
     spelled = steps.select("case_id", F.array_join(F.col("steps.activity_name"), separator).alias("variant"))
     return (
-        spelled.join(F.broadcast(best), F.col("case_id") == F.col("first_case"))
+        spelled.join(F.broadcast(best), F.col("case_id").eqNullSafe(F.col("first_case")))
         .orderBy(F.desc("case_count"), "first_case")
         .select("variant", "case_count")
     )

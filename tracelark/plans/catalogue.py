@@ -17,7 +17,7 @@ from ..operators.dedup import drop_stream_copies
 from ..operators.event_log import LOG_COLUMNS, source_events, stream_events
 from ..operators.quality import Rule
 from ..session import fresh_dir, prepare
-from ..sources.raw import add_ingest_columns, raw_line_stream
+from ..sources.raw import add_ingest_columns, raw_line_stream, unique_records
 from ..sources.tables import overwrite_graph_table, read_table, stream_table, write_ndjson
 from ..streaming import Pipeline, run_available, run_to_folder
 from . import logs, retail
@@ -84,6 +84,13 @@ def raw_ingest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("unique_records")
+def unique(spark: SparkSession, folder: str) -> DataFrame:
+    """The properties of all events as raw lines, each text once."""
+    texts = read_table(spark, folder, "events").select(F.col("props").alias("raw_json"))
+    return unique_records(add_ingest_columns(texts)).select("raw_json", "record_hash")
+
+
 @query("parse_headers")
 def parse_headers(spark: SparkSession, folder: str) -> DataFrame:
     return retail.retail_tables(spark, folder).transactions.drop("ingest_ts", "record_hash")

@@ -382,6 +382,7 @@ def all_sql() -> dict[str, str]:
         "raw_ingest": f"""SELECT raw_json, 'POS_SYSTEM' AS source_system, sha256(raw_json) AS record_hash,
             true AS has_path, true AS file_before_ingest, true AS has_batch FROM (SELECT {payload} AS raw_json FROM orders)""",
         "parse_headers": _with(_tables("transactions"), f"SELECT {header_columns} FROM transactions"),
+        "unique_records": "SELECT DISTINCT props AS raw_json, sha256(props) AS record_hash FROM events",
         "parse_props": "SELECT event_id, json_extract(props, '$.k')::bigint AS k FROM events",
         "explode_items": _with(_tables("items"), "SELECT * EXCLUDE (l_partkey, l_suppkey, l_linenumber) FROM items"),
         "explode_incidents": _with(_tables("incidents"), "SELECT * FROM incidents"),

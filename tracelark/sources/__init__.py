@@ -7,7 +7,7 @@ from .documents import (
     explode_tender,
     parse_headers,
 )
-from .raw import add_ingest_columns, raw_line_stream, raw_lines, source_path
+from .raw import add_ingest_columns, raw_line_stream, raw_lines, source_path, unique_records
 from .tables import (
     ensure_database,
     overwrite_graph_table,
@@ -32,5 +32,6 @@ __all__ = [
     "read_table",
     "source_path",
     "stream_table",
+    "unique_records",
     "write_ndjson",
 ]

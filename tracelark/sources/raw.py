@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.dedup import drop_copies, drop_stream_copies
+
 # Fixed values
 PATH_SETTING = "pos.source_volume_path"
 SOURCE_SYSTEM = "POS_SYSTEM"
@@ -61,3 +63,10 @@ def add_ingest_columns(
         F.to_date(clock).alias("ingest_date"),
         *[F.col(name) if name in lines.columns else empty.alias(name) for name, empty in provenance.items()],
     )
+
+
+def unique_records(raw: DataFrame, scope: str = "forever", delay: str = "1 hour") -> DataFrame:
+    """One row per ``record_hash``: drops lines that were delivered again word for word."""
+    if raw.isStreaming:
+        return drop_stream_copies(raw, ["record_hash"], "ingest_ts", delay, scope)
+    return drop_copies(raw, ["record_hash"], ["ingest_ts", "source_file_path"])
