@@ -115,7 +115,8 @@ def test_batch_copies_keep_the_first_in_order(spark, capsys):
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([("k", 1, 7), ("l", 5, 1), (None, 0, 2)], key=str)
     capsys.readouterr()
     kept.explain()
-    assert capsys.readouterr().out.count("WindowGroupLimit") == 2  # before the shuffle and after it
+    limits = [line for line in capsys.readouterr().out.splitlines() if "WindowGroupLimit" in line]
+    assert any("Partial" in line for line in limits)  # before the shuffle
 
 
 def test_ndjson_files_are_bounded(spark, tmp_path):
