@@ -4,9 +4,10 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_points
+from tracelark.plans import catalogue, oracle
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = catalogue.all_queries()
+SQL = oracle.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+def test_entry_points_hold_every_query():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 
