@@ -27,7 +27,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 #: Lower-cases A-Z only, as the queries ask for.
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-SPACED_WORDS = f"list_filter(regexp_split_to_array({LOWERED}, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
+SPACED_WORDS = f"list_filter(regexp_split_to_array({LOWERED}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
 
 @query(
@@ -38,7 +38,7 @@ SPACED_WORDS = f"list_filter(regexp_split_to_array({LOWERED}, '[\\x20\\x09-\\x0D
         SELECT DISTINCT doc_id, unnest(CASE
             WHEN len(w) = 0 THEN []::VARCHAR[]
             WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-            ELSE list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+            ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
         END) AS run FROM words
     ),
     sizes AS (SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id),
