@@ -64,3 +64,12 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
     found = near_duplicates(table(spark, folder, "documents"), width=3, similarity=0.85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op9_pack_mixture")
+def op9_pack_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack
+
+    return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
