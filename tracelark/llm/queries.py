@@ -73,3 +73,10 @@ def op9_pack_mixture(spark: SparkSession, folder: str) -> DataFrame:
     from .packing import pack
 
     return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op8_fingerprint_edits")
+def op8_fingerprint_edits(spark: SparkSession, folder: str) -> DataFrame:
+    from .fingerprint import fingerprints_of_edits
+
+    return fingerprints_of_edits(table(spark, folder, "documents"))
