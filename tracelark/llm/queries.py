@@ -80,3 +80,30 @@ def op8_fingerprint_edits(spark: SparkSession, folder: str) -> DataFrame:
     from .fingerprint import fingerprints_of_edits
 
     return fingerprints_of_edits(table(spark, folder, "documents"))
+
+
+_ALNUM_WORDS = f"list_filter(regexp_split_to_array({LOWERED}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+_FIVE_WORDS = (
+    "CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] "
+    "ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END"
+)
+
+
+@query(
+    "op3_benchmark_leaks",
+    f"""
+    WITH document_words AS (SELECT doc_id, {_ALNUM_WORDS} AS w FROM documents),
+    item_words AS (SELECT item_id, {_ALNUM_WORDS} AS w FROM benchmark),
+    item_runs AS (SELECT DISTINCT item_id, unnest({_FIVE_WORDS}) AS run FROM item_words),
+    sizes AS (SELECT item_id, count(*) AS n_item FROM item_runs GROUP BY item_id),
+    document_runs AS (SELECT DISTINCT doc_id, unnest({_FIVE_WORDS}) AS run FROM document_words),
+    shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM item_runs JOIN document_runs USING (run) GROUP BY doc_id, item_id)
+    SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
+    FROM shared JOIN sizes USING (item_id) WHERE n_shared * 5 >= n_item * 4
+    """,
+)
+def op3_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    from .decontaminate import contained_items
+
+    found = contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item", "n_shared", "containment")
