@@ -107,3 +107,11 @@ def op3_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
 
     found = contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", "n_item", "n_shared", "containment")
+
+
+@query("op2_disclosing_terms")
+def op2_disclosing_terms(spark: SparkSession, folder: str) -> DataFrame:
+    from .pii import KINDS, spans_of
+
+    found = spans_of(table(spark, folder, "documents"))
+    return found.select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans")
