@@ -115,3 +115,13 @@ def op2_disclosing_terms(spark: SparkSession, folder: str) -> DataFrame:
 
     found = spans_of(table(spark, folder, "documents"))
     return found.select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans")
+
+
+@query("op5_language_field")
+def op5_language_field(spark: SparkSession, folder: str) -> DataFrame:
+    from .language import predict, train
+    from .tables import held_out
+
+    docs = table(spark, folder, "documents")
+    found = predict(docs, train(docs))
+    return found.select("doc_id", held_out(5).alias("held_out"), "lang_pred", "score")

@@ -90,14 +90,21 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, ends_word: np.ndarray = SP
     return start, np.flatnonzero(last) + 1, np.searchsorted(start, offsets)
 
 
+class SpanHasher:
+    """64-bit hashes of any spans of the same bytes."""
+
+    def __init__(self, data: np.ndarray):
+        up, self.down = _powers(max(CHUNK, 1 << int(len(data)).bit_length()))
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=self.sums[1:])
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word's bytes."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    up, down = _powers(max(CHUNK, 1 << int(len(data)).bit_length()))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    return SpanHasher(data)(start, end) if len(start) else np.zeros(0, np.uint64)
 
 
 _STEPS = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
