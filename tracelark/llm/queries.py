@@ -125,3 +125,13 @@ def op5_language_field(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = predict(docs, train(docs))
     return found.select("doc_id", held_out(5).alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_context_tree")
+def op6_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    from .contexttree import scored
+    from .tables import held_out
+
+    found = scored(table(spark, folder, "documents"))
+    columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return found.select("doc_id", held_out(10).alias("held_out"), *columns)
