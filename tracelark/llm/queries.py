@@ -135,3 +135,17 @@ def op6_context_tree(spark: SparkSession, folder: str) -> DataFrame:
     found = scored(table(spark, folder, "documents"))
     columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     return found.select("doc_id", held_out(10).alias("held_out"), *columns)
+
+
+@query("op4_toxicity_pu")
+def op4_toxicity_pu(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .tables import held_out
+    from .toxicity import predict, train
+
+    docs = table(spark, folder, "documents")
+    found = predict(docs, train(docs, table(spark, folder, "labels")))
+    return found.select(
+        "doc_id", held_out(5).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    )
