@@ -149,3 +149,60 @@ def op4_toxicity_pu(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", held_out(5).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
     )
+
+
+@query("op1_license_index")
+def op1_license_index(spark: SparkSession, folder: str) -> DataFrame:
+    from .licenses import scanned
+
+    return scanned(table(spark, folder, "documents"))
+
+
+def _chat_sql() -> str:
+    from .chat import ASSISTANT_CLOSE, MARKS, NEXT, OTHER_CLOSE, OTHER_OPEN, OTHER_TEXT, START, USER_CLOSE, USER_OPEN
+
+    def extra(column: str) -> str:
+        """Characters that escaping adds."""
+        counts = [f"length({column}) - length(replace({column}, '\\', ''))"]
+        counts += [f"(length({column}) - length(replace({column}, '{m}', ''))) // {len(m)}" for m in MARKS]
+        return " + ".join(counts)
+
+    role = f"length(role) + {extra('role')}"
+    return f"""
+    WITH turns AS (
+        SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+        UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+    ),
+    marked AS (
+        SELECT *, coalesce(lag(role) OVER w = role, FALSE) AS more, coalesce(lead(role) OVER w = role, FALSE) AS goes_on
+        FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+    ),
+    sized AS (
+        SELECT *, length(text) + {extra('text')}
+            + CASE WHEN more THEN {len(NEXT)} WHEN role = 'user' THEN {len(USER_OPEN)} WHEN role = 'assistant' THEN 0
+                   ELSE {len(OTHER_OPEN) + len(OTHER_TEXT)} + {role} END
+            + CASE WHEN goes_on THEN 0 WHEN role = 'user' THEN {len(USER_CLOSE)}
+                   WHEN role = 'assistant' THEN {len(ASSISTANT_CLOSE)} ELSE {len(OTHER_CLOSE)} END AS chars,
+            CASE WHEN role = 'assistant' THEN text ELSE '' END AS trained
+        FROM marked
+    )
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        sum(length(trained))::BIGINT AS loss_chars,
+        sha256(string_agg(trained, '' ORDER BY turn, role, text)) AS loss_sha256,
+        ({len(START)} + sum(chars))::BIGINT AS formatted_chars
+    FROM sized GROUP BY conv_id
+    """
+
+
+@query("op7_chat_turns", _chat_sql())
+def op7_chat_turns(spark: SparkSession, folder: str) -> DataFrame:
+    from .chat import formatted_conversations, read_back
+
+    own = spark.sql(
+        "SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') "
+        "AS t(conv_id, turn, role, text)"
+    )
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return read_back(formatted_conversations(turns))
