@@ -11,8 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from .components import connected_components
-from .neardup import _confirmed, _other_pairs, _star_pairs, full_sets
+from .neardup import components_of, full_sets
 from .tables import TEXT_HASH, document_texts, text_hash, written
 from .textops import CHUNK, chunks, shingle_hashes, text_array, word_hashes, word_spans
 
@@ -98,12 +97,7 @@ def similar_fingerprints(docs: DataFrame, width: int = 5, similarity: float = 0.
     shared = keyed.join(common, "v")
     centre = shared.groupBy("node").agg(F.sum(F.log("df")).alias("centre"))
     postings = written(shared.drop("df").join(centre, "node"), "postings")
-    tried = written(_star_pairs(postings, similarity), "stars")
-    links = written(_confirmed(tried, sets, similarity), "links")
-    roots = written(connected_components(links), "roots")
-    more = written(_confirmed(_other_pairs(postings, roots, sets, tried, similarity), sets, similarity), "links")
-    if more.take(1):
-        roots = written(connected_components(links.union(more)), "roots")
+    roots = components_of(postings, sets, similarity)
     placed = nodes.join(roots, "node", "left").select(TEXT_HASH, F.coalesce("root", "node").alias("root"), "doc_id")
     classes = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     named = placed.join(classes, "root").select(TEXT_HASH, "class_id").distinct()
@@ -140,7 +134,8 @@ def fingerprints_of_edits(docs: DataFrame, width: int = 5, slices: int | None =
     count = slices or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     plain = document_texts(docs).withColumn("place", F.coalesce("doc_id", F.lit(-(2**63)).cast("bigint")))
     places = plain.select("place")
-    splits = np.array(sorted(set(places.stat.approxQuantile("place", [i / count for i in range(1, count)], 0.25 / count))))
+    shares = [i / count for i in range(1, count)]
+    splits = np.array(sorted(set(places.stat.approxQuantile("place", shares, 0.25 / count) if shares else [])))
 
     @F.pandas_udf(T.IntegerType())
     def slice_of(place):
