@@ -57,7 +57,8 @@ def test_node_rollup_counts_missing_durations_as_zero(nodes):
     approx = {r.activity_name: r for r in rollup.node_rollup(nodes).collect()}
     assert set(approx) == {"A", "B", "C"}  # no category, no row
     assert (approx["A"].occurrence_count, approx["A"].avg_activity_duration_ms) == (111, 30.0)
-    weighted = {r.activity_name: r for r in rollup.node_rollup(nodes, "weighted").collect()}
+    counted = nodes.withColumn("duration_pairs", nodes.occurrence_count)
+    weighted = {r.activity_name: r for r in rollup.node_rollup(counted, "weighted").collect()}
     assert weighted["A"].avg_activity_duration_ms == 60.0 and weighted["B"].avg_activity_duration_ms is None
 
 
@@ -168,3 +169,28 @@ def test_database(spark):
     ensure_database(spark, "tracelark_test")
     assert spark.catalog.databaseExists("tracelark_test")
     spark.sql("DROP DATABASE tracelark_test")
+
+
+def test_steps_go_up_to_the_largest_frequency(spark):
+    edges = spark.createDataFrame([(1,), (5_000_000,), (2**40,), (0,)], "edge_frequency bigint")
+    found = {r.step: r.edges_kept for r in graph.frequency_steps(edges).collect()}
+    assert max(found) == 2**40 and found[0] == 4 and found[1] == 3 and found[2**22] == 2 and found[2**23] == 1 and len(found) == 42
+
+
+def test_exact_percentiles_of_many_durations(spark):
+    from pyspark.sql import functions as F
+
+    from tracelark.operators import dfg
+
+    events = spark.range(1_000_000).select(
+        F.col("id").alias("case_id"),
+        F.lit("A").alias("activity_name"),
+        F.lit("B").alias("next_activity"),
+        F.timestamp_seconds(F.lit(0)).alias("event_ts"),
+        F.timestamp_seconds("id").alias("next_ts"),
+    )
+    row = rollup.exact_edge_rollup(events).first()
+    assert (row.p50_transition_duration_ms, row.p95_transition_duration_ms) == (499_999_000, 949_999_000)
+    observed = spark.createDataFrame([("e", d) for d in (None, 5, 5, 7, 9)] + [("f", 3), (None, 8)], "edge string, duration_ms bigint")
+    found = {r.edge: (r.p50_transition_duration_ms, r.p95_transition_duration_ms) for r in dfg._exact_percentiles(observed, ["edge"]).collect()}
+    assert found == {"e": (5, 9), "f": (3, 3), None: (8, 8)}

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracelark.operators import checks, dfg, variants
+from tracelark.operators import sequence
 from tracelark.operators.sequence import link_events, long_cases
 
 START = dt.datetime(2024, 1, 1)
@@ -65,9 +66,22 @@ def test_both_plans_number_alike(frame, events, hot_rows):
 
 def test_only_long_cases_take_the_range_plan(frame, events):
     hot = sum(e[0] == "hot" for e in events)
-    assert [(r.case_id, r.n) for r in long_cases(frame, 100)] == [("hot", hot)]
+    assert [(r.case_id, r.n) for r in long_cases(frame, 100).collect()] == [("hot", hot)]
     weighted = frame.select("case_id", F.lit(2).alias("weight"))
-    assert long_cases(weighted, 100)[0].n == 2 * hot
+    assert max(r.n for r in long_cases(weighted, 100).collect()) == 2 * hot
+
+
+@pytest.mark.parametrize("bound", [10, 100_000])
+def test_any_number_of_long_cases_takes_the_range_plan(spark, monkeypatch, bound):
+    """Whether their keys are broadcast or shuffled; the plain window is left with the short case only."""
+    monkeypatch.setattr(sequence, "BROADCAST_ROWS", bound)
+    plain = []
+    by_case = sequence._by_case
+    monkeypatch.setattr(sequence, "_by_case", lambda events, order: (plain.append(events), by_case(events, order))[1])
+    rows = [(f"c{c}", f"A{i}", START, 0, f"{i:04d}") for c in range(1200) for i in range(4)] + [("short", "A", START, 0, "0")]
+    found = linked_rows(link_events(spark.createDataFrame(rows, SCHEMA), ORDER, hot_rows=3))
+    assert found == by_hand(rows)
+    assert [r.case_id for r in plain[0].select("case_id").collect()] == ["short"]
 
 
 def test_a_case_of_equal_times_is_split_too(spark):

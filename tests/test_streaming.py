@@ -77,25 +77,42 @@ BATCHES = [
 ]
 
 
-@pytest.mark.parametrize("collapse", [False, True])
-def test_forever_remembers_every_key(spark, collapse):
+def test_forever_remembers_every_key(spark):
     root = fresh_dir(spark, "forever")
     stream = stream_of(spark, f"{root}/in", BATCHES)
-    got = run(spark, drop_stream_copies(stream, ["key"], "ts", "1 hour", "forever", collapse), root)
+    got = run(spark, drop_stream_copies(stream, ["key"], "ts", "1 hour", "forever"), root)
     assert [r[0] for r in got] == ["a", "b", "c", "d"]
 
 
-@pytest.mark.parametrize("collapse", [False, True])
-def test_watermark_scope_forgets(spark, collapse):
+def test_watermark_scope_forgets(spark):
     root = fresh_dir(spark, "watermark")
     stream = stream_of(spark, f"{root}/in", BATCHES)
-    got = run(spark, drop_stream_copies(stream, ["key"], "ts", "1 hour", "watermark", collapse), root)
+    got = run(spark, drop_stream_copies(stream, ["key"], "ts", "1 hour", "watermark"), root)
     assert [r[0] for r in got] == ["a", "b", "c", "d", "a"]
 
 
-def test_collapse_keeps_a_row_that_is_not_late(spark):
-    """A late copy must not shadow one in time from the same batch."""
-    root = fresh_dir(spark, "collapse")
+@pytest.mark.parametrize("scope", ["forever", "watermark"])
+@pytest.mark.parametrize("size", [1, 2, 10_000])
+def test_the_first_arrival_stays_whatever_the_batch_size(spark, scope, size):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    try:
+        root = fresh_dir(spark, "arrival")
+        stream = stream_of(spark, f"{root}/in", [[("k", at(i), i) for i in (3, 1, 4, 2)]])
+        assert [r[2] for r in run(spark, drop_stream_copies(stream, ["key"], "ts", "1 hour", scope), root)] == [3]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_state_is_kept_in_rocksdb(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    root = fresh_dir(spark, "rocksdb")
+    run(spark, drop_stream_copies(stream_of(spark, f"{root}/in", BATCHES[:1]), ["key"], "ts", "1 hour"), root)
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_a_late_copy_does_not_shadow_one_in_time(spark):
+    root = fresh_dir(spark, "late")
     batches = [[("x", at(600), 1)], [("y", at(601), 2)], [("k", at(0), 3), ("k", at(602), 4)]]
     stream = stream_of(spark, f"{root}/in", batches)
     got = run(spark, drop_stream_copies(stream, ["key"], "ts", "1 hour"), root)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -26,39 +26,18 @@ def drop_stream_copies(
     time_column: str,
     delay: str,
     scope: str = "forever",
-    collapse: bool = True,
 ) -> DataFrame:
     """Keep the first arrival of each key in a stream.
 
     ``forever`` remembers every key, ``watermark`` only those still inside the
     delay, with bounded state.  Rows older than the watermark are dropped as
-    late in both.  ``collapse`` removes copies that share an Arrow batch before
-    the shuffle to the state store, so copies of one key do not all travel to
-    one task.
+    late in both.  This is Spark's own keyed operator: which copy stays depends
+    on the order of arrival alone, and all copies of a key in a micro-batch go
+    to that key's task.
     """
-    if collapse:
-        df = df.mapInArrow(_latest_per_key(tuple(keys), time_column), df.schema)
     marked = df.withWatermark(time_column, delay)
     if scope == "forever":
         return marked.dropDuplicates(list(keys))
     if scope == "watermark":
         return marked.dropDuplicatesWithinWatermark(list(keys))
     raise ValueError(f"scope must be one of {SCOPES}, not {scope!r}")
-
-
-def _latest_per_key(keys: tuple[str, ...], time_column: str):
-    """Per batch and key the row with the latest time, as an earlier one might be late."""
-
-    def collapse(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        for batch in batches:
-            order = pc.sort_indices(batch.column(time_column), sort_keys=[("", "descending")])
-            ranked = pa.table(batch.select(list(keys)).take(order)).append_column(
-                "_rank", pa.array(range(batch.num_rows), pa.int64())
-            )
-            best = ranked.group_by(list(keys)).aggregate([("_rank", "min")])["_rank_min"].combine_chunks()
-            yield batch if len(best) == batch.num_rows else batch.take(order.take(best))
-
-    return collapse

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import edge_id, thousands, title_label
 
 # Fixed values
-FREQUENCY_STEPS = [0] + [2**power for power in range(19)]
 WIDEST = 11
 
 
@@ -98,13 +97,18 @@ def out_degree(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("source_activity").alias("activity_name")).agg(F.count("*").alias("out_degree"))
 
 
-def successors(edges: DataFrame) -> DataFrame:
-    """Sorted names of a node and of all nodes one step after it."""
+def successor_rows(edges: DataFrame) -> DataFrame:
+    """(activity_name, successor): every node with itself and with each node one step after it, a row each."""
     names = edges.select(
         F.col("source_activity").alias("activity_name"),
         F.explode(F.array("source_activity", "target_activity")).alias("successor"),
     )
-    return names.groupBy("activity_name").agg(F.sort_array(F.collect_set("successor")).alias("successors"))
+    return names.distinct()
+
+
+def successors(edges: DataFrame) -> DataFrame:
+    """The same as one sorted list per node, for graphs whose nodes have few neighbours."""
+    return successor_rows(edges).groupBy("activity_name").agg(F.sort_array(F.collect_list("successor")).alias("successors"))
 
 
 def dim_values(nodes: DataFrame, dimension: str) -> DataFrame:
@@ -134,8 +138,9 @@ def frequency_steps(edges: DataFrame) -> DataFrame:
 
     Step 0 is there even without edges.
     """
-    steps = F.array(*[F.lit(step).cast("bigint") for step in FREQUENCY_STEPS])
-    reached = edges.select(F.explode(F.filter(steps, lambda s: s <= F.col("edge_frequency"))).alias("step"))
+    last = F.length(F.bin("edge_frequency")) - 1  # of the powers up to the frequency
+    powers = F.transform(F.sequence(F.lit(0), last), lambda p: F.pow(F.lit(2.0), p).cast("bigint"))
+    reached = edges.where("edge_frequency > 0").select(F.explode(powers).alias("step"))
     kept = reached.groupBy("step").agg(F.count("*").alias("edges_kept")).where(F.col("step") > 0)
     zero = edges.agg(F.count("*").alias("edges_kept")).select(F.lit(0).cast("bigint").alias("step"), "edges_kept")
     return zero.unionByName(kept).orderBy("step")

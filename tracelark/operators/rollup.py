@@ -1,8 +1,9 @@
 """Filtering the graph by its dimensions and rolling it up over them.
 
 ``approx`` averages the averages and percentiles of the parts as they are,
-``weighted`` weighs averages by frequency (exact for means, not for
-percentiles).  An exact roll-up goes back to the events: ``dfg_edges`` and
+``weighted`` weighs a mean by the number of values behind it (exact for means,
+not for percentiles): transitions for edges, raised/resolved pairs for nodes,
+whose table must have been built with ``pair_counts``.  An exact roll-up goes back to the events: ``dfg_edges`` and
 ``dfg_nodes`` on a filtered linked log with ``dims=()``.
 """
 
@@ -85,7 +86,7 @@ def node_rollup(nodes: DataFrame, mode: str = "approx") -> DataFrame:
     """One row per (activity, category), most frequent first."""
     _check(mode)
     numbers = numeric_or_zero(nodes, _NODE_TYPES) if mode == "approx" else nodes
-    duration = F.avg(DURATION) if mode == "approx" else _weighted(DURATION, F.col("occurrence_count"))
+    duration = F.avg(DURATION) if mode == "approx" else _weighted(DURATION, F.col("duration_pairs"))
     return (
         numbers.where(F.col("activity_name").isNotNull() & F.col("activity_category").isNotNull())
         .groupBy("activity_name", "activity_category")
@@ -95,8 +96,8 @@ def node_rollup(nodes: DataFrame, mode: str = "approx") -> DataFrame:
 
 
 def exact_edge_rollup(linked: DataFrame, stores=None, channels=None, **options) -> DataFrame:
-    """The edge roll-up recomputed from the events, percentiles and case counts included."""
-    edges = dfg_edges(filter_dimensions(linked, stores, channels), dims=(), **options)
+    """The edge roll-up recomputed from the events, with exact percentiles and case counts."""
+    edges = dfg_edges(filter_dimensions(linked, stores, channels), dims=(), accuracy=None, **options)
     return edges.orderBy(F.desc("edge_frequency"), "source_activity", "target_activity")
 
 

@@ -2,7 +2,7 @@
 
 The usual plan is one shuffle by case, one sort and one window.  A case that
 holds a large part of all events would end up in a single task, so cases are
-counted first (a map-side combined aggregate) and the few that are too long
+counted first (a map-side combined aggregate) and those that are too long
 take another way: their rows are range-partitioned on the full order, every
 range is numbered on its own, and the ranges are stitched together with one
 summary row each.
@@ -11,18 +11,16 @@ summary row each.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import shared_dir
 
 #: A case above this many events is numbered in ranges of about this size.
 HOT_CASE_ROWS = 2_000_000
-#: At most this many cases take the range plan.  They are the longest ones, so
-#: each case left out has less than 1/1000 of all rows; this also bounds what
-#: is sent to the driver and broadcast.
-HOT_CASE_LIMIT = 1_000
+#: Keys of long cases and range summaries are broadcast if they are no more rows than this, else shuffled.
+BROADCAST_ROWS = 100_000
 
 CASE = "case_id"
 LINKS = ("event_sequence", "next_activity", "next_ts", "is_end")
@@ -31,20 +29,13 @@ LINKS = ("event_sequence", "next_activity", "next_ts", "is_end")
 STORED_ORDER = ("event_ts", "event_sequence")
 
 
-def long_cases(cases: DataFrame, threshold: int = HOT_CASE_ROWS) -> list[Row]:
-    """(case_id, n) of the longest cases above the threshold; usually empty.
+def long_cases(cases: DataFrame, threshold: int = HOT_CASE_ROWS) -> DataFrame:
+    """(case_id, n) of all cases above the threshold; usually empty.
 
     ``cases`` has one row per event, or per ``weight`` events.
     """
     size = F.sum("weight") if "weight" in cases.columns else F.count("*")
-    return (
-        cases.groupBy(CASE)
-        .agg(size.alias("n"))
-        .where(F.col("n") > threshold)
-        .orderBy(F.desc("n"), CASE)
-        .limit(HOT_CASE_LIMIT)
-        .collect()
-    )
+    return cases.groupBy(CASE).agg(size.alias("n")).where(F.col("n") > threshold)
 
 
 def link_events(
@@ -64,25 +55,28 @@ def link_events(
     much, not too little.  ``hot_rows=None`` skips the count.
     """
     kept = events.drop(*[name for name in LINKS if name not in order and name in events.columns])
-    hot = long_cases(probe if probe is not None else events, hot_rows) if hot_rows else []
-    if not hot:
+    if not hot_rows:
+        return _with_dims(_by_case(kept, order), dims)
+    shared_dir(kept.sparkSession)  # checkpoint() needs the folder
+    hot = long_cases(probe if probe is not None else events, hot_rows).checkpoint()
+    found, rows = hot.agg(F.count("*"), F.sum("n")).first()
+    if not found:
         return _with_dims(_by_case(kept, order), dims)
 
-    keys = kept.sparkSession.createDataFrame([(r[CASE],) for r in hot], _key_schema(kept))
-    same_case = kept[CASE].eqNullSafe(keys[CASE])
-    short = kept.join(F.broadcast(keys), same_case, "left_anti")
-    long = kept.join(F.broadcast(keys), same_case, "left_semi")
-    ranges = max(2, math.ceil(sum(r["n"] for r in hot) / hot_rows))
-    long_dims = None
-    if dims is not None:  # one row per long case, so at most HOT_CASE_LIMIT
-        long_dims = F.broadcast(dims.join(F.broadcast(keys), CASE, "left_semi"))
-    return _with_dims(_by_case(short, order), dims).unionByName(
-        _with_dims(_by_range(long, order, ranges), long_dims)
-    )
-
+    def small(frame: DataFrame, size: int) -> DataFrame:
+        return F.broadcast(frame) if size <= BROADCAST_ROWS else frame
 
-def _key_schema(events: DataFrame):
-    return events.select(CASE).schema
+    keys = small(hot.select(CASE), found)
+    same_case = kept[CASE].eqNullSafe(hot[CASE])
+    short = kept.join(keys, same_case, "left_anti")
+    long = kept.join(keys, same_case, "left_semi")
+    ranges = max(2, math.ceil(rows / hot_rows))
+    long_dims = None
+    if dims is not None:  # one row per long case
+        long_dims = small(dims.join(keys, dims[CASE] == hot[CASE], "left_semi"), found)
+    # a case covers adjacent ranges, so there are at most ranges + cases summary rows
+    linked = _by_range(long, order, ranges, lambda summary: small(summary, ranges + found))
+    return _with_dims(_by_case(short, order), dims).unionByName(_with_dims(linked, long_dims))
 
 
 def _with_dims(linked: DataFrame, dims: DataFrame | None) -> DataFrame:
@@ -91,7 +85,7 @@ def _with_dims(linked: DataFrame, dims: DataFrame | None) -> DataFrame:
 
 def _by_case(events: DataFrame, order: Sequence[str]) -> DataFrame:
     window = Window.partitionBy(CASE).orderBy(*order)
-    number = F.col("event_sequence") if "event_sequence" in order else F.row_number().over(window)
+    number = F.col("event_sequence") if "event_sequence" in order else F.row_number().over(window).cast("bigint")
     return events.select(
         *[F.col(name) for name in events.columns if name != "event_sequence"],
         number.alias("event_sequence"),
@@ -101,9 +95,8 @@ def _by_case(events: DataFrame, order: Sequence[str]) -> DataFrame:
     )
 
 
-def _by_range(events: DataFrame, order: Sequence[str], ranges: int) -> DataFrame:
+def _by_range(events: DataFrame, order: Sequence[str], ranges: int, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The same columns for long cases, each spread over several ranges."""
-    shared_dir(events.sparkSession)  # checkpoint() needs the folder
     # The checkpoint pins the range of every row: were it recomputed, a new
     # sample could move the bounds between the two uses below.
     sliced = (
@@ -120,7 +113,6 @@ def _by_range(events: DataFrame, order: Sequence[str], ranges: int) -> DataFrame
         }
     )
 
-    # A case covers adjacent ranges, so there are at most ranges + cases rows here.
     position = [F.col(name).alias(f"_by{i}") for i, name in enumerate(order)]
     first = F.min(F.struct(*position, "activity_name", "event_ts"))
     along = Window.partitionBy("_case").orderBy("_slice")
@@ -143,8 +135,8 @@ def _by_range(events: DataFrame, order: Sequence[str], ranges: int) -> DataFrame
     def across(inner: str, outer: str) -> Column:
         return F.when(at_edge, F.col(outer)).otherwise(F.col(inner))
 
-    number = F.col("event_sequence") if "event_sequence" in order else (F.col("_before") + F.col("_row")).cast("int")
-    return numbered.join(F.broadcast(summary), match).select(
+    number = F.col("event_sequence") if "event_sequence" in order else F.col("_before") + F.col("_row")
+    return numbered.join(small(summary), match).select(
         *[F.col(name) for name in events.columns if name != "event_sequence"],
         number.alias("event_sequence"),
         across("_next_activity", "_then_activity").alias("next_activity"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 SEPARATOR = " → "
 
@@ -27,25 +27,28 @@ def variant_counts(linked: DataFrame) -> DataFrame:
     )
 
 
-def top_variants(linked: DataFrame, k: int = 10, separator: str = SEPARATOR) -> DataFrame:
-    """The k most frequent variants, written out; ties go to the smaller first case.
+def variant_steps(linked: DataFrame, k: int = 10) -> DataFrame:
+    """(rank, position, activity_name, case_count): the k most frequent variants, one row for each label.
 
-    The k winners (that many rows reach the driver) name one case each; only
-    those cases are read again to spell the labels.  A variant is one string,
-    so a winner's own events do come together, and nothing else does.
+    Ties go to the smaller first case.  A variant is read off its first case;
+    the ranking, k rows, is joined as a broadcast, so no case is gathered.
     """
-    ranking = variant_counts(linked).orderBy(F.desc("case_count"), "first_case").limit(k)
-    winners = ranking.select("first_case", "case_count")
-    best = linked.sparkSession.createDataFrame(winners.collect(), winners.schema)
-    cases = F.broadcast(best.select("first_case"))
-    steps = (
-        linked.join(cases, linked["case_id"].eqNullSafe(cases["first_case"]), "left_semi")
-        .groupBy("case_id")
-        .agg(F.array_sort(F.collect_list(F.struct("event_sequence", "activity_name"))).alias("steps"))
+    best = variant_counts(linked).orderBy(F.desc("case_count"), "first_case").limit(k).select("first_case", "case_count")
+    ranked = best.select(
+        "first_case", "case_count", F.row_number().over(Window.orderBy(F.desc("case_count"), "first_case")).alias("rank")
     )
-    spelled = steps.select("case_id", F.array_join(F.col("steps.activity_name"), separator).alias("variant"))
-    return (
-        spelled.join(F.broadcast(best), F.col("case_id").eqNullSafe(F.col("first_case")))
-        .orderBy(F.desc("case_count"), "first_case")
-        .select("variant", "case_count")
+    match = F.col("case_id").eqNullSafe(F.col("first_case"))
+    return linked.select("case_id", "event_sequence", "activity_name").join(F.broadcast(ranked), match).select(
+        "rank", F.col("event_sequence").alias("position"), "activity_name", "case_count"
     )
+
+
+def top_variants(linked: DataFrame, k: int = 10, separator: str = SEPARATOR) -> DataFrame:
+    """The same with each variant's labels joined to one text, most frequent first.
+
+    A text is one value, so here a winner's own events do come together, and nothing else does.
+    """
+    steps = F.array_sort(F.collect_list(F.struct("position", "activity_name")))
+    spelled = variant_steps(linked, k).groupBy("rank", "case_count").agg(steps.alias("steps"))
+    variant = F.array_join(F.col("steps.activity_name"), separator)
+    return spelled.orderBy("rank").select(variant.alias("variant"), "case_count")

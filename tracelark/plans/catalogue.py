@@ -130,6 +130,23 @@ def dedup_stream_forever(spark: SparkSession, folder: str) -> DataFrame:
     return run_to_folder(spark, once, "dedup-forever").select("user_id", "event_type")
 
 
+@query("dedup_stream_payload")
+def dedup_stream_payload(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that stay, payload included; the table arrives in the order of its ids."""
+    stream = stream_table(spark, folder, "events").select("user_id", "event_type", "ts", "event_id")
+    once = drop_stream_copies(stream, ["user_id", "event_type"], "ts", "1 hour", "forever")
+    return run_to_folder(spark, once, "dedup-payload").select("user_id", "event_type", "event_id", "ts")
+
+
+@query("dedup_stream_payload_watermark")
+def dedup_stream_payload_watermark(spark: SparkSession, folder: str) -> DataFrame:
+    stream = stream_table(spark, folder, "events").select(
+        "user_id", "event_type", F.date_trunc("hour", "ts").alias("hour"), "ts", "event_id"
+    )
+    once = drop_stream_copies(stream, ["user_id", "event_type", "hour"], "ts", "2 hours", "watermark")
+    return run_to_folder(spark, once, "dedup-payload").select("user_id", "event_type", "hour", "event_id", "ts")
+
+
 @query("dedup_stream_watermark")
 def dedup_stream_watermark(spark: SparkSession, folder: str) -> DataFrame:
     """Keys hold the hour, so all copies lie within the delay."""
@@ -260,16 +277,32 @@ def stream_event_log(spark: SparkSession, folder: str) -> DataFrame:
     return written.select("case_id", "activity_name", "event_ts", "resource_id", "event_key", "category_rank")
 
 
-@query("stream_pipeline")
-def stream_pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    """Landing files to edge table, all streams and the refresh included."""
+def _streamed(spark: SparkSession, folder: str) -> Pipeline:
     root = fresh_dir(spark, "pipeline")
     landing = f"{root}/landing"
     texts = retail.retail_lines(spark, folder).select(F.col("raw_json").alias("value"))
     texts.write.option("maxRecordsPerFile", 1000).text(landing)
     pipeline = Pipeline(spark, landing, root)
     pipeline.run()
-    return pipeline.table("gold_dfg_edges")
+    return pipeline
+
+
+@query("stream_pipeline")
+def stream_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Landing files to edge table, all streams and the refresh included."""
+    return _streamed(spark, folder).table("gold_dfg_edges")
+
+
+@query("stream_pipeline_nodes")
+def stream_pipeline_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    return _streamed(spark, folder).table("gold_dfg_nodes")
+
+
+@query("stream_pipeline_log")
+def stream_pipeline_log(spark: SparkSession, folder: str) -> DataFrame:
+    log = _streamed(spark, folder).table("gold_event_log")
+    names = [name for name in LOG_COLUMNS if name != "event_attributes"]
+    return log.select(*names, F.col("event_attributes")["line_id"].alias("line_id"), "store_id", "channel")
 
 
 # --- graph tables -----------------------------------------------------------
@@ -407,17 +440,24 @@ def edge_rollup_weighted(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("node_rollup_weighted")
 def node_rollup_weighted(spark: SparkSession, folder: str) -> DataFrame:
-    return rollup.node_rollup(_nodes(spark, folder), mode="weighted")
+    return rollup.node_rollup(dfg.dfg_nodes(logs.order_log(spark, folder), pair_counts=True), mode="weighted")
+
+
+@query("node_rollup_weighted_retail")
+def node_rollup_weighted_retail(spark: SparkSession, folder: str) -> DataFrame:
+    """Equal to the roll-up from the events, which its SQL counterpart is."""
+    log = retail.retail_log(spark, folder)
+    return rollup.node_rollup(dfg.dfg_nodes(log, pair_counts=True), mode="weighted").drop("case_count")
 
 
 @query("edge_rollup_exact")
 def edge_rollup_exact(spark: SparkSession, folder: str) -> DataFrame:
-    return rollup.exact_edge_rollup(logs.order_log(spark, folder), accuracy=1_000_000)
+    return rollup.exact_edge_rollup(logs.order_log(spark, folder))
 
 
 @query("edge_rollup_exact_filtered")
 def edge_rollup_exact_filtered(spark: SparkSession, folder: str) -> DataFrame:
-    return rollup.exact_edge_rollup(logs.order_log(spark, folder), STORES, CHANNELS, accuracy=1_000_000)
+    return rollup.exact_edge_rollup(logs.order_log(spark, folder), STORES, CHANNELS)
 
 
 @query("node_rollup_exact")
@@ -467,6 +507,11 @@ def out_degree(spark: SparkSession, folder: str) -> DataFrame:
     return graph.out_degree(_edge_totals(spark, folder))
 
 
+@query("successor_rows")
+def successor_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.successor_rows(_edge_totals(spark, folder))
+
+
 @query("successors")
 def successors(spark: SparkSession, folder: str) -> DataFrame:
     found = graph.successors(_edge_totals(spark, folder))
@@ -508,6 +553,11 @@ def variants_top(spark: SparkSession, folder: str) -> DataFrame:
     return variants.top_variants(logs.click_log(spark, folder, dims=False))
 
 
+@query("variant_steps")
+def variant_steps(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.variant_steps(logs.order_log(spark, folder, dims=False), k=25)
+
+
 @query("variants_top_orders")
 def variants_top_orders(spark: SparkSession, folder: str) -> DataFrame:
     return variants.top_variants(logs.order_log(spark, folder, dims=False), k=25)

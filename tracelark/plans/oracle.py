@@ -365,6 +365,17 @@ def all_sql() -> dict[str, str]:
     def weighted(name: str, weight: str) -> str:
         return f"round(sum({name} * {weight}) / sum({weight}) FILTER ({name} IS NOT NULL), 4) AS {name}"
 
+    def from_events(cases: str = "") -> str:
+        """Nodes over all stores and channels, with the mean over all raised and resolved pairs of a case."""
+        return f"""SELECT n.activity_name, n.activity_category, count(*)::bigint AS occurrence_count, {cases}
+            count(*) FILTER (event_sequence = 1)::bigint AS start_count, count(*) FILTER (is_end)::bigint AS end_count,
+            round(any_value(avg_activity_duration_ms), 4) AS avg_activity_duration_ms
+            FROM log n LEFT JOIN (
+                SELECT a.activity_name, avg({_seconds('b.event_ts')} - {_seconds('a.event_ts')}) AS avg_activity_duration_ms
+                FROM log a JOIN log b ON a.case_id = b.case_id AND a.activity_name LIKE '%#_RAISED' ESCAPE '#'
+                    AND b.activity_name = left(a.activity_name, -7) || '_RESOLVED' GROUP BY 1) s ON n.activity_name = s.activity_name
+            GROUP BY n.activity_name, n.activity_category"""
+
     header_columns = (
         "transaction_id, store_id, terminal_id, cashier_id, customer_id, channel, transaction_start_ts, "
         "transaction_end_ts, status, currency, subtotal_amount, discount_amount, tax_amount, total_amount, item_count"
@@ -389,6 +400,10 @@ def all_sql() -> dict[str, str]:
         "explode_tender": _with(_tables("tender"), "SELECT * FROM tender"),
         "dedup_batch": _with({"lines": CTES["lines"]}, "SELECT * REPLACE (l_linenumber::bigint AS l_linenumber) FROM lines"),
         "dedup_stream_forever": "SELECT DISTINCT user_id, event_type FROM events",
+        "dedup_stream_payload": """SELECT user_id, event_type, event_id, ts FROM events
+            QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1""",
+        "dedup_stream_payload_watermark": """SELECT user_id, event_type, date_trunc('hour', ts) AS hour, event_id, ts FROM events
+            QUALIFY row_number() OVER (PARTITION BY user_id, event_type, date_trunc('hour', ts) ORDER BY event_id) = 1""",
         "dedup_stream_watermark": "SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS hour FROM events",
         "dq_counts": " UNION ALL ".join(
             f"SELECT '{rule}' AS rule, '{'warn' if rule in warn else 'drop'}' AS action, "
@@ -462,6 +477,11 @@ def all_sql() -> dict[str, str]:
             "SELECT case_id, activity_name, event_ts, resource_id, activity_category, event_sequence, line_id, "
             "store_id, channel FROM log",
         ),
+        "stream_pipeline_log": _with(
+            _log("retail"),
+            "SELECT case_id, activity_name, event_ts, resource_id, activity_category, event_sequence, line_id, "
+            "store_id, channel FROM log",
+        ),
         "stream_event_log": _with(
             {"click_events": CTES["click_events"]},
             "SELECT case_id, activity_name, event_ts, user_id::varchar AS resource_id, event_key, "
@@ -497,6 +517,7 @@ def all_sql() -> dict[str, str]:
         ),
         "dfg_nodes": _with(order, "SELECT * FROM nodes"),
         "retail_dfg_nodes": _with(retail, "SELECT * FROM nodes"),
+        "stream_pipeline_nodes": _with(retail, "SELECT * FROM nodes"),
         "retail_dfg_nodes_paired": _with(_graph("retail", _millis, pair_by_id=True), "SELECT * FROM nodes"),
         "layout_pruned": _with(order, "SELECT * FROM edges WHERE store_id = 'NATION_3' AND channel = 'BUILDING'"),
         "ordered_edges": _with(order, loaded_edges),
@@ -517,26 +538,11 @@ def all_sql() -> dict[str, str]:
                 {weighted('p50_transition_duration_ms', 'edge_frequency')},
                 {weighted('p95_transition_duration_ms', 'edge_frequency')} FROM edges GROUP BY 1, 2""",
         ),
-        "node_rollup_weighted": _with(
-            order,
-            f"""SELECT activity_name, activity_category, sum(occurrence_count)::bigint AS occurrence_count,
-                sum(case_count)::bigint AS case_count, sum(start_count)::bigint AS start_count,
-                sum(end_count)::bigint AS end_count, {weighted('avg_activity_duration_ms', 'occurrence_count')}
-                FROM nodes GROUP BY 1, 2""",
-        ),
+        "node_rollup_weighted": _with(order, from_events("count(DISTINCT case_id)::bigint AS case_count,")),
+        "node_rollup_weighted_retail": _with(retail, from_events()),
         "edge_rollup_exact": _with(exact, _edge_stats("")),
         "edge_rollup_exact_filtered": _with(exact_filtered, _edge_stats("")),
-        "node_rollup_exact": _with(
-            order,
-            f"""SELECT n.activity_name, count(*)::bigint AS occurrence_count, count(DISTINCT case_id)::bigint AS case_count,
-                count(*) FILTER (event_sequence = 1)::bigint AS start_count, count(*) FILTER (is_end)::bigint AS end_count,
-                round(any_value(avg_activity_duration_ms), 4) AS avg_activity_duration_ms, n.activity_category
-                FROM log n LEFT JOIN (
-                    SELECT a.activity_name, avg({_seconds('b.event_ts')} - {_seconds('a.event_ts')}) AS avg_activity_duration_ms
-                    FROM log a JOIN log b ON a.case_id = b.case_id AND a.activity_name = 'RETURN_RAISED'
-                        AND b.activity_name = 'RETURN_RESOLVED' GROUP BY 1) s ON n.activity_name = s.activity_name
-                GROUP BY n.activity_name, n.activity_category""",
-        ),
+        "node_rollup_exact": _with(order, from_events("count(DISTINCT case_id)::bigint AS case_count,")),
         "dfg_subgraph_nodes": _with(
             {**totals, "kept": f"SELECT * FROM edge_totals WHERE edge_frequency >= {MIN_FREQUENCY}"},
             f"""SELECT n.*, coalesce(activity_name IN (SELECT source_activity FROM kept WHERE {loop}), false) AS has_self_loop,
@@ -566,6 +572,11 @@ def all_sql() -> dict[str, str]:
             totals,
             "SELECT source_activity AS activity_name, count(*)::bigint AS out_degree FROM edge_totals GROUP BY 1",
         ),
+        "successor_rows": _with(
+            totals,
+            """SELECT source_activity AS activity_name, target_activity AS successor FROM edge_totals
+               UNION SELECT source_activity, source_activity FROM edge_totals""",
+        ),
         "successors": _with(
             totals,
             """SELECT activity_name, string_agg(successor, ',' ORDER BY successor) AS successors FROM (
@@ -601,6 +612,16 @@ def all_sql() -> dict[str, str]:
         ),
         "variants_top": _with(_log("click"), variant_sql(10)),
         "variants_top_orders": _with(_log("order"), variant_sql(25)),
+        "variant_steps": _with(
+            {
+                **_log("order"),
+                "spelled": "SELECT case_id, string_agg(activity_name, ' → ' ORDER BY event_sequence) AS variant FROM log GROUP BY 1",
+                "best": """SELECT min(case_id) AS first_case, count(*)::bigint AS case_count,
+                    row_number() OVER (ORDER BY count(*) DESC, min(case_id)) AS rank
+                    FROM spelled GROUP BY variant ORDER BY rank LIMIT 25""",
+            },
+            "SELECT rank, event_sequence AS position, activity_name, case_count FROM log JOIN best ON case_id = first_case",
+        ),
         "v1_order": _with(
             _log("order"),
             """SELECT case_id, count(*)::bigint AS violations FROM (

@@ -20,7 +20,7 @@ from ..operators.dfg import DIMS, dfg_edges, dfg_nodes
 from ..operators.event_log import linked_log
 from ..operators.retail import CATEGORY_RANKS, case_dimensions, retail_sources
 from ..operators.sequence import HOT_CASE_ROWS
-from ..session import fresh_dir
+from ..session import BUILD_CONF, fresh_dir
 from ..sources.documents import explode_incidents, explode_items, explode_tender, parse_headers
 from ..sources.raw import FILES_PER_TRIGGER, add_ingest_columns, raw_line_stream
 from ..sources.tables import overwrite_graph_table, overwrite_table
@@ -37,6 +37,7 @@ BRONZE_SCHEMA = T.StructType(
         T.StructField("ingest_date", T.DateType()),
     ]
 )
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 PARSERS = {
     "silver_transactions": parse_headers,
     "silver_transaction_items": explode_items,
@@ -48,7 +49,12 @@ PARSERS = {
 def start_available(
     stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
 ) -> StreamingQuery:
-    """Append all input that is there to parquet files, exactly once per checkpoint."""
+    """Append all input that is there to parquet files, exactly once per checkpoint.
+
+    State goes to RocksDB, also in a session somebody else built: keys outgrow
+    the heap long before they outgrow the disks.
+    """
+    stream.sparkSession.conf.set(STATE_STORE, BUILD_CONF[STATE_STORE])
     writer = stream.writeStream.format("parquet").outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -72,7 +78,7 @@ def run_to_folder(spark: SparkSession, stream: DataFrame, tag: str) -> DataFrame
 class Pipeline:
     """``landing`` holds NDJSON files; tables and checkpoints go below ``root``.
 
-    ``full_refresh`` takes a new checkpoint generation and table folder, so
+    A new ``generation`` has checkpoints and table folders of its own, so
     everything is read again without touching older output.
     """
 
