@@ -7,18 +7,19 @@ doubles) so that they can be compared with SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..functions import duration_text, step_label, thousands, title_label
+from ..functions import duration_text, numeric_or_zero, step_label, thousands, title_label
 from ..operators import checks, dfg, graph, quality, retail as mapping, rollup, totals, variants
 from ..operators.dedup import drop_stream_copies
 from ..operators.event_log import LOG_COLUMNS, source_events, stream_events
 from ..operators.quality import Rule
 from ..session import fresh_dir, prepare
 from ..sources.raw import add_ingest_columns, raw_line_stream, unique_records
-from ..sources.tables import overwrite_graph_table, read_table, stream_table, write_ndjson
+from ..sources.tables import overwrite_graph_table, overwrite_table, read_table, stream_table, write_ndjson
 from ..streaming import Pipeline, run_available, run_to_folder
 from . import logs, retail
 
@@ -287,6 +288,55 @@ def _streamed(spark: SparkSession, folder: str) -> Pipeline:
     return pipeline
 
 
+@query("stream_retail_events")
+def stream_retail_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The four typed tables as streams, each under its watermark, in one un-numbered log."""
+    parsed = retail.retail_tables(spark, folder)
+    root = fresh_dir(spark, "typed")
+    live = []
+    for name in ("transactions", "items", "incidents", "tender"):
+        stored = overwrite_table(getattr(parsed, name), f"{root}/{name}")
+        live.append(spark.readStream.schema(stored.schema).parquet(f"{root}/{name}"))
+    events = stream_events(mapping.retail_sources(*live), mapping.CATEGORY_RANKS)
+    return run_to_folder(spark, events, "retail-events").select(
+        "case_id", "activity_name", "event_ts", "resource_id", "activity_category"
+    )
+
+
+@query("late_rows")
+def late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fifth event arrives in a third micro-batch; of those, the ones behind the watermark of the first are dropped."""
+    root = fresh_dir(spark, "late")
+    events = read_table(spark, folder, "events").select("event_id", "ts")
+    for arriving in ("event_id % 5 IN (1, 2)", "event_id % 5 IN (3, 4)", "event_id % 5 = 0"):
+        events.where(arriving).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    return run_to_folder(spark, drop_stream_copies(stream, ["event_id"], "ts", "1 hour"), "late").select("event_id", "ts")
+
+
+@query("pipeline_reset")
+def pipeline_reset(spark: SparkSession, folder: str) -> DataFrame:
+    """Ingested twice nothing comes twice; a new generation reads everything again and leaves the old one."""
+    root = fresh_dir(spark, "reset")
+    write_ndjson(read_table(spark, folder, "orders").select("o_orderkey"), f"{root}/landing", 5_000)
+    first = Pipeline(spark, f"{root}/landing", root)
+    second = replace(first, generation="g1")
+    for pipeline in (first, first, second):
+        pipeline.ingest()
+    key = F.get_json_object("raw_json", "$.o_orderkey").cast("bigint").alias("o_orderkey")
+    parts = [p.table("bronze").select(F.lit(p.generation).alias("generation"), key) for p in (first, second)]
+    return parts[0].unionByName(parts[1])
+
+
+@query("numbers_from_text")
+def numbers_from_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Quantities as text, some missing and some no numbers, read back leniently."""
+    quantity = F.col("l_quantity").cast("int")
+    text = F.when(quantity % 7 == 0, "n/a").when(quantity % 11 == 0, F.lit(None)).otherwise(F.concat(F.lit(" "), quantity.cast("string")))
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", text.alias("whole"), text.alias("part"))
+    return numeric_or_zero(lines, {"whole": "bigint", "part": "double"})
+
+
 @query("stream_pipeline")
 def stream_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Landing files to edge table, all streams and the refresh included."""

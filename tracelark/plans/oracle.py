@@ -482,6 +482,15 @@ def all_sql() -> dict[str, str]:
             "SELECT case_id, activity_name, event_ts, resource_id, activity_category, event_sequence, line_id, "
             "store_id, channel FROM log",
         ),
+        "stream_retail_events": _with(
+            _log("retail"), "SELECT case_id, activity_name, event_ts, resource_id, activity_category FROM log"
+        ),
+        "late_rows": """SELECT event_id, ts FROM events WHERE event_id % 5 <> 0
+            OR ts > (SELECT max(ts) FROM events WHERE event_id % 5 IN (1, 2)) - INTERVAL 1 HOUR""",
+        "pipeline_reset": "SELECT g AS generation, o_orderkey FROM orders, (VALUES ('g0'), ('g1')) t(g)",
+        "numbers_from_text": """SELECT l_orderkey, l_linenumber::bigint AS l_linenumber, q AS whole, q::double AS part FROM (
+            SELECT *, CASE WHEN l_quantity::int % 7 = 0 OR l_quantity::int % 11 = 0 THEN 0 ELSE l_quantity::int END::bigint AS q
+            FROM lineitem)""",
         "stream_event_log": _with(
             {"click_events": CTES["click_events"]},
             "SELECT case_id, activity_name, event_ts, user_id::varchar AS resource_id, event_key, "

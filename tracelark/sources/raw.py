@@ -6,17 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.dedup import drop_copies, drop_stream_copies
 
+#: Session setting that names the landing folder; ``source_path`` takes any other name as well.
+PATH_SETTING = "tracelark.source.path"
 # Fixed values
-PATH_SETTING = "pos.source_volume_path"
 SOURCE_SYSTEM = "POS_SYSTEM"
 FILES_PER_TRIGGER = 100
 
 
-def source_path(spark: SparkSession, default: str | None = None) -> str:
+def source_path(spark: SparkSession, default: str | None = None, setting: str = PATH_SETTING) -> str:
     """Landing folder from the session settings, else the default."""
-    path = spark.conf.get(PATH_SETTING, default)
+    path = spark.conf.get(setting, default)
     if not path:
-        raise ValueError(f"no landing folder: set {PATH_SETTING} or pass a default")
+        raise ValueError(f"no landing folder: set {setting} or pass a default")
     return path
 
 
