@@ -194,3 +194,35 @@ def test_exact_percentiles_of_many_durations(spark):
     observed = spark.createDataFrame([("e", d) for d in (None, 5, 5, 7, 9)] + [("f", 3), (None, 8)], "edge string, duration_ms bigint")
     found = {r.edge: (r.p50_transition_duration_ms, r.p95_transition_duration_ms) for r in dfg._exact_percentiles(observed, ["edge"]).collect()}
     assert found == {"e": (5, 9), "f": (3, 3), None: (8, 8)}
+
+
+def test_layout_lets_most_of_the_table_be_skipped(spark):
+    """Row-group statistics of the stored edges rule most of the table out for one store and channel."""
+    import glob
+    import random
+
+    import pyarrow.parquet as pq
+    from tracelark.session import fresh_dir
+    from tracelark.sources.tables import overwrite_graph_table
+
+    random.seed(1)
+    rows = [(f"s{s:02d}", f"c{c}", f"A{i}", f"B{i}", s + c + i) for s in range(40) for c in range(4) for i in range(50)]
+    random.shuffle(rows)
+    edges = spark.createDataFrame(rows, "store_id string, channel string, source_activity string, target_activity string, n int")
+    path = fresh_dir(spark, "layout")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        overwrite_graph_table(edges, path, ["store_id", "channel", "source_activity", "target_activity"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    whole = needed = 0
+    for file in glob.glob(f"{path}/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            store = meta.row_group(g).column(0).statistics
+            whole += 1
+            needed += store.min <= "s07" <= store.max
+    assert whole >= 12 and needed <= 3

@@ -208,7 +208,7 @@ def _graph(kind: str, epoch=_seconds, pair_by_id: bool = False) -> dict[str, str
         GROUP BY 1, 2, 3"""
     expressions["nodes"] = """
         SELECT n.activity_name, n.store_id, n.channel, occurrence_count, case_count,
-               sum(starts) OVER same::bigint AS start_count, sum(ends) OVER same::bigint AS end_count,
+               (sum(starts) OVER same)::bigint AS start_count, (sum(ends) OVER same)::bigint AS end_count,
                round(avg_activity_duration_ms, 4) AS avg_activity_duration_ms, activity_category
         FROM (SELECT activity_name, activity_category, store_id, channel, count(*)::bigint AS occurrence_count,
                      count(DISTINCT case_id)::bigint AS case_count,
@@ -216,9 +216,7 @@ def _graph(kind: str, epoch=_seconds, pair_by_id: bool = False) -> dict[str, str
               FROM log GROUP BY 1, 2, 3, 4) n
         LEFT JOIN spans s ON n.activity_name = s.activity_name AND n.store_id IS NOT DISTINCT FROM s.store_id
              AND n.channel IS NOT DISTINCT FROM s.channel
-        WINDOW same AS (PARTITION BY n.activity_name, n.store_id, n.channel)""".replace(
-        "OVER same::bigint", "OVER same)::bigint"
-    ).replace("sum(starts)", "(sum(starts)").replace("sum(ends)", "(sum(ends)")
+        WINDOW same AS (PARTITION BY n.activity_name, n.store_id, n.channel)"""
     return expressions
 
 
@@ -633,9 +631,9 @@ def all_sql() -> dict[str, str]:
         ),
         "v1_order": _with(
             _log("order"),
-            """SELECT case_id, count(*)::bigint AS violations FROM (
-                SELECT case_id, event_ts, lag(event_ts) OVER (PARTITION BY case_id ORDER BY event_sequence) AS prev_ts FROM log)
-                WHERE event_ts < prev_ts GROUP BY 1""",
+            """SELECT case_id, (count(*) FILTER (gap < INTERVAL 0 SECOND))::bigint AS violations FROM (
+                SELECT case_id, lead(event_ts) OVER (PARTITION BY case_id ORDER BY event_sequence) - event_ts AS gap FROM log)
+                GROUP BY case_id HAVING violations > 0""",
         ),
         "v1_order_wrong": """SELECT case_id, count(*)::bigint AS violations FROM (
                 SELECT event_id % 97 AS case_id, ts, lag(ts) OVER (PARTITION BY event_id % 97
@@ -647,14 +645,14 @@ def all_sql() -> dict[str, str]:
         ),
         "v3_edges": _with(
             order,
-            """SELECT (SELECT sum(edge_frequency) FROM edges)::bigint AS total_edge_obs,
-                ((SELECT count(*) FROM log) - (SELECT count(DISTINCT case_id) FROM log))::bigint AS expected_obs""",
+            """SELECT sum(edge_frequency)::bigint AS total_edge_obs, any_value(expected_obs)::bigint AS expected_obs
+                FROM edges, (SELECT sum(events - 1) AS expected_obs FROM (SELECT count(*) AS events FROM log GROUP BY case_id))""",
         ),
         "v4_starts_ends": _with(
             order,
-            """SELECT sum(start_count)::bigint AS total_starts, sum(end_count)::bigint AS total_ends,
-                (SELECT count(DISTINCT case_id) FROM log)::bigint AS total_cases
-                FROM (SELECT activity_name, sum(start_count) AS start_count, sum(end_count) AS end_count FROM nodes GROUP BY 1)""",
+            """SELECT total_starts::bigint AS total_starts, total_ends::bigint AS total_ends, total_cases::bigint AS total_cases
+                FROM (SELECT sum(start_count) AS total_starts, sum(end_count) AS total_ends FROM nodes),
+                     (SELECT count(DISTINCT case_id) AS total_cases FROM log)""",
         ),
         "v5_dims": _with(
             order,
