@@ -209,9 +209,11 @@ def document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
 def disclosures(docs: DataFrame, rows: DataFrame, min_support: int = MIN_SUPPORT) -> DataFrame:
     """(entity, term, disclosure) of all pairs with enough support, from the annotated rows."""
     total = rows.count()
-    near = rows.where(F.size("near") > 0).select(F.monotonically_increasing_id().alias("row"), F.explode("near").alias("x"))
-    together = near.select("row", "x.entity", "x.term").distinct()
-    entities = near.select("row", "x.entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    near = rows.where(F.size("near") > 0)
+    own_pairs = F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))
+    together = near.select(F.explode(own_pairs).alias("x")).select("x.entity", "x.term")
+    own = F.array_distinct(F.transform("near", lambda x: x["entity"]))
+    entities = near.select(F.explode(own).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     pairs = written(
         together.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= min_support), "pairs"
     )
