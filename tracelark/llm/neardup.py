@@ -7,9 +7,9 @@
    "rarest list first" meet.  Values of one node only fill prefixes, so most
    nodes leave here, and a passage common to many texts is in few prefixes.
 3. Each node is compared with one hub of its lists, the most central node; that
-   links groups of copies without forming their pairs.  What is still in different
-   components and shares a list is compared pair by pair, unless the counts of
-   values found nowhere else show that it cannot be similar enough.
+   links groups of copies without forming their pairs.  For what is still in
+   different components of a list, prefixes of the whole sets must meet, at a place
+   that leaves enough common values; the other pairs cannot be similar enough.
 4. The sketch of the union estimates the similarity and drops pairs far below
    the threshold; full sets confirm the others in integers.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Callable
 from fractions import Fraction
 
 import numpy as np
@@ -140,8 +141,8 @@ def _sized(similarity: float, n: str = "n", m: str = "m") -> Column:
     return F.least(n, m) * bottom >= F.greatest(n, m) * top
 
 
-def _postings(nodes: DataFrame, k: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """(node, n, v) of prefixes that meet another node's, and (node, centre) of the nodes in them."""
+def _postings(nodes: DataFrame, k: int, similarity: float) -> DataFrame:
+    """(node, n, v, centre): prefixes of the sketches that may meet another node's; centre is large for nodes of large groups."""
     top, bottom = ratio(similarity)
     lists = nodes.select("node", F.explode("sketch").alias("v"))
     common = lists.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
@@ -160,32 +161,45 @@ def _postings(nodes: DataFrame, k: int, similarity: float) -> tuple[DataFrame, D
     )
     # rare values of one node come first in its order, so rank counts on from them
     possible = ranked.join(facts, "node").where((F.col("m") >= needed) & (F.col("k") - F.col("m") + F.col("rank") <= F.col("k") - needed + 1))
-    kept = written(possible.select("node", "n", "v", "centre"), "postings")
-    return kept, kept
+    return written(possible.select("node", "n", "v", "centre"), "postings")
 
 
-def _star_pairs(postings: DataFrame, similarity: float) -> DataFrame:
-    """For each node the hub, of all lists it is in, that it shares most lists with."""
-    hubs = postings.groupBy("v").agg(
-        F.max_by(F.struct("node", "n"), F.struct("centre", -F.col("node"))).alias("hub"), F.count("*").alias("members")
+def _star_pairs(lists: DataFrame, similarity: float) -> DataFrame:
+    """For each node the hub, of all lists it is in, that it shares most lists with.
+
+    ``lists`` has v, node, n, root (its component so far), centre and rest: at
+    most so many values from this one on can be common with another set.
+    """
+    hubs = lists.groupBy("v").agg(
+        F.max_by(F.struct("node", "n", "root", "rest"), F.struct("centre", -F.col("node"))).alias("hub"), F.count("*").alias("members")
     ).where("members > 1")
     near = (
-        postings.join(hubs, "v")
-        .select(F.col("node").alias("a"), "n", F.col("hub.node").alias("b"), F.col("hub.n").alias("m"))
-        .where((F.col("a") != F.col("b")) & _sized(similarity))
+        lists.join(hubs, "v")
+        .where((F.col("node") != F.col("hub.node")) & (F.col("root") != F.col("hub.root")))
+        .select(F.col("node").alias("a"), "n", "rest", F.col("hub.node").alias("b"), F.col("hub.n").alias("m"), F.col("hub.rest").alias("rest_b"))
+        .where(_sized(similarity) & _enough(similarity))
     )
     counted = near.groupBy("a", "b").agg(F.count("*").alias("lists"))
     best = counted.groupBy("a").agg(F.max_by("b", F.struct("lists", -F.col("b"))).alias("b"))
     return best.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _other_pairs(postings: DataFrame, roots: DataFrame, sets: DataFrame, tried: DataFrame, similarity: float) -> DataFrame:
-    """Pairs sharing a list but no component, which their sizes and lonely values do not rule out."""
+def _enough(similarity: float) -> Column:
+    """What follows the first common value in either set suffices for the similarity of sets of sizes n and m."""
+    top, bottom = ratio(similarity)
+    return F.least("rest", "rest_b") * (top + bottom) >= (F.col("n") + F.col("m")) * top
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _prefixes(postings: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(v, node, n, centre, rest): prefixes of the whole sets, rarest values first, of the nodes in lists with several components."""
     top, bottom = ratio(similarity)
-    placed = postings.join(roots, "node", "left").select("v", "node", "n", F.coalesce("root", "node").alias("root"))
+    placed = _rooted(postings.select("v", "node", "n"), roots)
     split = placed.groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("v")
-    open_ = written(placed.join(split, "v"), "open")
-    members = open_.select("node").distinct()
+    members = written(placed.join(split, "v", "left_semi").select("node", "n").distinct(), "open")
 
     def values(batches):
         for batch in batches:
@@ -199,24 +213,55 @@ def _other_pairs(postings: DataFrame, roots: DataFrame, sets: DataFrame, tried:
                 names=["node", "v"],
             )
 
-    whole = sets.join(members, "node", "left_semi").select("node", "values").mapInArrow(values, "node bigint, v bigint")
-    lonely = whole.groupBy("v").agg(F.count("*").alias("df"), F.min("node").alias("node")).where("df = 1")
-    alone = lonely.groupBy("node").agg(F.count("*").alias("alone"))
-    # |a & b| <= shared(a), and |a & b| * (top + bottom) >= top * (|a| + |b|), so |b| <= most(a)
-    usable = (F.col("n") - F.coalesce("alone", F.lit(0))) * (top + bottom) - F.col("n") * top
-    limited = (
-        open_.join(alone, "node", "left")
-        .withColumn("most", F.floor(usable / top).cast("bigint"))
-        .where(F.col("most") * bottom >= F.col("n") * top)
+    chosen = sets.join(members.select("node"), "node", "left_semi").select("node", "values")
+    whole = chosen.mapInArrow(values, "node bigint, v bigint")
+    common = whole.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
+    by_node = Window.partitionBy("node")
+    ranked = whole.join(common, "v").select(
+        "node",
+        "v",
+        F.row_number().over(by_node.orderBy("df", "v")).alias("rank"),
+        F.count("*").over(by_node).alias("m"),
+        F.sum(F.log("df")).over(by_node).alias("centre"),
     )
-    left = limited.select("v", F.col("node").alias("a"), "n", F.col("root").alias("ra"), F.col("most").alias("most_a"))
-    right = limited.select("v", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("rb"), F.col("most").alias("most_b"))
+    # values of one node only stand before all others, so rank counts on from them
+    rest = ranked.join(members, "node").withColumn("rest", (F.col("m") - F.col("rank") + 1).cast("bigint"))
+    return written(rest.where(F.col("rest") * bottom >= F.col("n") * top).select("v", "node", "n", "centre", "rest"), "prefixes")
+
+
+def _cross_pairs(prefixes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of different components whose prefixes meet at a place that leaves enough common values."""
+    rows = _rooted(prefixes, roots)
+    left = rows.select("v", F.col("node").alias("a"), "n", F.col("root").alias("ra"), "rest")
+    right = rows.select("v", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("rb"), F.col("rest").alias("rest_b"))
     pairs = left.join(
         right,
-        (left.v == right.v) & (F.col("a") > F.col("b")) & (F.col("ra") != F.col("rb")) & _sized(similarity)
-        & (F.col("m") <= F.col("most_a")) & (F.col("n") <= F.col("most_b")),
+        (left.v == right.v) & (F.col("a") > F.col("b")) & (F.col("ra") != F.col("rb")) & _sized(similarity) & _enough(similarity),
     )
-    return pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    return pairs.select("a", "b").distinct()
+
+
+def components_of(postings: DataFrame, sets: DataFrame, similarity: float, estimate: Callable[[DataFrame], DataFrame] = lambda p: p) -> DataFrame:
+    """(node, root) of all nodes with links, given lists (v, node, n, centre) in which every similar pair meets.
+
+    Hubs of the lists first, then hubs of whole-set prefixes, then the pairs
+    still apart; ``estimate`` drops pairs before their whole sets are compared.
+    """
+    alone = postings.withColumn("root", F.col("node")).withColumn("rest", F.col("n"))
+    tried = written(_star_pairs(alone, similarity), "stars")
+    links = written(_confirmed(estimate(tried), sets, similarity), "links")
+    roots = written(connected_components(links), "roots")
+    prefixes = _prefixes(postings, roots, sets, similarity)
+    again = written(_star_pairs(_rooted(prefixes, roots), similarity).join(tried, ["a", "b"], "left_anti"), "stars")
+    if again.take(1):
+        tried = tried.union(again)
+        links = written(links.union(_confirmed(estimate(again), sets, similarity)), "links")
+        roots = written(connected_components(links), "roots")
+    others = _cross_pairs(prefixes, roots, similarity).join(tried, ["a", "b"], "left_anti")
+    more = written(_confirmed(estimate(others), sets, similarity), "links")
+    if more.take(1):
+        roots = written(connected_components(links.union(more)), "roots")
+    return roots
 
 
 def similar_classes(docs: DataFrame, width: int = 5, similarity: float = 0.8, k: int = SKETCH) -> DataFrame:
@@ -245,16 +290,10 @@ def similar_classes(docs: DataFrame, width: int = 5, similarity: float = 0.8, k:
         ),
         "nodes",
     )
-    postings, _ = _postings(nodes, k, similarity)
+    postings = _postings(nodes, k, similarity)
     members = written(nodes.join(postings.select("node").distinct(), "node", "left_semi"), "members")
     sets = written(full_sets(docs, members, width).dropDuplicates(["node"]), "sets")
-    tried = written(_star_pairs(postings, similarity), "stars")
-    links = written(_confirmed(_estimated(tried, members, k, similarity), sets, similarity), "links")
-    roots = written(connected_components(links), "roots")
-    others = _other_pairs(postings, roots, sets, tried, similarity)
-    more = written(_confirmed(_estimated(others, members, k, similarity), sets, similarity), "links")
-    if more.take(1):
-        roots = written(connected_components(links.union(more)), "roots")
+    roots = components_of(postings, sets, similarity, lambda pairs: _estimated(pairs, members, k, similarity))
     named = nodes.select(F.col("node").alias("root"), F.col("high").alias("class_high"), F.col("low").alias("class_low"))
     classes = (
         nodes.join(roots, "node", "left")
