@@ -144,15 +144,13 @@ def fingerprints_of_edits(docs: DataFrame, width: int = 5, slices: int | None =
     heads = {r.slice: r.head for r in places.groupBy(slice_of("place").alias("slice")).agg(F.max("place").alias("head")).collect()}
     order = sorted(heads)
     before = {heads[s]: order[i - 1] for i, s in enumerate(order)}  # head -> the slice that also gets it
-    own = F.array(F.struct(F.col("slice"), F.lit(False).alias("guest")))
-    if before:
-        lookup = F.create_map(*[F.lit(x) for head, s in before.items() for x in (head, s)])
-        also = F.struct(F.element_at(lookup, F.col("place")).alias("slice"), F.lit(True).alias("guest"))
-        dealt = F.when(F.col("place").isin(list(before)), F.concat(own, F.array(also))).otherwise(own)
-    else:
-        dealt = own
+    # one row for each slice, so small enough to broadcast
+    guests = spark.createDataFrame(list(before.items()), "head bigint, host int")
+    own, also = F.struct("slice", F.lit(False).alias("guest")), F.struct(F.col("host").alias("slice"), F.lit(True).alias("guest"))
+    dealt = F.when(F.col("host").isNull(), F.array(own)).otherwise(F.array(own, also))
     rows = (
         plain.withColumn("slice", slice_of("place"))
+        .join(F.broadcast(guests), F.col("place") == F.col("head"), "left")
         .select("doc_id", "place", "text", F.explode(dealt).alias("to"))
         .select("to.slice", "to.guest", "doc_id", "place", text_hash().alias("hash"), "text")
         .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "slice")
