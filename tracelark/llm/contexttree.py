@@ -33,8 +33,10 @@ from .textops import LOWER, SPACE, chunks, text_array, word_hashes, word_spans
 DEPTH = 4
 END = 255
 #: Bounds of what is sent to every task: nodes of the tree, and words looked up there (others are joined).
-NODES = 3_000_000
+NODES = 2_000_000
 FREQUENT = 500_000
+#: Bytes of text handled at once; each byte takes some dozens of bytes of arrays.
+STRETCH = 1 << 20
 _SLOTS = 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -62,7 +64,7 @@ def gram_keys(data: np.ndarray, offsets: np.ndarray, depth: int = DEPTH) -> tupl
 class _Counts:
     """Counts of integers, merged now and then."""
 
-    def __init__(self, limit: int = 1 << 21):
+    def __init__(self, limit: int = 1 << 20):
         self.limit, self.held, self.parts = limit, 0, []
 
     def add(self, values: np.ndarray) -> None:
@@ -91,7 +93,7 @@ def counted(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         words, grams = _Counts(), _Counts()
         for batch in batches:
             texts = text_array(batch)
-            for _, _, data, offsets in chunks(texts, lower=False):
+            for _, _, data, offsets in chunks(texts, STRETCH, lower=False):
                 grams.add(gram_keys(data, offsets, depth)[0])
             for _, _, data, offsets in chunks(texts):
                 start, end, _ = word_spans(data, offsets, SPACE)
@@ -285,7 +287,7 @@ def scored(docs: DataFrame, modulo: int = 10, depth: int = DEPTH, nodes: int = N
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = text_array(batch)
-            for first, stop, data, offsets in chunks(texts, lower=False):
+            for first, stop, data, offsets in chunks(texts, STRETCH, lower=False):
                 grams, bounds = gram_keys(data, offsets, model.depth)
                 score = np.add.reduceat(model.score(grams), bounds[:-1])
                 count = stop - first
