@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import os
 import zlib
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +31,42 @@ END_ID = 1
 #: Sources beyond the largest ones share the last queue, so that a window never has more queues.
 QUEUES = 256
 #: Words whose ids a worker remembers.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
 
 PIECE_DDL = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, source string"
 )
 
 
+class _Codes(dict):
+    """Numbers words as they are first asked for and notes the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = len(self)
+        self.new.append(word)
+        return code
+
+
+def _byte_letters() -> dict[int, str]:
+    """Latin-1 characters as the letters that stand for their UTF-8 bytes in byte-level vocabularies."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(256)}
+
+
 class WordEncoder:
-    """Token ids of texts by a tokenizer that never joins what ASCII white space separates."""
+    """Token ids of texts by a tokenizer that never joins what ASCII white space separates.
+
+    Each distinct word is tokenised once and remembered.  A word of Latin-1
+    letters needs no normaliser but lower-casing, so it goes straight to the
+    tokenizer's model; if the tokenizer is not of that kind (see ``_direct``), all words
+    take its whole path.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -45,73 +74,88 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.letters = _byte_letters()
+        self.direct = self._direct()
         self._clear()
 
+    def _direct(self) -> bool:
+        """Whether letters, marks and both together come out of the short path as out of the whole one."""
+        words = ["word", "Word", "\xe9t\xe9", "\xc9t\xe9", "gr\xf6\xdfe"]
+        whole = [self._whole(w) for w in words]
+        return whole == [self._model(w.lower()) for w in words] and all(
+            self._whole(w + m) == x + self._whole(m) for w, x in zip(words, whole) for m in ".,;:!?"
+        )
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _model(self, word: str) -> list[int]:
+        return [token.id for token in self.tokenizer.model.tokenize(word.translate(self.letters))]
+
     def _clear(self) -> None:
-        self.codes: dict[str, int] = {}
+        self.codes = _Codes()
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
         self.ids = np.zeros(0, self.type)
 
-    def _learn(self, words: list[str]) -> None:
-        found: list[list[int]] = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+    def _learn(self) -> None:
+        """Ids of the words noted as new: of simple ones by tokenising, of others from their parts."""
+        codes, new = self.codes, self.codes.new
+        found: list[list[int]] = []
+        whole: list[int] = []
+        composed: list[int] = []
+        parts: list[list[int]] = []
+        i = 0
+        while i < len(new):  # parts of composed words may be new as well
+            word = new[i]
+            stem = word[:-1] if word[-1] in ".,;:!?" else word
+            ids: list[int] = []
+            if self.direct and stem.isalpha() and max(stem) <= "\xff":
+                low = stem.lower()
+                if low != word:
+                    composed.append(i)
+                    parts.append([codes[low]] if stem is word or len(stem) == len(word) else [codes[low], codes[word[-1]]])
+                else:
+                    ids = self._model(word)
+            else:
+                whole.append(i)
+            found.append(ids)
+            i += 1
+        if whole:
+            encoded = self.tokenizer.encode_batch([new[i] for i in whole], add_special_tokens=False)
+            for i, e in zip(whole, encoded):
+                found[i] = e.ids
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        starts = len(self.ids) + np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        self.codes.update(zip(words, range(len(self.codes), len(self.codes) + len(words))))
-        self.starts = np.concatenate([self.starts, starts])
+        starts = len(self.ids) + np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(found) else np.zeros(0, np.int64)
+        self.starts = np.concatenate([self.starts, starts]).astype(np.int64)
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], self.type)])
-
-    @staticmethod
-    def _parts(word: str) -> tuple[str, ...]:
-        """A word of letters and one last mark is two runs for the tokenizer; Latin-1 letters are lowered alike by everyone."""
-        if word[-1] in ".,;:!?" and word[:-1].isalpha():
-            word, mark = word[:-1], (word[-1],)
-        else:
-            mark = ()
-        return (word.lower() if word.isalpha() and max(word) <= "\xff" else word, *mark)
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), self.type, int(lengths.sum()))])
+        if composed:
+            sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+            ids, ends = self._gather(np.fromiter(chain.from_iterable(parts), np.int64, int(sizes.sum())))
+            edges = ends[np.concatenate([[0], np.cumsum(sizes)])]
+            at = len(self.codes) - len(new) + np.array(composed)
+            self.starts[at] = len(self.ids) + edges[:-1]
+            self.lengths[at] = np.diff(edges)
+            self.ids = np.concatenate([self.ids, ids])
+        new.clear()
+
+    def _gather(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of coded words one after the other, and the number of ids before each word and at the end."""
+        lengths = self.lengths[code]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return self.ids[np.repeat(self.starts[code] - ends[:-1], lengths) + np.arange(ends[-1])], ends
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and the number of ids of each text."""
         if len(self.codes) > CACHED_WORDS:
             self._clear()
         split = [self._words(text) for text in texts]
-        forms: dict[str, tuple[str, ...]] = {}
-        codes = self.codes
-        new = {word for words in split for word in words if word not in codes}
-        for word in new:
-            forms[word] = self._parts(word)
-        missing = sorted({part for parts in forms.values() for part in parts if part not in codes})
-        if missing:
-            self._learn(missing)
-        rest = [word for word, parts in forms.items() if word not in codes]
-        if rest:
-            self._join(rest, forms)
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        total = int(counts.sum())
-        code = np.fromiter((codes[word] for words in split for word in words), np.int64, total)
-        lengths = self.lengths[code]
-        ends = np.cumsum(lengths)
-        out = self.ids[np.repeat(self.starts[code] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if total else 0)]
-        bounds = np.concatenate([[0], np.cumsum(counts)])
-        before = np.concatenate([[0], ends])
-        return out, np.diff(before[bounds])
-
-    def _join(self, words: list[str], forms: dict[str, tuple[str, ...]]) -> None:
-        """Words made of known parts."""
-        parts = [self.codes[part] for word in words for part in forms[word]]
-        sizes = [len(forms[word]) for word in words]
-        code = np.array(parts, np.int64)
-        lengths = self.lengths[code]
-        ends = np.cumsum(lengths)
-        ids = self.ids[np.repeat(self.starts[code] - (ends - lengths), lengths) + np.arange(int(ends[-1]))]
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
-        own = np.diff(np.concatenate([[0], ends])[bounds])
-        starts = len(self.ids) + np.concatenate([[0], np.cumsum(own)[:-1]])
-        self.codes.update(zip(words, range(len(self.codes), len(self.codes) + len(words))))
-        self.starts = np.concatenate([self.starts, starts])
-        self.lengths = np.concatenate([self.lengths, own])
-        self.ids = np.concatenate([self.ids, ids])
+        code = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        self._learn()
+        ids, ends = self._gather(code)
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
 
     @staticmethod
     def _words(text: str) -> list[str]:
@@ -121,6 +165,12 @@ class WordEncoder:
         return text.split()
 
 
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One for all tasks of a worker process; what it remembers never changes a result."""
+    return WordEncoder(path)
+
+
 def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID) -> DataFrame:
     """part, row, doc_id, source, n, before, ids of every document row.
 
@@ -129,7 +179,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID)
     """
 
     def run(batches):
-        encoder = WordEncoder(tokenizer_path)
+        encoder = word_encoder(tokenizer_path)
         part, row, sums = TaskContext.get().partitionId(), 0, {}
         for batch in batches:
             texts = text_array(batch)
@@ -319,5 +369,5 @@ def pack(
         narrow(bases).alias("b"), (F.col("t.part") == F.col("b.part")) & F.col("t.source").eqNullSafe(F.col("b.source"))
     )
     columns = placed.select("doc_id", F.col("t.source").alias("source"), "n", (F.col("base") + F.col("before")).alias("first"), "ids")
-    id_type = WordEncoder(tokenizer_path).type
+    id_type = word_encoder(tokenizer_path).type
     return columns.mapInArrow(_pieces(schedule, queue_of, id_type, window), PIECE_DDL)
