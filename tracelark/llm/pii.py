@@ -18,6 +18,7 @@ import hashlib
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
@@ -283,16 +284,14 @@ def sanitised(docs: DataFrame, **thresholds) -> DataFrame:
     other = found.select(F.col("doc_id").alias("__other"), F.col(TEXT_HASH).alias("__other_hash"), F.col("spans").alias("__spans"))
     keyed = docs.withColumn(TEXT_HASH, text_hash()).withColumn("__id", F.col("doc_id").cast("bigint"))
     same = F.col("__id").eqNullSafe(F.col("__other")) & (F.col(TEXT_HASH) == F.col("__other_hash"))
-    joined = keyed.join(narrow(other), same, "left")
+    other = narrow(other)
 
     @F.pandas_udf(T.StringType())
     def replace(text, spans):
-        return text.where(spans.isna(), [t if s is None else rewritten(t, s) for t, s in zip(text, spans)])
+        return pd.Series([rewritten(t, s) for t, s in zip(text, spans)], dtype=object)
 
-    changed = joined.withColumn("text", replace(F.col("text"), F.col("__spans")))
+    # only rows with something to replace go through Python
+    changed = keyed.join(other, same).withColumn("text", replace(F.col("text"), F.col("__spans")))
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed = changed.withColumn(
-            "n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
-        )
-    return changed.select(*docs.columns)
+        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return keyed.join(other, same, "left_anti").select(*docs.columns).union(changed.select(*docs.columns))
