@@ -284,6 +284,7 @@ class Schedule:
 
 def _pieces(schedule: Schedule, queue_of: dict, id_type, window: int):
     def run(batches):
+        word_encoder.cache_clear()  # the tokens are written: a worker need not keep the words for what runs next
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             sources = batch.column(1).to_pylist()
