@@ -15,7 +15,10 @@ the probabilities of all texts add up to one.
 
 Counts are sums over all training rows, made and weighted by Spark jobs that
 grow with the corpus; the nodes sent to the scoring tasks are those seen most
-often, as many as ``NODES`` allows.
+often, as many as ``NODES`` allows.  A node is seen at least as often as the
+deeper ones below it, so a gram whose deepest nodes were all sent is answered in
+the task; the others are written with the row and answered by joins with the
+whole tree.  ``NODES`` decides about speed alone.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from .textops import LOWER, SPACE, chunks, text_array, word_hashes, word_spans
 
 DEPTH = 4
 END = 255
-#: Bounds of what is sent to every task: nodes of the tree, and words looked up there (others are joined).
+#: Bounds of what is sent to every task: nodes of the tree, and words looked up there (other grams and words are joined).
 NODES = 2_000_000
 FREQUENT = 500_000
 #: Bytes of text handled at once; each byte takes some dozens of bytes of arrays.
@@ -126,13 +129,10 @@ def _log_kt(zeros: Column, ones: Column) -> Column:
     return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1.0) - 1.1447298858494002
 
 
-def node_table(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(key, n, one, weight): decisions in each node, probability of a one, and the weight of the node's own answer.
-
-    key = ((depth * 256**DEPTH + context) * 256 + 1 and the bits so far), the most recent context byte lowest.
-    """
-    byte = F.col("key").bitwiseAND(255)
-    bits = F.array(
+def _decisions(key: str = "key") -> Column:
+    """The eight decisions of a gram's last byte: the path to each and its bit."""
+    byte = F.col(key).bitwiseAND(255)
+    return F.array(
         *[
             F.struct(
                 (F.lit(1 << i).bitwiseOR(F.shiftright(byte, 8 - i))).cast("bigint").alias("path"),
@@ -141,26 +141,37 @@ def node_table(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
             for i in range(8)
         ]
     )
-    decisions = grams.select(F.shiftright("key", 8).alias("context"), "n", F.explode(bits).alias("d"))
+
+
+def _recent(context: str, d: int) -> Column:
+    """The ``d`` most recent bytes of a context."""
+    return F.col(context).bitwiseAND((1 << (8 * d)) - 1)
+
+
+def levels(grams: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
+    """(context, path, n, one, weight) of the nodes of each depth, from 0 on, as written tables.
+
+    Decisions in each node, probability of a one, and the weight of the node's own answer.
+    """
+    decisions = grams.select(F.shiftright("key", 8).alias("context"), "n", F.explode(_decisions()).alias("d"))
     level = decisions.groupBy("context", F.col("d.path").alias("path")).agg(
         F.sum(F.when(F.col("d.bit") == 0, F.col("n")).otherwise(0)).alias("zeros"),
         F.sum(F.when(F.col("d.bit") == 1, F.col("n")).otherwise(0)).alias("ones"),
     )
     level = level.withColumn("weighted", _log_kt(F.col("zeros"), F.col("ones"))).withColumn("weight", F.lit(1.0))
-    result = None
+    result = []
     for d in range(depth, -1, -1):
         level = written(level, "tree")
-        key = (F.lit(d).cast("bigint") * (1 << 40)) + F.col("context") * 256 + F.col("path")
         named = level.select(
-            key.alias("key"),
+            "context",
+            "path",
             (F.col("zeros") + F.col("ones")).alias("n"),
             ((F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)).cast("float").alias("one"),
             F.col("weight").cast("float").alias("weight"),
         )
-        result = named if result is None else result.unionByName(named)
+        result.insert(0, named)
         if d:
-            kept = F.col("context").bitwiseAND((1 << (8 * (d - 1))) - 1)
-            above = level.groupBy(kept.alias("context"), "path").agg(
+            above = level.groupBy(_recent("context", d - 1).alias("context"), "path").agg(
                 F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below")
             )
             own = _log_kt(F.col("zeros"), F.col("ones")) - F.log(F.lit(2.0))
@@ -175,6 +186,70 @@ def node_table(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
     return result
 
 
+def node_table(tree: list[DataFrame]) -> DataFrame:
+    """(key, n, one, weight) of the nodes of all levels.
+
+    key = ((depth * 256**DEPTH + context) * 256 + 1 and the bits so far), the most recent context byte lowest.
+    """
+    result = None
+    for d, level in enumerate(tree):
+        key = (F.lit(d).cast("bigint") * (1 << 40)) + F.col("context") * 256 + F.col("path")
+        named = level.select(key.alias("key"), "n", "one", "weight")
+        result = named if result is None else result.unionByName(named)
+    return result
+
+
+def answers(tree: list[DataFrame]) -> list[DataFrame]:
+    """(context, path, value) of each depth: the tree's probability of a one if no deeper node was seen.
+
+    From the root on, a node adds weight * one to what its ancestors said and leaves the share 1 - weight to its child.
+    """
+    own, one = F.col("weight").cast("double"), F.col("one").cast("double")
+    result, above = [], None
+    for d, level in enumerate(tree):
+        if above is None:
+            level = level.withColumn("said", F.lit(0.0)).withColumn("left", F.lit(1.0))
+        else:
+            level = level.withColumn("__above", _recent("context", d - 1)).join(above, ["__above", "path"])
+        level = written(
+            level.select(
+                "context",
+                "path",
+                (F.col("said") + F.col("left") * one).alias("value"),
+                (F.col("said") + F.col("left") * own * one).alias("said"),
+                (F.col("left") * (1 - own)).alias("left"),
+            ),
+            "answers",
+        )
+        above = level.select(F.col("context").alias("__above"), "path", "said", "left")
+        result.append(level.select("context", "path", "value"))
+    return result
+
+
+def gram_logs(grams: DataFrame, tree: list[DataFrame]) -> DataFrame:
+    """(key, log): log10 of the probability of each of these distinct grams' last byte, by joins with the whole tree."""
+    values = answers(tree)
+    depth = len(tree) - 1
+    decisions = grams.select("key", F.shiftright("key", 8).alias("context"), F.explode(_decisions()).alias("d"))
+    decisions = decisions.select("key", "context", "d.path", "d.bit")
+    looked = written(decisions.join(values[depth], ["context", "path"], "left"), "decisions")
+    known = looked.where(F.col("value").isNotNull()).select("key", "bit", "value")
+    shallow = None
+    for d in range(depth):
+        level = values[d].select(F.lit(d).alias("depth"), "context", "path", "value")
+        shallow = level if shallow is None else shallow.unionByName(level)
+    if shallow is not None:
+        contexts = F.array(*[F.struct(F.lit(d).alias("depth"), _recent("context", d).alias("context")) for d in range(depth)])
+        sought = looked.where(F.col("value").isNull()).select("key", "path", "bit", F.explode(contexts).alias("c"))
+        sought = sought.select("key", "path", "bit", "c.depth", "c.context").join(shallow, ["depth", "context", "path"], "left")
+        deepest = F.max(F.when(F.col("value").isNotNull(), F.struct("depth", "value")))["value"]
+        known = known.unionByName(
+            sought.groupBy("key", "path", "bit").agg(F.coalesce(deepest, F.lit(0.5)).alias("value")).drop("path")
+        )
+    chance = F.when(F.col("bit") == 1, F.col("value")).otherwise(1 - F.col("value"))
+    return known.groupBy("key").agg(F.sum(F.log10(chance)).alias("log"))
+
+
 def _bounded(table: DataFrame, number: str, most: int) -> DataFrame:
     """Rows whose ``number`` reaches the smallest power of two that leaves at most ``most`` rows."""
     steps = {r.step: r.rows for r in table.groupBy(F.floor(F.log2(number)).alias("step")).agg(F.count("*").alias("rows")).collect()}
@@ -205,12 +280,16 @@ def _gathered(table: DataFrame, kinds: dict[str, type]) -> list[np.ndarray]:
 
 @dataclass
 class Tree:
-    """Nodes in order of their keys, and remembered answers for grams seen lately (they change no result)."""
+    """Nodes in order of their keys, and remembered answers for grams seen lately (they change no result).
+
+    If there are nodes besides these (not ``complete``), a gram whose deepest nodes are not all here has no answer (NaN).
+    """
 
     keys: np.ndarray
     one: np.ndarray
     weight: np.ndarray
     depth: int = DEPTH
+    complete: bool = True
 
     def __post_init__(self):
         self.slots = self.values = None
@@ -219,6 +298,16 @@ class Tree:
         """log10 of the probability of each gram's last byte after its other bytes."""
         byte, context = grams & 255, grams >> 8
         total = np.zeros(len(grams))
+        if not self.complete:
+            # the last decision's node at the full depth is seen least of all the gram's nodes: with it all others are here
+            last = (self.depth << 40) + context * 256 + (128 | (byte >> 1))
+            place = np.minimum(np.searchsorted(self.keys, last), max(0, len(self.keys) - 1))
+            whole = self.keys[place] == last if len(self.keys) else np.zeros(len(grams), bool)
+            total[~whole] = np.nan
+            if whole.any() and not whole.all():
+                total[whole] = self.bits(grams[whole])
+            if not whole.all():
+                return total
         for i in range(8):
             path = (1 << i) | (byte >> (8 - i))
             bit = (byte >> (7 - i)) & 1
@@ -252,7 +341,10 @@ class Tree:
         return out
 
 
-_SCORED = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double, rare array<bigint>"
+_SCORED = (
+    "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double, rare array<bigint>, "
+    "grams array<struct<key:bigint,times:bigint>>"
+)
 
 
 def scored(docs: DataFrame, modulo: int = 10, depth: int = DEPTH, nodes: int = NODES, frequent: int = FREQUENT) -> DataFrame:
@@ -271,11 +363,12 @@ def scored(docs: DataFrame, modulo: int = 10, depth: int = DEPTH, nodes: int = N
     totals = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, kinds = (totals.n or 0) + ends, totals.v + (1 if ends else 0)
     scale = tokens + 0.1 * (kinds + 1)
-    tree_nodes = _gathered(
-        _bounded(node_table(grams, depth), "n", nodes), {"key": np.int64, "one": np.float32, "weight": np.float32}
-    )
+    every_level = levels(grams, depth)
+    all_nodes = node_table(every_level)
+    tree_nodes = _gathered(_bounded(all_nodes, "n", nodes), {"key": np.int64, "one": np.float32, "weight": np.float32})
+    complete = all_nodes.count() == len(tree_nodes[0])
     order = np.argsort(tree_nodes[0], kind="stable")
-    tree = spark.sparkContext.broadcast(Tree(*[x[order] for x in tree_nodes], depth))
+    tree = spark.sparkContext.broadcast(Tree(*[x[order] for x in tree_nodes], depth, complete))
     common = _gathered(_bounded(words, "n", frequent), {"key": np.int64, "n": np.int64})
     order = np.argsort(common[0])
     lookup = spark.sparkContext.broadcast((common[0][order], common[1][order]))
@@ -289,8 +382,18 @@ def scored(docs: DataFrame, modulo: int = 10, depth: int = DEPTH, nodes: int = N
             texts = text_array(batch)
             for first, stop, data, offsets in chunks(texts, STRETCH, lower=False):
                 grams, bounds = gram_keys(data, offsets, model.depth)
-                score = np.add.reduceat(model.score(grams), bounds[:-1])
                 count = stop - first
+                answer = model.score(grams)
+                asked = np.flatnonzero(np.isnan(answer))
+                answer[asked] = 0.0
+                score = np.add.reduceat(answer, bounds[:-1])
+                asked_row = np.searchsorted(bounds, asked, "right") - 1
+                order = np.lexsort((grams[asked], asked_row))
+                asked_row, asked_key = asked_row[order], grams[asked][order]
+                new = np.flatnonzero((np.diff(asked_row, prepend=-1) != 0) | (np.diff(asked_key, prepend=-1) != 0))
+                times = np.diff(np.append(new, len(asked_key)))
+                asked_edges = np.concatenate([[0], np.cumsum(np.bincount(asked_row[new], minlength=count))])
+                joined = pa.StructArray.from_arrays([pa.array(asked_key[new]), pa.array(times)], names=["key", "times"])
                 lowered = LOWER[data]
                 start, end, edges = word_spans(lowered, offsets, SPACE)
                 sizes = np.diff(edges)
@@ -315,8 +418,9 @@ def scored(docs: DataFrame, modulo: int = 10, depth: int = DEPTH, nodes: int = N
                         pa.array(base),
                         pa.array(score),
                         pa.ListArray.from_arrays(pa.array(rare_edges, pa.int32()), pa.array(values[inverse[rare]], pa.int64())),
+                        pa.ListArray.from_arrays(pa.array(asked_edges, pa.int32()), joined),
                     ],
-                    names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "rare"],
+                    names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "rare", "grams"],
                 )
                 row += count
 
@@ -327,11 +431,18 @@ def scored(docs: DataFrame, modulo: int = 10, depth: int = DEPTH, nodes: int = N
         F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.1) / F.lit(scale))).alias("more"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("known"),
     )
-    return rows.drop("rare").join(more, "row", "left").select(
+    rows = rows.drop("rare")
+    own = F.col("score")
+    if not complete:
+        asked = rows.select("row", F.explode("grams").alias("g")).select("row", "g.key", "g.times")
+        logs = gram_logs(asked.select("key").distinct(), every_level)
+        added = asked.join(logs, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("added"))
+        rows, own = rows.join(added, "row", "left"), own + F.coalesce("added", F.lit(0.0))
+    return rows.drop("grams").join(more, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
+        own.alias("score"),
     )
