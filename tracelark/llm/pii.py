@@ -3,13 +3,15 @@
 Patterns find e-mail and IP addresses, card and phone numbers.  Every one found
 is a protected entity, whose text may be replaced; but words that keep standing
 next to it still tell who is meant.  Corpus counts say how strongly: with N
-documents, n(e) of them with entity e, n(t) with term t and n(e,t) with t near e,
+documents, n(e) of them with entity e, n(t) with term t and n(e,t) with both,
 
     disclosure(t, e) = PMI(t, e) / IC(e) = log(n(e,t) N / (n(e) n(t))) / log(N / n(e)),
 
-which is 1 if the term occurs next to the entity only.  Near the entity, terms
-are removed above one threshold and generalised above a lower one.  Counts are
-of document rows and over all of them.
+which is 1 if the term occurs in documents of the entity only.  Pairs are those
+that stand near each other at least once.  Wherever a document of the entity
+holds the term, it is removed above one threshold and generalised above a lower
+one.  A document without the entity keeps the term.  Counts are of document rows
+and over all of them.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
+from .contexttree import _gathered
 from .tables import BROADCAST_ROWS, TEXT_HASH, document_texts, narrow, text_hash, written
 from .textops import NOT_ALNUM, chunks, text_array, word_hashes, word_spans
 
@@ -33,7 +36,7 @@ CONTEXT_CHARS = 120
 MIN_TERM_CHARS = 3
 REMOVE_AT = 0.9
 GENERALISE_AT = 0.6
-#: Documents in which a term must stand near an entity before its counts say anything.
+#: Documents that must hold both a term and an entity before their counts say anything.
 MIN_SUPPORT = 3
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -127,15 +130,18 @@ _NEAR = "array<struct<entity:bigint,term:bigint,start:int,end:int>>"
 
 
 def annotated(docs: DataFrame) -> DataFrame:
-    """Each document row's key, counts by kind, base spans as text with their digest, and the terms near them."""
+    """Each document row's key, counts by kind, base spans as text with their digest, the terms near them, and its entities.
+
+    Rows with an entity have their text as well, so that what follows need not read all documents.
+    """
     near_type = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
-    names = ["doc_id", TEXT_HASH, *[f"n_{k}" for k in KINDS], "base_sha256", "base_spans", "near"]
+    names = ["doc_id", TEXT_HASH, *[f"n_{k}" for k in KINDS], "base_sha256", "base_spans", "near", "entities", "text"]
 
     def run(batches):
         for batch in batches:
             texts = text_array(batch)
             for first, stop, _, _ in chunks(texts, lower=False):
-                counts, digests, shown, nears = [[] for _ in KINDS], [], [], []
+                counts, digests, shown, nears, entities, kept = [[] for _ in KINDS], [], [], [], [], []
                 terms: list[str] = []
                 for text in texts.slice(first, stop - first).to_pylist():
                     spans = base_spans(text)
@@ -145,14 +151,17 @@ def annotated(docs: DataFrame) -> DataFrame:
                     shown.append(line)
                     digests.append(hashlib.sha256(line.encode()).hexdigest())
                     taken = [x for k in KINDS for x in spans[k]]
-                    near = []
+                    near, own = [], set()
                     for kind in KINDS:
                         for s, e in spans[kind]:
                             entity = _entity(kind, text[s:e])
+                            own.add(entity)
                             for a, b, term in _near(text, s, e, taken):
                                 near.append({"entity": entity, "term": len(terms), "start": a, "end": b})
                                 terms.append(term)
                     nears.append(near)
+                    entities.append(sorted(own))
+                    kept.append(text if own else None)
                 if terms:
                     hashes = _term_hashes(terms).tolist()
                     for near in nears:
@@ -162,13 +171,14 @@ def annotated(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, count), batch.column(1).slice(first, count)]
                     + [pa.array(c, pa.int64()) for c in counts]
-                    + [pa.array(digests, pa.string()), pa.array(shown, pa.string()), pa.array(nears, near_type)],
+                    + [pa.array(digests, pa.string()), pa.array(shown, pa.string()), pa.array(nears, near_type)]
+                    + [pa.array(entities, pa.list_(pa.int64())), pa.array(kept, pa.string())],
                     names=names,
                 )
 
     plain = document_texts(docs).select("doc_id", text_hash().alias(TEXT_HASH), "text")
     numbers = ", ".join(f"n_{k} bigint" for k in KINDS)
-    return plain.mapInArrow(run, f"doc_id bigint, {TEXT_HASH} bigint, {numbers}, base_sha256 string, base_spans string, near {_NEAR}")
+    return plain.mapInArrow(run, f"doc_id bigint, {TEXT_HASH} bigint, {numbers}, base_sha256 string, base_spans string, near {_NEAR}, entities array<bigint>, text string")
 
 
 def document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -207,17 +217,110 @@ def document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return result.groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
+def _pair_blocks(pairs: DataFrame, *more: str):
+    """Broadcast arrays of entities and their terms in order (and other columns), in blocks of bounded size."""
+    spark = pairs.sparkSession
+    blocks = max(1, -(-pairs.count() // BROADCAST_ROWS))
+    for block in range(blocks):
+        part = pairs.where(F.pmod(F.xxhash64("entity", "term"), F.lit(blocks)) == block)
+        arrays = _gathered(part, {"entity": np.int64, "term": np.int64, **{m: np.int64 for m in more}})
+        order = np.lexsort((arrays[1], arrays[0]))
+        yield spark.sparkContext.broadcast([a[order] for a in arrays])
+
+
+def _meetings(batch: pa.RecordBatch, entity: np.ndarray, term: np.ndarray):
+    """(row, bytes, offset of the row, starts and ends of words, their hashes, places in ``entity`` and ``term`` of the pairs the row holds)."""
+    owned = batch.column(batch.schema.get_field_index("entities"))
+    for first, stop, data, offsets in chunks(text_array(batch)):
+        start, end, bounds = word_spans(data, offsets, NOT_ALNUM)
+        hashes = word_hashes(data, start, end).view(np.int64)
+        for row in range(first, stop):
+            a, b = bounds[row - first], bounds[row - first + 1]
+            held, places = None, []
+            for e in owned[row].as_py():
+                low, high = np.searchsorted(entity, e, "left"), np.searchsorted(entity, e, "right")
+                if low == high:
+                    continue
+                held = np.unique(hashes[a:b]) if held is None else held
+                if high - low > len(held):
+                    at = np.searchsorted(term[low:high], held)
+                    at = at[(at < high - low) & (term[low + np.minimum(at, high - low - 1)] == held)]
+                else:
+                    at = np.searchsorted(held, term[low:high])
+                    at = np.flatnonzero((at < len(held)) & (held[np.minimum(at, len(held) - 1)] == term[low:high])) if len(held) else at[:0]
+                places.append(low + at)
+            if places:
+                yield row, data, offsets[row - first], start[a:b], end[a:b], hashes[a:b], np.concatenate(places)
+
+
+def together(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(entity, term, n_both): annotated rows that hold both, anywhere in the text."""
+    result = None
+    for sent in _pair_blocks(pairs):
+
+        def run(batches, sent=sent):
+            entity, term = sent.value
+            counts = np.zeros(len(entity), np.int64)
+            for batch in batches:
+                for *_, places in _meetings(batch, entity, term):
+                    counts[places] += 1
+            some = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(entity[some]), pa.array(term[some]), pa.array(counts[some])], names=["entity", "term", "n"]
+            )
+
+        held = rows.where(F.size("entities") > 0).select("entities", "text")
+        counted = held.mapInArrow(run, "entity bigint, term bigint, n bigint")
+        result = counted if result is None else result.unionByName(counted)
+    return result.groupBy("entity", "term").agg(F.sum("n").alias("n_both"))
+
+
+def everywhere(rows: DataFrame, told: DataFrame) -> DataFrame:
+    """(doc_id, text hash, start, end, gone): every place of a told term in the annotated rows that hold its entity."""
+    flags = told.withColumn("gone", F.col("gone").cast("bigint"))
+    result = None
+    for sent in _pair_blocks(flags, "gone"):
+
+        def run(batches, sent=sent):
+            entity, term, gone = sent.value
+            for batch in batches:
+                out: list[list] = [[], [], [], []]
+                bases = batch.column(batch.schema.get_field_index("base_spans"))
+                for row, data, offset, start, end, hashes, places in _meetings(batch, entity, term):
+                    if not len(places):
+                        continue
+                    taken = np.array([x.split(":")[1:] for x in bases[row].as_py().split(",")], np.int64)
+                    for flag in (0, 1):
+                        at = np.flatnonzero(np.isin(hashes, term[places[gone[places] == flag]]))
+                        if not len(at):
+                            continue
+                        # code points: bytes that continue no letter
+                        points = np.concatenate([[0], np.cumsum((data[offset : end[at[-1]]] & 0xC0) != 0x80)])
+                        a, b = points[start[at] - offset], points[end[at] - offset]
+                        free = ~((taken[:, 0] < b[:, None]) & (a[:, None] < taken[:, 1])).any(1)
+                        for column, values in zip(out, (np.full(free.sum(), row), a[free], b[free], np.full(free.sum(), flag == 1))):
+                            column.extend(values.tolist())
+                at = pa.array(out[0], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at)]
+                    + [pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.bool_())],
+                    names=["doc_id", TEXT_HASH, "start", "end", "gone"],
+                )
+
+        held = rows.where(F.size("entities") > 0).select("doc_id", TEXT_HASH, "entities", "base_spans", "text")
+        found = held.mapInArrow(run, f"doc_id bigint, {TEXT_HASH} bigint, start int, end int, gone boolean")
+        result = found if result is None else result.unionByName(found)
+    return result
+
+
 def disclosures(docs: DataFrame, rows: DataFrame, min_support: int = MIN_SUPPORT) -> DataFrame:
-    """(entity, term, disclosure) of all pairs with enough support, from the annotated rows."""
+    """(entity, term, disclosure) of all pairs with enough support that stand near each other somewhere, from the annotated rows."""
     total = rows.count()
-    near = rows.where(F.size("near") > 0)
-    own_pairs = F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))
-    together = near.select(F.explode(own_pairs).alias("x")).select("x.entity", "x.term")
-    own = F.array_distinct(F.transform("near", lambda x: x["entity"]))
-    entities = near.select(F.explode(own).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = written(
-        together.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= min_support), "pairs"
-    )
+    entities = rows.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    entities = written(entities.where(F.col("n_entity") >= min_support), "entities")
+    near = rows.select(F.explode("near").alias("x")).select("x.entity", "x.term").distinct()
+    candidates = written(near.join(entities, "entity").select("entity", "term"), "candidates")
+    pairs = written(together(rows, candidates).where(F.col("n_both") >= min_support), "pairs")
     terms = written(pairs.select("term").distinct(), "terms")
     frequencies = document_frequencies(docs, terms)
     counted = pairs.join(entities, "entity").join(frequencies, "term")
@@ -239,14 +342,15 @@ def spans_of(
     told = disclosures(docs, rows, min_support).where(F.col("disclosure") >= generalise_at)
     told = written(told.select("entity", "term", (F.col("disclosure") >= remove_at).alias("gone")), "disclosures")
     near = rows.where(F.size("near") > 0).select("doc_id", TEXT_HASH, F.explode("near").alias("x")).select("doc_id", TEXT_HASH, "x.*")
-    flagged = near.join(told, ["entity", "term"]).groupBy("doc_id", TEXT_HASH, "start", "end").agg(F.max("gone").alias("gone"))
+    places = near.join(told, ["entity", "term"]).select("doc_id", TEXT_HASH, "start", "end", "gone")
+    flagged = places.unionByName(everywhere(rows, told)).groupBy("doc_id", TEXT_HASH, "start", "end").agg(F.max("gone").alias("gone"))
     flagged = flagged.withColumn("kind", F.when(F.col("gone"), "remove").otherwise("generalise"))
     ordered = F.transform(
         F.array_sort(F.collect_list(F.struct("kind", "start", "end"))), lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])
     )
     more = written(flagged.groupBy("doc_id", TEXT_HASH).agg(F.array_join(ordered, ",").alias("more")), "spans")
     other = more.select(F.col("doc_id").alias("__id"), F.col(TEXT_HASH).alias("__hash"), "more")
-    joined = rows.drop("near").join(
+    joined = rows.drop("near", "entities", "text").join(
         narrow(other), rows.doc_id.eqNullSafe(F.col("__id")) & (rows[TEXT_HASH] == F.col("__hash")), "left"
     )
     base = F.when(F.col("base_spans") != "", F.col("base_spans"))
