@@ -9,6 +9,11 @@ its virtual time (j + 1/2) / w, so how many tokens each queue has given after W
 windows is a function of W, the weights and the queue lengths alone.  Each task
 evaluates it for the windows its documents fall in, and deficits carry over
 windows, partitions and tasks without any message between them.
+
+Sources beyond the largest ones form groups, and a group is one queue whose
+places are dealt to its own queues by the same rule (in as many levels as it
+takes), so every source keeps its share and no evaluation sees many queues.
+Sources with a target are never in a group.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from .textops import chunks, text_array
 
 WINDOW = 2048
 END_ID = 1
-#: Sources beyond the largest ones share the last queue, so that a window never has more queues.
+#: Queues dealt to at once; sources beyond the largest ones without a target form groups, each one queue of its own queues.
 QUEUES = 256
 #: Words whose ids a worker remembers.
 CACHED_WORDS = 500_000
@@ -257,40 +262,93 @@ def given_after(windows: np.ndarray, window: int, lengths: np.ndarray, weights:
 
 
 class Schedule:
-    """Where in which window each place of each queue is."""
+    """Where in which window each place of each source is.
+
+    A source is named by the queues on its path: of the whole, of its group, of the group in that, and so on.
+    """
 
-    def __init__(self, lengths: np.ndarray, weights: np.ndarray, window: int):
-        self.lengths, self.weights, self.window = lengths, weights, window
+    def __init__(self, lengths: np.ndarray, weights: np.ndarray, window: int, groups: dict[int, Schedule] | None = None):
+        self.lengths, self.weights, self.window, self.groups = lengths, weights, window, groups or {}
         self.windows = -(-int(lengths.sum()) // window)
 
-    def _at(self, windows: np.ndarray) -> np.ndarray:
-        return given_after(windows, self.window, self.lengths, self.weights)
+    def _given(self, path: tuple[int, ...], windows: np.ndarray) -> list[np.ndarray]:
+        """Per step of the path, the places that each of its queues has given before each window."""
+        out, level, places, step = [], self, windows, self.window
+        for queue in path:
+            out.append(given_after(places, step, level.lengths, level.weights))
+            places, step, level = out[-1][:, queue], 1, level.groups.get(queue)
+        return out
 
-    def window_of(self, queue: int, place: int) -> int:
+    def window_of(self, path: tuple[int, ...], place: int) -> int:
         """The window of one place: the last one that begins at or before it."""
         low, high = 0, self.windows
         while high - low > 1:
             middle = np.unique(np.linspace(low, high, 18).astype(np.int64))[1:-1]
-            begun = middle[self._at(middle)[:, queue] <= place]
-            low, high = (int(begun[-1]) if len(begun) else low), int(min([high, *middle[self._at(middle)[:, queue] > place]]))
+            before = self._given(path, middle)[-1][:, path[-1]]
+            begun = middle[before <= place]
+            low, high = (int(begun[-1]) if len(begun) else low), int(min([high, *middle[before > place]]))
         return low
 
-    def table(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
-        """For windows low..high: places given before each (one row more), and offset of each queue's tokens in the window."""
-        given = self._at(np.arange(low, high + 2))
-        taken = np.diff(given, axis=0)
-        return given, np.cumsum(taken, axis=1) - taken
-
-
-def _pieces(schedule: Schedule, queue_of: dict, id_type, window: int):
+    def table(self, path: tuple[int, ...], low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """For windows low..high: places of the source given before each (one row more), and offset of its tokens in the window."""
+        shift = np.zeros(high - low + 1, np.int64)
+        steps = self._given(path, np.arange(low, high + 2))
+        for queue, given in zip(path, steps):
+            shift += np.diff(given[:, :queue], axis=0).sum(1)
+        return steps[-1][:, path[-1]], shift
+
+
+def _grouped(sizes: list[int], at: list[int], total: int, most: int, window: int) -> tuple[Schedule, dict[int, tuple[int, ...]]]:
+    """A schedule of the sources numbered ``at``, weighed by their sizes, in levels of at most ``most`` queues; and their paths."""
+    members: list[list[int]] = [[i] for i in at]
+    if len(at) > most:
+        # groups of nearly equal numbers of sources
+        members = [list(map(int, part)) for part in np.array_split(np.array(at), most)]
+    groups, paths, lengths = {}, {}, []
+    for queue, own in enumerate(members):
+        lengths.append(sum(sizes[i] for i in own))
+        if len(own) == 1:
+            paths[own[0]] = (queue,)
+        else:
+            groups[queue], inner = _grouped(sizes, own, total, most, window)
+            paths.update({i: (queue, *rest) for i, rest in inner.items()})
+    lengths = np.array(lengths, np.int64)
+    return Schedule(lengths, np.maximum(lengths, 1) / total, window, groups), paths
+
+
+def schedule_of(sizes: list[int], asked: list[float], queues: int, window: int) -> tuple[Schedule, list[tuple[int, ...]]]:
+    """The schedule of all sources and each one's path.
+
+    A queue of its own have all sources with a target and the largest others, ``queues - 1`` in all or as many as have
+    targets; the rest is the last queue, if there is any.
+    """
+    total = max(1, sum(sizes))
+    wanted = [i for i, share in enumerate(asked) if share > 0]
+    others = sorted((i for i, share in enumerate(asked) if not share > 0), key=lambda i: (-sizes[i], i))
+    room = max(0, queues - 1 - len(wanted))
+    alone, rest = sorted(wanted + others[:room]), sorted(others[room:])
+    lengths = [sizes[i] for i in alone]
+    weights = [asked[i] if asked[i] > 0 else max(sizes[i], 1) / total for i in alone]
+    paths: dict[int, tuple[int, ...]] = {i: (queue,) for queue, i in enumerate(alone)}
+    groups = {}
+    if rest:
+        groups[len(alone)], inner = _grouped(sizes, rest, total, max(2, queues), window)
+        paths.update({i: (len(alone), *path) for i, path in inner.items()})
+        lengths.append(sum(sizes[i] for i in rest))
+        weights.append(max(lengths[-1], 1) / total)
+    return Schedule(np.array(lengths, np.int64), np.array(weights), window, groups), [paths[i] for i in range(len(sizes))]
+
+
+def _pieces(sent, id_type, window: int):
     def run(batches):
+        schedule, paths = sent.value
         word_encoder.cache_clear()  # the tokens are written: a worker need not keep the words for what runs next
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             sources = batch.column(1).to_pylist()
             sizes, first = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             blobs = batch.column(4)
-            queues = np.array([queue_of.get(s, len(schedule.lengths) - 1) for s in sources], np.int64)
+            queues = batch.column(5).to_numpy()
             out = [[] for _ in range(8)]
             # documents of one queue whose places follow each other closely are looked up together
             for queue in np.unique(queues):
@@ -298,10 +356,10 @@ def _pieces(schedule: Schedule, queue_of: dict, id_type, window: int):
                 rows = rows[np.argsort(first[rows], kind="stable")]
                 gaps = np.flatnonzero(np.diff(first[rows]) - sizes[rows][:-1] > 64 * window) + 1
                 for group in np.split(rows, gaps):
-                    low = schedule.window_of(queue, int(first[group[0]]))
-                    high = schedule.window_of(queue, int(first[group[-1]] + sizes[group[-1]] - 1))
-                    given, offsets = schedule.table(low, high)
-                    edges, shift = given[:, queue], offsets[:, queue]
+                    path = paths[queue]
+                    low = schedule.window_of(path, int(first[group[0]]))
+                    high = schedule.window_of(path, int(first[group[-1]] + sizes[group[-1]] - 1))
+                    edges, shift = schedule.table(path, low, high)
                     for i in group:
                         begin, end = int(first[i]), int(first[i] + sizes[i])
                         ids = np.frombuffer(blobs[i].as_buffer(), id_type).astype("<u4")
@@ -344,31 +402,28 @@ def pack(
     target gets its share of the corpus.  All windows but the last are full.  A
     null text is empty (its only id is ``end_id``; without one it has no piece),
     a null source is a source, repeated rows are packed once each, no rows give
-    no pieces.  Sources beyond ``queues - 1`` largest ones share one queue.
+    no pieces.  At most ``queues`` queues (more only for targets) are dealt to at
+once: sources beyond the largest ones form groups with the same rule inside.
+The driver and each task hold a length and a place for every source.
     """
     spark = docs.sparkSession
     tokens = written(tokenised(docs, tokenizer_path, end_id), "tokens")
     by_part = written(tokens.groupBy("part", "source").agg(F.sum("n").alias("n")), "queues")
-    totals = by_part.groupBy("source").agg(F.sum("n").alias("n"))
-    largest = totals.orderBy(F.desc("n"), "source").limit(queues - 1).collect()
-    names = sorted((r.source for r in largest), key=lambda s: (s is not None, s or ""))
-    size_of = {r.source: r.n for r in largest}
-    rest = (totals.agg(F.sum("n")).first()[0] or 0) - sum(size_of.values())
-    lengths = np.array([size_of[s] for s in names] + [rest], np.int64)
-    asked = np.array([(targets or {}).get(s, 0.0) for s in names] + [0.0])
-    total = max(1, int(lengths.sum()))
-    weights = np.where(asked > 0, asked, np.maximum(lengths, 1) / total)
-    schedule = Schedule(lengths, weights, window)
-    queue_of = {s: i for i, s in enumerate(names)}
-
-    known = spark.createDataFrame([(s, i) for s, i in queue_of.items()], "source string, queue int")
-    parts = by_part.alias("p").join(F.broadcast(known.alias("k")), F.col("p.source").eqNullSafe(F.col("k.source")), "left")
-    parts = parts.select("part", "p.source", F.coalesce("queue", F.lit(len(names))).alias("queue"), "n")
-    earlier = Window.partitionBy("queue").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)
-    bases = written(parts.select("part", "source", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")), "bases")
+    totals = by_part.groupBy("source").agg(F.sum("n").alias("n")).collect()
+    totals.sort(key=lambda r: (r.source is not None, r.source or ""))
+    sizes = [r.n for r in totals]
+    if not sum(sizes):
+        return spark.createDataFrame([], PIECE_DDL)
+    schedule, paths = schedule_of(sizes, [(targets or {}).get(r.source, 0.0) for r in totals], queues, window)
+
+    known = spark.createDataFrame([(r.source, i) for i, r in enumerate(totals)], "source string, queue bigint")
+    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = by_part.select("part", "source", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")).alias("p")
+    parts = parts.join(narrow(known, len(totals)).alias("k"), F.col("p.source").eqNullSafe(F.col("k.source")))
+    bases = written(parts.select("part", "p.source", "base", "queue"), "bases")
     placed = tokens.where("n > 0").alias("t").join(
         narrow(bases).alias("b"), (F.col("t.part") == F.col("b.part")) & F.col("t.source").eqNullSafe(F.col("b.source"))
     )
-    columns = placed.select("doc_id", F.col("t.source").alias("source"), "n", (F.col("base") + F.col("before")).alias("first"), "ids")
+    columns = placed.select("doc_id", F.col("t.source").alias("source"), "n", (F.col("base") + F.col("before")).alias("first"), "ids", "queue")
     id_type = word_encoder(tokenizer_path).type
-    return columns.mapInArrow(_pieces(schedule, queue_of, id_type, window), PIECE_DDL)
+    return columns.mapInArrow(_pieces(spark.sparkContext.broadcast((schedule, paths)), id_type, window), PIECE_DDL)
