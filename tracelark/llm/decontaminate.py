@@ -7,8 +7,10 @@ their number of shingles; the partition with upper bound u looks at windows of
 lies whole in one window and a window is never much larger than the item.  An
 item is a candidate for a document when one of its 32 minima is the minimum of a
 window; with a contained share of 0.8 the similarity with that window is 0.2 or
-more, so an item is missed with a probability below 0.001.  Candidates are
-confirmed by counting the item's shingles in the whole document.
+more, so an item is missed with a probability below 0.001.  Items of up to four
+shingles would have windows too wide for that: every document that holds one of
+their shingles is a candidate, so none is missed.  Candidates are confirmed by
+counting the item's shingles in the whole document.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from .textops import NOT_ALNUM, chunks, overlap, shingle_hashes, shingle_set, te
 
 PERMUTATIONS = 32
 GROWTH = 1.5
+#: Items of at most so many shingles are looked up by each of them instead of by minima.
+FEW = 4
 #: Items are searched in blocks of about this many shingles, so what is sent to the executors is bounded.
 BLOCK = 1_000_000
 
@@ -68,14 +72,25 @@ def item_sets(items: DataFrame, width: int, id_name: str = "item_id") -> DataFra
 
 
 class Index:
-    """The minima of a block of items by shingle width and size class."""
+    """The minima of a block of items by shingle width and size class, and all shingles of items of few."""
 
     def __init__(self, ids: list[int | None], widths: list[int], values: list[np.ndarray]):
         self.ids, self.values = ids, values
         groups: dict[tuple[int, int], list[int]] = {}
+        few: dict[int, list[int]] = {}
         for i, (width, own) in enumerate(zip(widths, values)):
-            groups.setdefault((width, size_class(len(own))), []).append(i)
-        self.widths = sorted({width for width, _ in groups})
+            if len(own) <= FEW:
+                few.setdefault(width, []).append(i)
+            else:
+                groups.setdefault((width, size_class(len(own))), []).append(i)
+        self.widths = sorted({width for width, _ in groups} | set(few))
+        self.few = {}
+        for width, members in few.items():
+            hashes = np.concatenate([values[i].view(np.uint64) for i in members])
+            order = np.argsort(hashes, kind="stable")
+            seen = np.zeros(1 << 20, bool)
+            seen[hashes >> np.uint64(44)] = True
+            self.few[width] = seen, hashes[order], np.repeat(members, [len(values[i]) for i in members])[order]
         self.groups = {}
         for (width, c), members in groups.items():
             slots = []
@@ -88,12 +103,23 @@ class Index:
             self.groups.setdefault(width, []).append((half_window(c), slots))
 
     def candidates(self, width: int, hashes: np.ndarray, ends: np.ndarray) -> set[tuple[int, int]]:
-        """(row, item) pairs whose minima meet in a window."""
+        """(row, item) pairs whose minima meet in a window, or that share a shingle of an item of few."""
         found: set[tuple[int, int]] = set()
         runs = np.diff(ends)
         rows = np.flatnonzero(runs)
         if not len(rows):
             return found
+        if width in self.few:
+            seen, sought, members = self.few[width]
+            maybe = np.flatnonzero(seen[hashes >> np.uint64(44)])
+            left = np.searchsorted(sought, hashes[maybe], "left")
+            right = np.searchsorted(sought, hashes[maybe], "right")
+            hit = right > left
+            row_of = np.searchsorted(ends, maybe[hit], "right") - 1
+            for row, a, b in zip(row_of.tolist(), left[hit], right[hit]):
+                found.update((row, int(m)) for m in members[a:b])
+        if width not in self.groups:
+            return found
         cuts = []
         for half, slots in self.groups[width]:
             blocks = -(-runs[rows] // half)
