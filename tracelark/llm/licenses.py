@@ -5,7 +5,9 @@ words must).  The corpus tells how rare each template word is; the rarest words
 of a template are its index words.  In a file the places of index words are
 looked up, the postings of a template's index words are intersected by relative
 position (place in the file minus place in the template), and what remains is
-verified word by word, with the mandatory phrases of sentences.
+verified word by word, with the mandatory phrases of sentences.  A sentence has
+two more indexed places than words that may differ, so at least two of them agree
+in every file it is to be found in, whichever words those are.
 """
 
 from __future__ import annotations
@@ -97,6 +99,14 @@ def rarity(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> dict
     return {word: found.get(word, 0) for word in vocabulary}
 
 
+def _index_places(template: Template, frequency: dict[str, int]) -> list[tuple[str, int]]:
+    """The places of a sentence with the rarest words, two more than the words that may differ."""
+    count = len(template.words)
+    differ = max(d for d in range(count + 1) if (count - d) / count >= SENTENCE_SHARE)
+    order = sorted(range(count), key=lambda i: (frequency[template.words[i]], template.words[i], i))
+    return [(template.words[i], i) for i in order[: differ + 2]]
+
+
 def _index_words(template: Template, frequency: dict[str, int], most: int) -> list[tuple[str, int]]:
     """The rarest words of a template (highest inverse document frequency) with their places; one place for each."""
     places: dict[str, int] = {}
@@ -115,7 +125,7 @@ def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, freque
     """
     if frequency is None:
         frequency = rarity(docs, templates)
-    index = {t: _index_words(t, frequency, 3 if t.mandatory else 2) for t in templates}
+    index = {t: _index_places(t, frequency) if t.mandatory else _index_words(t, frequency, 2) for t in templates}
     looked_up = sorted({word for own in index.values() for word, _ in own})
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), words_of().alias("words"))
     hit = F.transform("words", lambda w, i: F.when(w.isin(looked_up), F.struct(w.alias("word"), i.alias("place"))))
@@ -126,17 +136,19 @@ def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, freque
         own = F.filter("hits", lambda x: x["word"] == word)
         return F.filter(F.transform(own, lambda x: x["place"] - F.lit(at)), lambda o: o >= 0)
 
+    sentences = [t for t in templates if t.mandatory]
+    # sorted origins, so that equal ones stand side by side
+    rows = rows.select("*", *[F.array_sort(F.flatten(F.array(*[origins(*x) for x in index[t]]))).alias(f"o{i}") for i, t in enumerate(sentences)])
+
     def places(template: Template) -> Column:
-        postings = [origins(word, at) for word, at in index[template]]
         words = F.array(*map(F.lit, template.words))
         if not template.mandatory:
+            postings = [origins(word, at) for word, at in index[template]]
             both = F.array_intersect(postings[0], postings[1]) if len(postings) > 1 else F.array_distinct(postings[0])
             found = F.filter(both, lambda o: F.slice("words", o + 1, len(template.words)) == words)
             return F.transform(found, lambda o: F.struct(o.alias("at"), F.lit(1.0).alias("share")))
-        pairs = [F.array_intersect(a, b) for i, a in enumerate(postings) for b in postings[i + 1 :]]
-        either = pairs[0]
-        for more in pairs[1:]:
-            either = F.array_union(either, more)
+        every = f"o{sentences.index(template)}"
+        either = F.array_distinct(F.filter(every, lambda o, i: F.coalesce(F.get(every, i + 1) == o, F.lit(len(index[template]) < 2))))
 
         def share(o: Column) -> Column:
             same = [F.coalesce(F.get("words", o + i) == w, F.lit(False)).cast("int") for i, w in enumerate(template.words)]
