@@ -259,8 +259,9 @@ def train(docs: DataFrame, documents: int = DOCUMENTS, modulo: int = 5) -> Model
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, text hash, lang_pred and score (mean probability of that label over the words) of every row.
+    """doc_id, text hash, lang_pred, score (mean probability of that label over the words) and clear of every row.
 
+    ``clear`` is the mean over the words of each one's own most likely label, high for texts of several languages too.
     A null text or one without a letter is ``und`` with score 0, as is every text
     if there was nothing to learn from.  Of equal means the first label in order wins.
     """
@@ -271,6 +272,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             texts = text_array(batch)
             names, values = np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts))
+            clear = np.zeros(len(texts))
             for first, stop, data, offsets in chunks(texts):
                 if field is None:
                     continue
@@ -280,6 +282,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 if not len(rows):
                     continue
                 mean = np.add.reduceat(posterior.astype(np.float64), bounds[:-1][rows]) / counts[rows, None]
+                own_best = np.add.reduceat(posterior.max(1).astype(np.float64), bounds[:-1][rows]) / counts[rows]
+                clear[first + rows] = np.minimum(1.0, own_best)
                 # bytes above ASCII may be anything: such rows are looked at letter by letter
                 plain = np.add.reduceat((data[start] < 128).astype(np.int64), bounds[:-1][rows]) > 0
                 for row, sure, own in zip(rows.tolist(), plain.tolist(), mean):
@@ -287,12 +291,12 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                         best = int(own.argmax())
                         names[first + row], values[first + row] = field.labels[best], min(1.0, float(own[best]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(values, pa.float64())],
-                names=["doc_id", TEXT_HASH, "lang_pred", "score"],
+                [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(values), pa.array(clear)],
+                names=["doc_id", TEXT_HASH, "lang_pred", "score", "clear"],
             )
 
     plain = document_texts(docs).select("doc_id", text_hash().alias(TEXT_HASH), "text")
-    return plain.mapInArrow(run, f"doc_id bigint, {TEXT_HASH} bigint, lang_pred string, score double")
+    return plain.mapInArrow(run, f"doc_id bigint, {TEXT_HASH} bigint, lang_pred string, score double, clear double")
 
 
 def language_runs(docs: DataFrame, model: Model) -> DataFrame:
@@ -322,16 +326,20 @@ def language_runs(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def identified(docs: DataFrame, least: float = 0.35, modulo: int = 5) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score of at least ``least``; all columns stay.
+    """The rows of ``docs`` whose words have clear languages, one or several; all columns stay.
 
+    A text goes if the mean probability of its words' own best labels is below
+    ``least`` for four labels; for other numbers of labels the limit is as far on the way from chance to certainty.
     Rows without letters (null texts too) go.  Without labelled rows nothing can
     be told, so all rows with a letter stay.
     """
     model = train(docs, modulo=modulo)
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
+    chance = 1 / len(model.labels)
+    limit = chance + (least - 0.25) / 0.75 * (1 - chance) if len(model.labels) > 1 else 0.0
     found = predict(docs, model)
-    refused = found.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("doc_id", TEXT_HASH).distinct()
+    refused = found.where((F.col("lang_pred") == UNKNOWN) | (F.col("clear") < limit)).select("doc_id", TEXT_HASH).distinct()
     refused = written(refused, "refused")
     other = refused.select(F.col("doc_id").alias("__other"), F.col(TEXT_HASH).alias("__other_hash"))
     keyed = docs.withColumn(TEXT_HASH, text_hash()).withColumn("__id", F.col("doc_id").cast("bigint"))
