@@ -206,3 +206,110 @@ def op7_chat_turns(spark: SparkSession, folder: str) -> DataFrame:
     )
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     return read_back(formatted_conversations(turns))
+
+
+@query(
+    "op11_target_resampling",
+    f"""
+    WITH crc_table AS (
+        SELECT list(c ORDER BY i) AS t FROM (
+            SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+            FROM range(256) r(i))
+    ),
+    own AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM_WORDS} AS w FROM documents),
+    own_words AS (SELECT r, unnest(w) AS word FROM own),
+    asked_words AS (SELECT unnest({_ALNUM_WORDS}) AS word FROM benchmark),
+    hexed AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM own_words UNION SELECT word FROM asked_words)),
+    bytes AS (SELECT word, list_transform(range(1, length(h), 2), lambda p: ('0x' || h[p:p + 1])::BIGINT) AS b FROM hexed),
+    hashed AS (
+        SELECT word, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+        FROM bytes, crc_table
+    ),
+    s AS (SELECT bucket, count(*) AS n FROM own_words JOIN hashed USING (word) GROUP BY bucket),
+    t AS (SELECT bucket, count(*) AS n FROM asked_words JOIN hashed USING (word) GROUP BY bucket),
+    gain AS (
+        SELECT s.bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * (SELECT sum(n) + 10000 FROM s)::DOUBLE)
+            / ((s.n + 1)::DOUBLE * (SELECT coalesce(sum(n), 0) + 10000 FROM t)::DOUBLE)))::BIGINT AS g
+        FROM s LEFT JOIN t USING (bucket)
+    ),
+    weights AS (SELECT r, sum(g)::BIGINT AS weight FROM own_words JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY r),
+    scored AS (
+        SELECT doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+            (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+        FROM own LEFT JOIN weights USING (r)
+    ),
+    ranked AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place FROM scored)
+    SELECT doc_id, n_features, weight, score,
+        CASE WHEN place <= (SELECT count(*) * 10 // 100 FROM scored WHERE n_features >= 20) THEN place END AS rank
+    FROM ranked
+    """,
+)
+def op11_target_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    from .resample import resampled
+
+    found = resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query(
+    "op12_filter_audit",
+    """
+    WITH words AS (
+        SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part,
+            list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+        FROM documents
+    ),
+    failed AS (
+        SELECT part,
+            CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+            || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+            || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' ELSE '' END
+            || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+            || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails,
+            doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good,
+            doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic
+        FROM words
+    ),
+    counted AS (
+        SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+        FROM failed GROUP BY part, fails
+    ),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+    orders AS (
+        SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+    ),
+    steps AS (
+        SELECT filter_order, step::INT AS step, filter_order[step:step] AS own, list_filter(string_split(filter_order[1:step - 1], ''), lambda x: x <> '') AS earlier
+        FROM orders, range(1, 6) r(step)
+    ),
+    places AS (
+        SELECT part, filter_order, step, own,
+            coalesce(sum(n) FILTER (NOT early AND NOT now), 0) AS kept,
+            coalesce(sum(n) FILTER (NOT early AND now), 0) AS removed,
+            coalesce(sum(n) FILTER (early AND now), 0) AS redundant,
+            coalesce(sum(n) FILTER (fails = own), 0) AS unique_fails,
+            coalesce(sum(n_good) FILTER (NOT early AND now), 0) AS good_lost,
+            coalesce(sum(n_toxic) FILTER (NOT early AND now), 0) AS toxic_lost
+        FROM (
+            SELECT *, contains(fails, own) AS now, list_has_any(string_split(fails, ''), earlier) AS early FROM counted, steps
+        ) GROUP BY part, filter_order, step, own
+    )
+    SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+        unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+        (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+    FROM places
+    """,
+)
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    from .audit import filter_audit
+
+    return filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op13_simhash_balls")
+def op13_simhash_balls(spark: SparkSession, folder: str) -> DataFrame:
+    from .simhash import near_fingerprints
+
+    return near_fingerprints(table(spark, folder, "documents"))
