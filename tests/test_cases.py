@@ -1,0 +1,94 @@
+"""Cases numbered in a stream: revisions, lives, parts, and a state that stays small."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tracelark.operators.event_log import Event, EventSource, event_log
+from tracelark.session import fresh_dir
+from tracelark.streaming import numbered_stream, settled_log
+from tracelark.streaming.pipeline import start_available
+
+START = dt.datetime(2024, 1, 1)
+SCHEMA = "case string, ts timestamp, act string, key string"
+RANKS = {"C": 0}
+
+
+def at(minutes):
+    return START + dt.timedelta(minutes=minutes)
+
+
+def source(frame):
+    return EventSource(frame, F.col("case"), F.col("key"), [Event(F.col("act"), F.col("ts"), "C", attributes={"p": F.col("act")})])
+
+
+def streamed(spark, batches, **options):
+    """What was written, and the progress of every micro-batch, over one file per batch."""
+    root = fresh_dir(spark, "cases")
+    for rows in batches:
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    live = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        query = start_available(numbered_stream([source(live)], RANKS, **options), f"{root}/out", f"{root}/checkpoint")
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    return spark.read.parquet(f"{root}/out"), query.recentProgress
+
+
+def numbered(log):
+    return sorted((r.case_id or "", r.event_sequence, r.activity_name, r.event_ts, r.event_attributes["p"]) for r in log.collect())
+
+
+def expected(spark, batches, cases=None):
+    rows = [r for b in batches for r in b if cases is None or r[0] in cases]
+    return numbered(event_log([source(spark.createDataFrame(rows, SCHEMA))], RANKS))
+
+
+BATCHES = [
+    [("a", at(2), "z", "2"), ("b", at(1), "y", "1"), ("a", at(2), "x", "1")],
+    [("c", at(600), "q", "1")],
+    [("c", at(601), "q", "2")],  # the watermark has passed a: complete
+    [("c", at(602), "q", "3")],
+    [("a", at(605), "w", "3"), (None, at(604), "s", "1"), ("a", at(604), "v", "4")],  # a is reopened
+    [("d", at(1300), "q", "1")],
+    [("d", at(1301), "r", "2")],
+    [("f", at(3000), "q", "1")],
+    [("f", at(3001), "q", "2")],
+    [("a", at(9000), "n", "5")],  # long after: another life
+    [("e", at(20_000), "q", "1")],
+    [("e", at(20_001), "q", "2")],
+]
+
+
+def test_reopened_cases_equal_the_batch_log(spark):
+    found, _ = streamed(spark, BATCHES, delay="10 minutes", gap="30 minutes", keep="20 hours")
+    revisions = found.where("case_id = 'a'").groupBy("life").agg(F.max("revision").alias("r")).orderBy("life").collect()
+    assert [r.r for r in revisions] == [2, 1]
+    assert numbered(settled_log(found)) == expected(spark, BATCHES, {"a", "b", "c", "d", "f", None})
+
+
+def test_nothing_is_kept_longer_than_asked(spark):
+    found, _ = streamed(spark, BATCHES, delay="10 minutes", gap="30 minutes", keep="1 second")
+    assert found.agg(F.max("revision")).first()[0] == 1
+    assert found.where("case_id = 'a'").select("life").distinct().count() == 3
+    assert numbered(settled_log(found)) == expected(spark, BATCHES, {"a", "b", "c", "d", "f", None})
+
+
+def test_long_cases_go_out_in_parts(spark):
+    batches = [[("a", at(i + 10 * b), f"n{i % 3}", f"{b}-{i}") for i in range(9)] + [("b", at(b), "x", str(b))] for b in range(4)]
+    batches += [[("e", at(5000), "q", "1")], [("e", at(5001), "q", "2")]]
+    found, _ = streamed(spark, batches, delay="10 minutes", gap="30 minutes", keep="1 hour", most_events=20)
+    assert found.where("case_id = 'a' AND event_sequence IS NULL").count() == 27
+    assert numbered(settled_log(found)) == expected(spark, batches, {"a", "b"})
+    assert numbered(settled_log(found, hot_rows=10)) == expected(spark, batches, {"a", "b"})
+
+
+def test_the_state_does_not_grow(spark):
+    batches = [[(f"c{b}-{i}", at(600 * b + i), "x", "1") for i in range(20)] for b in range(8)]
+    found, progress = streamed(spark, batches, delay="10 minutes", gap="30 minutes", keep="2 hours")
+    keys = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    assert max(keys) <= 3 * keys[0]
+    assert found.select("case_id").distinct().count() == 20 * 7  # the last ones are open

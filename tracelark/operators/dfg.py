@@ -39,10 +39,13 @@ def dfg_edges(
     precision: str = "second",
     dims: Sequence[str] = DIMS,
     accuracy: int | None = PERCENTILE_ACCURACY,
+    sketch_k: int | None = None,
 ) -> DataFrame:
     """Frequency, case count and duration statistics per edge and dimensions.
 
     Percentiles have a rank error of n/``accuracy``; None makes them exact.
+    ``sketch_k`` adds ``duration_sketch``, a KLL sketch of that size of the
+    edge's durations, from which a roll-up can tell percentiles of all of them.
 
     Counting distinct cases next to a percentile would keep a percentile
     buffer for every case and edge, so the two are aggregated apart and their
@@ -64,6 +67,9 @@ def dfg_edges(
         F.min("low").alias("min_transition_duration_ms"),
         F.max("high").alias("max_transition_duration_ms"),
     )
+    if sketch_k is not None:
+        sketches = observed.groupBy(*keys).agg(F.kll_sketch_agg_bigint("duration_ms", sketch_k).alias("duration_sketch"))
+        counts = _merge(keys, counts, sketches)
     if accuracy is None:
         return _merge(keys, counts, _exact_percentiles(observed, keys))
     percentiles = observed.groupBy(*keys).agg(
@@ -83,12 +89,13 @@ def _exact_percentiles(observed: DataFrame, keys: Sequence[str]) -> DataFrame:
     the durations of a hot edge never meet in one task: which stretch of 2**20 ms
     (17 minutes) holds a rank, then which duration of that stretch.
     """
-    distinct = (
-        observed.where(F.col("duration_ms").isNotNull())
-        .groupBy(*keys, "duration_ms")
-        .agg(F.count("*").alias("n"))
-        .withColumn("stretch", F.floor(F.col("duration_ms") / (1 << 20)))
-    )
+    counted = observed.where(F.col("duration_ms").isNotNull()).groupBy(*keys, "duration_ms").agg(F.count("*").alias("n"))
+    return counted_percentiles(counted, keys)
+
+
+def counted_percentiles(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same from (keys, duration_ms, n), one row for each distinct duration of an edge."""
+    distinct = counted.withColumn("stretch", F.floor(F.col("duration_ms") / (1 << 20)))
     along = Window.partitionBy(*keys).orderBy("stretch")
     stretches = (
         distinct.groupBy(*keys, "stretch")
@@ -160,9 +167,24 @@ def incident_duration(
     """Mean time from a raised to a resolved event of the same case and base name.
 
     Every raised event pairs with every resolved one of its case and name (or,
-    with ``pair_by``, of the same incident id).  The pairs are never built:
-    over n raised and m resolved events their durations add up to
-    n * sum(resolved) - m * sum(raised).  ``pair_counts`` adds their number.
+    with ``pair_by``, of the same incident id).  ``pair_counts`` adds their number.
+    """
+    sums = incident_sums(linked, precision, dims, pair_by)
+    return sums.select(
+        *dims,
+        "activity_name",
+        F.try_divide("duration_sum", "duration_pairs").alias("avg_activity_duration_ms"),
+        *([F.col("duration_pairs").cast("bigint").alias("duration_pairs")] if pair_counts else []),
+    )
+
+
+def incident_sums(
+    linked: DataFrame, precision: str = "second", dims: Sequence[str] = DIMS, pair_by: Column | None = None
+) -> DataFrame:
+    """Sum of the durations of all pairs and their number, per raised activity and dimensions.
+
+    The pairs are never built: over n raised and m resolved events their
+    durations add up to n * sum(resolved) - m * sum(raised).
     """
     ending = F.when(F.endswith("activity_name", F.lit(RAISED)), F.lit(RAISED)).when(
         F.endswith("activity_name", F.lit(RESOLVED)), F.lit(RESOLVED)
@@ -196,8 +218,7 @@ def incident_duration(
     total = (F.col("n") * F.col("resolved_sum") - F.col("m") * F.col("raised_sum")).cast("double")
     pairs = (F.col("n") * F.col("m")).cast("double")
     return paired.groupBy(*dims, F.concat("base", F.lit(RAISED)).alias("activity_name")).agg(
-        F.try_divide(F.sum(total), F.sum(pairs)).alias("avg_activity_duration_ms"),
-        *([F.sum(pairs).cast("bigint").alias("duration_pairs")] if pair_counts else []),
+        F.sum(total).alias("duration_sum"), F.sum(pairs).alias("duration_pairs")
     )
 
 
@@ -216,16 +237,24 @@ def dfg_nodes(
     them, as under plain equality joins.  ``pair_counts`` adds the number of
     pairs behind each mean, the weight it has in a roll-up.
     """
+    spans = incident_duration(linked, precision, dims, pair_by, pair_counts)
+    return assemble_nodes(node_occurrences(linked, dims), spans, dims, null_safe, pair_counts)
+
+
+def assemble_nodes(
+    occurrences: DataFrame, spans: DataFrame, dims: Sequence[str] = DIMS, null_safe: bool = True, pair_counts: bool = False
+) -> DataFrame:
+    """The node table out of ``node_occurrences`` and ``incident_duration``."""
     name_keys = ["activity_name", *dims]
     by_name = Window.partitionBy(*name_keys)  # a few categories per name
-    base = node_occurrences(linked, dims).withColumns(
+    base = occurrences.withColumns(
         {
             "start_count": F.sum("start_count").over(by_name),
             "end_count": F.sum("end_count").over(by_name),
         }
     )
     extra = ["duration_pairs"] if pair_counts else []
-    spans = incident_duration(linked, precision, dims, pair_by, pair_counts).select(
+    spans = spans.select(
         *[F.col(k).alias(f"_{k}") for k in name_keys], "avg_activity_duration_ms", *extra
     )
     if null_safe:

@@ -3,7 +3,9 @@
 ``approx`` averages the averages and percentiles of the parts as they are,
 ``weighted`` weighs a mean by the number of values behind it (exact for means,
 not for percentiles): transitions for edges, raised/resolved pairs for nodes,
-whose table must have been built with ``pair_counts``.  An exact roll-up goes back to the events: ``dfg_edges`` and
+whose table must have been built with ``pair_counts``.  ``sketch_edge_rollup`` merges
+the sketches of an edge table built with ``sketch_k``: its percentiles are those of all durations, within the
+sketch's rank error, without the events.  An exact roll-up goes back to the events: ``dfg_edges`` and
 ``dfg_nodes`` on a filtered linked log with ``dims=()``.
 """
 
@@ -19,6 +21,8 @@ from .dfg import dfg_edges, dfg_nodes
 MODES = ("approx", "weighted")
 NODE_COUNTS = ("occurrence_count", "case_count", "start_count", "end_count")
 DURATION = "avg_activity_duration_ms"
+#: Size of the sketches of durations in an edge table: ranks within half a percent.
+SKETCH_K = 1000
 
 _EDGE_TYPES = {
     "edge_frequency": "bigint",
@@ -82,6 +86,35 @@ def edge_rollup(edges: DataFrame, mode: str = "approx") -> DataFrame:
     )
 
 
+def sketch_edge_rollup(edges: DataFrame, sketch_k: int = SKETCH_K) -> DataFrame:
+    """The ``weighted`` roll-up with percentiles from the merged sketches of the edge rows.
+
+    A percentile's rank is off by no more than ``sketch_rank_error(sketch_k)`` of all durations, with the
+    confidence stated there; up to about ``sketch_k`` durations it is exact.
+    ``duration_sketch`` is the merged sketch, so that roll-ups can be rolled up again.
+    """
+    keys = ["source_activity", "target_activity"]
+    means = edge_rollup(edges, "weighted").drop("p50_transition_duration_ms", "p95_transition_duration_ms")
+    known = edges.where(F.col(keys[0]).isNotNull() & F.col(keys[1]).isNotNull())
+    merged = known.groupBy(*keys).agg(F.kll_merge_agg_bigint("duration_sketch", sketch_k).alias("duration_sketch"))
+    # an edge without any duration has an empty sketch, which has no quantiles
+    some = F.kll_sketch_get_n_bigint("duration_sketch") > 0
+    percentiles = merged.select(
+        *keys,
+        *[
+            F.when(some, F.kll_sketch_get_quantile_bigint("duration_sketch", F.lit(q))).alias(f"p{name}_transition_duration_ms")
+            for q, name in ((0.5, 50), (0.95, 95))
+        ],
+        "duration_sketch",
+    )
+    return means.join(percentiles, keys).orderBy(F.desc("edge_frequency"), *keys)
+
+
+def sketch_rank_error(sketch_k: int = SKETCH_K) -> float:
+    """The error of ranks of a KLL sketch of this size, as a share of all values, that holds for 99 of 100 sketches."""
+    return 2.296 / sketch_k**0.9021
+
+
 def node_rollup(nodes: DataFrame, mode: str = "approx") -> DataFrame:
     """One row per (activity, category), most frequent first."""
     _check(mode)

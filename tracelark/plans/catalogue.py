@@ -15,12 +15,12 @@ from pyspark.sql import types as T
 from ..functions import duration_text, numeric_or_zero, step_label, thousands, title_label
 from ..operators import checks, dfg, graph, quality, retail as mapping, rollup, totals, variants
 from ..operators.dedup import drop_stream_copies
-from ..operators.event_log import LOG_COLUMNS, source_events, stream_events
+from ..operators.event_log import LOG_COLUMNS, ranked_events, source_events, stream_events
 from ..operators.quality import Rule
 from ..session import fresh_dir, prepare
 from ..sources.raw import add_ingest_columns, raw_line_stream, unique_records
 from ..sources.tables import overwrite_graph_table, overwrite_table, read_table, stream_table, write_ndjson
-from ..streaming import Pipeline, run_available, run_to_folder
+from ..streaming import IncrementalGraph, Pipeline, numbered_stream, run_available, run_to_folder, settled_log
 from . import logs, retail
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,9 @@ EDGE_KEYS = ["store_id", "channel", "source_activity", "target_activity"]
 STORES = ["NATION_1", "NATION_3", "NATION_5", "NATION_8"]
 CHANNELS = ["BUILDING", "MACHINERY"]
 MIN_FREQUENCY = 600
+#: Twice what 99 of 100 sketches keep to.
+RANK_ERROR = 2 * rollup.sketch_rank_error()
+NUMBERED = {"delay": "1 hour", "gap": "2 hours", "keep": "6 hours"}
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -278,6 +281,28 @@ def stream_event_log(spark: SparkSession, folder: str) -> DataFrame:
     return written.select("case_id", "activity_name", "event_ts", "resource_id", "event_key", "category_rank")
 
 
+@query("stream_numbered_log")
+def stream_numbered_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Clicks of four spans of time, one after the other; the cases that are complete at the end, as numbered in the stream."""
+    root = fresh_dir(spark, "numbered")
+    events = read_table(spark, folder, "events")
+    first, last = events.agg(F.min(F.unix_seconds("ts")), F.max(F.unix_seconds("ts"))).first()
+    span = F.floor((F.unix_seconds("ts") - first) * 4 / (last - first + 1))
+    source = logs.click_sources(spark, folder)[0]
+    for part in range(4):
+        events.where(span == part).write.mode("append").parquet(f"{root}/in")
+        live = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+        stream = numbered_stream([replace(source, frame=live)], logs.CLICK_RANKS, **NUMBERED)
+        run_available(stream, f"{root}/out", f"{root}/checkpoint")
+    log = settled_log(spark.read.parquet(f"{root}/out"))
+    ends = events.groupBy(source.case.alias("case_id")).agg(F.max("ts").alias("end"))
+    mark = events.agg((F.max("ts") - F.expr(f"INTERVAL {NUMBERED['delay']}")).alias("mark"))
+    complete = ends.where(F.col("end") + F.expr(f"INTERVAL {NUMBERED['gap']}") < mark.scalar()).select("case_id")
+    return log.join(complete, "case_id", "left_semi").select(
+        "case_id", "activity_name", "event_ts", "resource_id", "event_sequence", F.col("event_attributes")["props"].alias("props")
+    )
+
+
 def _streamed(spark: SparkSession, folder: str) -> Pipeline:
     root = fresh_dir(spark, "pipeline")
     landing = f"{root}/landing"
@@ -426,6 +451,36 @@ def retail_dfg_nodes_paired(spark: SparkSession, folder: str) -> DataFrame:
     return dfg.dfg_nodes(log, precision="milli", pair_by=F.col("event_attributes")["incident_id"])
 
 
+def _appended(spark: SparkSession, folder: str) -> IncrementalGraph:
+    """The order log in three appends by time, so that cases are touched again; many begin only later."""
+    graph_of = IncrementalGraph(spark, fresh_dir(spark, "increments"), buckets=16)
+    events = ranked_events(logs.order_sources(spark, folder), logs.ORDER_RANKS)
+    stored = overwrite_table(events, fresh_dir(spark, "order-events"))
+    dims = overwrite_table(logs.order_dims(spark, folder), fresh_dir(spark, "order-dims"))
+    first, last = stored.agg(F.min(F.unix_seconds("event_ts")), F.max(F.unix_seconds("event_ts"))).first()
+    span = F.coalesce(F.floor((F.unix_seconds("event_ts") - first) * 3 / (last - first + 1)), F.lit(0))
+    for part in range(3):
+        arriving = stored.where(span == part)
+        graph_of.append(arriving, dims.join(arriving.select("case_id").distinct(), "case_id", "left_semi"))
+    return graph_of
+
+
+@query("increment_edges")
+def increment_edges(spark: SparkSession, folder: str) -> DataFrame:
+    return _appended(spark, folder).table("gold_dfg_edges")
+
+
+@query("increment_nodes")
+def increment_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    return _appended(spark, folder).table("gold_dfg_nodes")
+
+
+@query("increment_log")
+def increment_log(spark: SparkSession, folder: str) -> DataFrame:
+    log = _appended(spark, folder).log()
+    return log.select("case_id", "activity_name", "event_ts", "event_sequence", "next_activity", "is_end", "store_id", "channel")
+
+
 @query("layout_pruned")
 def layout_pruned(spark: SparkSession, folder: str) -> DataFrame:
     """Edge table written by store and channel, one store read back."""
@@ -500,6 +555,27 @@ def node_rollup_weighted_retail(spark: SparkSession, folder: str) -> DataFrame:
     return rollup.node_rollup(dfg.dfg_nodes(log, pair_counts=True), mode="weighted").drop("case_count")
 
 
+@query("edge_rollup_sketch")
+def edge_rollup_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Percentiles from the stored edge table's merged sketches, held against the ranks of all durations."""
+    log = logs.stored_order_log(spark, folder)
+    edges = overwrite_table(dfg.dfg_edges(log, sketch_k=rollup.SKETCH_K), fresh_dir(spark, "sketched"))
+    rolled = rollup.sketch_edge_rollup(edges).drop("duration_sketch")
+    keys = ["source_activity", "target_activity"]
+    ranks = [
+        F.count_if(F.col("duration_ms") <= F.col(f"p{p}_transition_duration_ms")).alias(f"upto_{p}") for p in (50, 95)
+    ] + [F.count_if(F.col("duration_ms") < F.col(f"p{p}_transition_duration_ms")).alias(f"under_{p}") for p in (50, 95)]
+    counted = dfg.edge_observations(log, dims=()).join(rolled, keys).groupBy(*keys).agg(F.count("duration_ms").alias("all"), *ranks)
+    within = [
+        (
+            (F.col(f"upto_{p}") >= (p / 100 - RANK_ERROR) * F.col("all")) & (F.col(f"under_{p}") <= (p / 100 + RANK_ERROR) * F.col("all"))
+        ).alias(f"p{p}_within")
+        for p in (50, 95)
+    ]
+    names = ["edge_frequency", "case_count", "avg_transition_duration_ms", "min_transition_duration_ms", "max_transition_duration_ms"]
+    return rolled.join(counted, keys).select(*keys, *names, *within)
+
+
 @query("edge_rollup_exact")
 def edge_rollup_exact(spark: SparkSession, folder: str) -> DataFrame:
     return rollup.exact_edge_rollup(logs.order_log(spark, folder))

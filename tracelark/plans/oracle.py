@@ -6,7 +6,7 @@ tables on their own, not from the library.
 
 from __future__ import annotations
 
-from .catalogue import CHANNELS, MIN_FREQUENCY, STORES
+from .catalogue import CHANNELS, MIN_FREQUENCY, NUMBERED, STORES
 
 
 def _quoted(values) -> str:
@@ -494,6 +494,21 @@ def all_sql() -> dict[str, str]:
             "SELECT case_id, activity_name, event_ts, user_id::varchar AS resource_id, event_key, "
             "category_rank::bigint AS category_rank FROM click_events",
         ),
+        "stream_numbered_log": _with(
+            {
+                **_log("click"),
+                "complete": f"""SELECT case_id FROM click_events GROUP BY case_id HAVING max(event_ts) + INTERVAL {NUMBERED['gap']}
+                    < (SELECT max(event_ts) FROM click_events) - INTERVAL {NUMBERED['delay']}""",
+            },
+            """SELECT case_id, activity_name, event_ts, l.user_id::varchar AS resource_id, event_sequence, e.props
+                FROM log l JOIN events e ON l.event_key = e.event_id::varchar WHERE case_id IN (SELECT case_id FROM complete)""",
+        ),
+        "increment_edges": _with(order, "SELECT * FROM edges"),
+        "increment_nodes": _with(order, "SELECT * FROM nodes"),
+        "increment_log": _with(
+            _log("order"),
+            "SELECT case_id, activity_name, event_ts, event_sequence, next_activity, is_end, store_id, channel FROM log",
+        ),
         "stream_pipeline": _with(retail, "SELECT * FROM edges"),
         "edge_observations": _with(click, "SELECT * FROM observed"),
         "dfg_edges": _with(order, "SELECT * FROM edges"),
@@ -547,6 +562,12 @@ def all_sql() -> dict[str, str]:
         ),
         "node_rollup_weighted": _with(order, from_events("count(DISTINCT case_id)::bigint AS case_count,")),
         "node_rollup_weighted_retail": _with(retail, from_events()),
+        "edge_rollup_sketch": _with(
+            exact,
+            f"""SELECT source_activity, target_activity, edge_frequency, case_count, avg_transition_duration_ms,
+                min_transition_duration_ms, max_transition_duration_ms, true AS p50_within, true AS p95_within
+                FROM ({_edge_stats('')}), (SELECT 1)""",
+        ),
         "edge_rollup_exact": _with(exact, _edge_stats("")),
         "edge_rollup_exact_filtered": _with(exact_filtered, _edge_stats("")),
         "node_rollup_exact": _with(order, from_events("count(DISTINCT case_id)::bigint AS case_count,")),

@@ -35,11 +35,18 @@ def overwrite_table(df: DataFrame, path: str) -> DataFrame:
 def overwrite_graph_table(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     """Full refresh laid out by ``keys``.
 
+    Readers of the old table may fail meanwhile; ``Snapshots`` spares them that.
+    """
+    return overwrite_table(by_keys(df, keys), path)
+
+
+def by_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Laid out by ``keys``.
+
     Range partitioning on the whole key keeps each (store, channel) together in
     few files with narrow min/max statistics, yet splits one that is very large.
     """
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return overwrite_table(ranged, path)
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
 def write_ndjson(df: DataFrame, path: str, records_per_file: int = 1000, mode: str = "errorifexists") -> None:

@@ -1,5 +1,7 @@
-"""Structured Streaming: ingest, typed tables and the batch refresh after them."""
+"""Structured Streaming: ingest, typed tables, numbered logs, and the refresh of log and graph after them."""
 
+from .cases import numbered_stream, settled_log
+from .incremental import IncrementalGraph
 from .pipeline import Pipeline, run_available, run_to_folder
 
-__all__ = ["Pipeline", "run_available", "run_to_folder"]
+__all__ = ["IncrementalGraph", "Pipeline", "numbered_stream", "run_available", "run_to_folder", "settled_log"]

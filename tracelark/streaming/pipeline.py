@@ -9,7 +9,7 @@ percentiles of a case's edges change when late events reach the case.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +23,8 @@ from ..operators.sequence import HOT_CASE_ROWS
 from ..session import BUILD_CONF, fresh_dir
 from ..sources.documents import explode_incidents, explode_items, explode_tender, parse_headers
 from ..sources.raw import FILES_PER_TRIGGER, add_ingest_columns, raw_line_stream
-from ..sources.tables import overwrite_graph_table, overwrite_table
+from ..sources.snapshots import Folder, Snapshots
+from ..sources.tables import by_keys
 
 BRONZE_SCHEMA = T.StructType(
     [
@@ -79,7 +80,8 @@ class Pipeline:
     """``landing`` holds NDJSON files; tables and checkpoints go below ``root``.
 
     A new ``generation`` has checkpoints and table folders of its own, so
-    everything is read again without touching older output.
+    everything is read again without touching older output.  ``activate`` makes a
+    generation the one that ``active`` opens.
     """
 
     spark: SparkSession
@@ -98,8 +100,32 @@ class Pipeline:
     def checkpoint(self, table: str) -> str:
         return f"{self.root}/{self.generation}/checkpoints/{table}"
 
+    @property
+    def gold(self) -> Snapshots:
+        """Event log, edges and nodes: always those of one refresh."""
+        return Snapshots(self.spark, f"{self.root}/{self.generation}/gold")
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.gold.read(name) if name.startswith("gold_") else self.spark.read.parquet(self.path(name))
+
+    def _pointer(self) -> Snapshots:
+        return Snapshots(self.spark, f"{self.root}/active")
+
+    def activate(self) -> None:
+        """From now on, this generation is the one in use."""
+        self._pointer().publish({"generation": Folder(self.generation, "")})
+
+    def active(self) -> Pipeline:
+        """The generation in use: the one activated last, else this one."""
+        found = self._pointer().current().get("generation")
+        return replace(self, generation=found.path) if found else self
+
+    def reset(self, generation: str) -> Pipeline:
+        """Everything anew under another name, in use once it is complete; the old generation is left as it is."""
+        fresh = replace(self, generation=generation)
+        fresh.run()
+        fresh.activate()
+        return fresh
 
     def ingest(self) -> None:
         """Landing files to bronze, by ingest date."""
@@ -123,19 +149,21 @@ class Pipeline:
             query.awaitTermination()
 
     def refresh(self) -> None:
-        """Recompute event log, edges and nodes.
+        """Recompute event log, edges and nodes; readers change over to the new ones in one step.
 
-        The stored log carries successor, end flag and dimensions, so the
+        A refresh that fails leaves the tables as they were.  The stored log carries successor, end flag and dimensions, so the
         graph reads a few narrow columns of it and needs no window.
         """
         transactions, items, incidents, tender = (self.table(name) for name in PARSERS)
         sources = retail_sources(transactions, items, incidents, tender)
         linked = linked_log(sources, CATEGORY_RANKS, case_dimensions(transactions), self.hot_rows)
-        log = overwrite_table(linked, self.path("gold_event_log"))
-        edge_keys = [*DIMS, "source_activity", "target_activity"]
-        node_keys = [*DIMS, "activity_name", "activity_category"]
-        overwrite_graph_table(dfg_edges(log, self.precision), self.path("gold_dfg_edges"), edge_keys)
-        overwrite_graph_table(dfg_nodes(log, self.precision), self.path("gold_dfg_nodes"), node_keys)
+        gold = self.gold
+        stored = gold.write(linked)
+        log = gold.frame([stored])
+        edges = by_keys(dfg_edges(log, self.precision), [*DIMS, "source_activity", "target_activity"])
+        nodes = by_keys(dfg_nodes(log, self.precision), [*DIMS, "activity_name", "activity_category"])
+        gold.publish({"gold_event_log": stored, "gold_dfg_edges": gold.write(edges), "gold_dfg_nodes": gold.write(nodes)})
+        gold.expire()
 
     def run(self) -> None:
         self.ingest()
