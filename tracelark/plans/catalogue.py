@@ -18,9 +18,20 @@ from ..operators.dedup import drop_stream_copies
 from ..operators.event_log import LOG_COLUMNS, ranked_events, source_events, stream_events
 from ..operators.quality import Rule
 from ..session import fresh_dir, prepare
+from ..sources.layout import clustered
 from ..sources.raw import add_ingest_columns, raw_line_stream, unique_records
 from ..sources.tables import overwrite_graph_table, overwrite_table, read_table, stream_table, write_ndjson
-from ..streaming import IncrementalGraph, Pipeline, numbered_stream, run_available, run_to_folder, settled_log
+from ..streaming import (
+    IncrementalGraph,
+    KeyStore,
+    LateSplit,
+    Pipeline,
+    TableFanout,
+    numbered_stream,
+    run_available,
+    run_to_folder,
+    settled_log,
+)
 from . import logs, retail
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +41,7 @@ EDGE_KEYS = ["store_id", "channel", "source_activity", "target_activity"]
 STORES = ["NATION_1", "NATION_3", "NATION_5", "NATION_8"]
 CHANNELS = ["BUILDING", "MACHINERY"]
 MIN_FREQUENCY = 600
+ARRIVALS = ("event_id % 5 IN (1, 2)", "event_id % 5 IN (3, 4)", "event_id % 5 = 0")
 #: Twice what 99 of 100 sketches keep to.
 RANK_ERROR = 2 * rollup.sketch_rank_error()
 NUMBERED = {"delay": "1 hour", "gap": "2 hours", "keep": "6 hours"}
@@ -333,10 +345,45 @@ def late_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Every fifth event arrives in a third micro-batch; of those, the ones behind the watermark of the first are dropped."""
     root = fresh_dir(spark, "late")
     events = read_table(spark, folder, "events").select("event_id", "ts")
-    for arriving in ("event_id % 5 IN (1, 2)", "event_id % 5 IN (3, 4)", "event_id % 5 = 0"):
-        events.where(arriving).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    return run_to_folder(spark, drop_stream_copies(stream, ["event_id"], "ts", "1 hour"), "late").select("event_id", "ts")
+    ahead = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(ahead)
+    spark.conf.set(ahead, "false")  # a run is one micro-batch
+    try:
+        for arriving in ARRIVALS:
+            events.where(arriving).write.mode("append").parquet(f"{root}/in")
+            stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+            run_available(drop_stream_copies(stream, ["event_id"], "ts", "1 hour"), f"{root}/table", f"{root}/checkpoint")
+    finally:
+        spark.conf.set(ahead, before)
+    return spark.read.schema(events.schema).parquet(f"{root}/table").select("event_id", "ts")
+
+
+@query("late_rows_aside")
+def late_rows_aside(spark: SparkSession, folder: str) -> DataFrame:
+    """The same arrivals, late rows kept: each is held against the watermark of all that arrived before."""
+    root = fresh_dir(spark, "aside")
+    events = read_table(spark, folder, "events").select("event_id", "ts")
+    split = LateSplit(spark, f"{root}/split", "ts", 3_600_000)
+    for arriving in ARRIVALS:
+        events.where(arriving).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+        writer = stream.writeStream.foreachBatch(split.write).option("checkpointLocation", f"{root}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return split.late().unionByName(split.on_time().withColumn("lag_ms", F.lit(None).cast("bigint")))
+
+
+@query("files_per_trigger")
+def files_per_trigger(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders in files of 500 lines, three to a micro-batch: all rows, no batch with more files, no batch more than needed."""
+    root = fresh_dir(spark, "trigger")
+    write_ndjson(read_table(spark, folder, "orders").select("o_orderkey"), f"{root}/landing", 500)
+    lines = add_ingest_columns(raw_line_stream(spark, f"{root}/landing", 3))
+    run_available(lines, f"{root}/bronze", f"{root}/checkpoint")
+    batches = spark.read.parquet(f"{root}/bronze").groupBy("ingest_ts").agg(
+        F.count("*").alias("rows"), F.count_distinct("source_file_path").alias("files")
+    )
+    needed = F.ceil(F.sum("files") / 3) == F.count("*")
+    return batches.agg(F.sum("rows").alias("rows"), (F.max("files") <= 3).alias("within"), needed.alias("no_batch_more"))
 
 
 @query("pipeline_reset")
@@ -353,6 +400,77 @@ def pipeline_reset(spark: SparkSession, folder: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _fanned(spark: SparkSession, folder: str, faults: bool) -> TableFanout:
+    """The retail documents in three arrivals, each parsed once for all tables; copies of a header come in several of them."""
+    root = fresh_dir(spark, "fanned")
+    lines = retail.retail_lines(spark, folder).select(F.col("raw_json").alias("value"))
+    arrival = F.pmod(F.xxhash64("value"), F.lit(3))
+    pipeline = Pipeline(spark, f"{root}/landing", root)
+    for part in range(3):
+        arriving = lines.where(arrival == part)
+        (retail.with_faults(arriving, "value") if faults else arriving).write.mode("append").text(f"{root}/landing")
+        pipeline.ingest()
+        pipeline.parse_once()
+    return pipeline.fanout()
+
+
+@query("parse_once_tables")
+def parse_once_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """All four tables of one parse: keys, times and a few values."""
+    fanned = _fanned(spark, folder, faults=False)
+
+    def rows(table: str, key: str, at: str, what: str, number: str) -> DataFrame:
+        return fanned.table(table).select(
+            F.lit(table).alias("table_name"),
+            "transaction_id",
+            F.col(key).alias("part_id"),
+            F.col(at).alias("at"),
+            F.col(what).alias("what"),
+            F.col(number).cast("double").alias("number"),
+        )
+
+    return (
+        rows("silver_transactions", "customer_id", "transaction_end_ts", "status", "total_amount")
+        .unionByName(rows("silver_transaction_items", "line_id", "scan_ts", "scan_method", "quantity"))
+        .unionByName(rows("silver_transaction_incidents", "incident_id", "resolution_ts", "incident_type", "duration_seconds"))
+        .unionByName(rows("silver_transaction_tender", "tender_id", "tender_ts", "tender_type", "amount"))
+    )
+
+
+@query("stream_rule_counts")
+def stream_rule_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What the rules counted, batch by batch, while documents with faults were written."""
+    counts = _fanned(spark, folder, faults=True).counts()
+    return counts.groupBy("table_name", "rule", "action").agg(F.sum("violations").alias("violations"))
+
+
+@query("stream_quarantine")
+def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    fanned = _fanned(spark, folder, faults=True)
+
+    def rows(table: str, key: str) -> DataFrame:
+        broken = F.array_join("broken_rules", ",").alias("broken_rules")
+        return fanned.quarantine(table).select(F.lit(table).alias("table_name"), "transaction_id", F.col(key).alias("part_id"), broken)
+
+    return (
+        rows("silver_transactions", "customer_id")
+        .unionByName(rows("silver_transaction_items", "line_id"))
+        .unionByName(rows("silver_transaction_tender", "tender_id"))
+    )
+
+
+@query("dedup_lasting")
+def dedup_lasting(spark: SparkSession, folder: str) -> DataFrame:
+    """First arrivals by user and kind over five batches of clicks, by the key store: the same as ``forever``."""
+    store = KeyStore(spark, fresh_dir(spark, "lasting"), ["user_id", "event_type"])
+    events = read_table(spark, folder, "events").select("user_id", "event_type", "ts", "event_id")
+    root = fresh_dir(spark, "arrived")
+    for batch in range(5):
+        new = store.first_arrivals(events.where(F.pmod(F.col("event_id"), F.lit(5)) == batch), batch, "ts", ["event_id"])
+        new.write.parquet(f"{root}/batch={batch}")
+    return spark.read.parquet(root).select("user_id", "event_type", "event_id", "ts", "batch")
+
+
 @query("numbers_from_text")
 def numbers_from_text(spark: SparkSession, folder: str) -> DataFrame:
     """Quantities as text, some missing and some no numbers, read back leniently."""
@@ -489,6 +607,14 @@ def layout_pruned(spark: SparkSession, folder: str) -> DataFrame:
     return rollup.filter_dimensions(stored, ["NATION_3"], ["BUILDING"])
 
 
+@query("layout_clustered")
+def layout_clustered(spark: SparkSession, folder: str) -> DataFrame:
+    """Edge table laid out for filters on store or channel alone; one channel read back."""
+    edges = overwrite_table(dfg.dfg_edges(logs.order_log(spark, folder)), fresh_dir(spark, "edges"))
+    stored = overwrite_table(clustered(edges, ["store_id", "channel"], 32), fresh_dir(spark, "clustered"))
+    return rollup.filter_dimensions(stored, channels=["BUILDING"])
+
+
 # --- roll-ups ---------------------------------------------------------------
 
 

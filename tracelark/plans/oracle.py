@@ -347,6 +347,17 @@ def all_sql() -> dict[str, str]:
         },
     }
 
+    faulty = {
+        **_tables("tender"),
+        "faulty_transactions": """SELECT * REPLACE (CASE WHEN terminal_id <> 'STR-007-TERM-01' THEN transaction_start_ts END
+            AS transaction_start_ts) FROM transactions""",
+        "faulty_items": """SELECT * REPLACE (CASE WHEN l_partkey % 10 <> 7 THEN sku END AS sku,
+            CASE WHEN quantity = 5 THEN -5 ELSE quantity END AS quantity) FROM items""",
+        "faulty_incidents": "SELECT * FROM incidents",
+        "faulty_tender": """SELECT * REPLACE (CASE WHEN tender_type <> 'COUPON' THEN tender_type END AS tender_type,
+            CASE WHEN tender_id = 'P2' THEN 0 ELSE amount END AS amount) FROM tender""",
+    }
+
     def shares(table: str, column: str) -> str:
         return (
             f"SELECT '{column}' AS dimension, {column} AS value, count(*)::bigint AS n, "
@@ -485,6 +496,53 @@ def all_sql() -> dict[str, str]:
         ),
         "late_rows": """SELECT event_id, ts FROM events WHERE event_id % 5 <> 0
             OR ts > (SELECT max(ts) FROM events WHERE event_id % 5 IN (1, 2)) - INTERVAL 1 HOUR""",
+        "late_rows_aside": """SELECT event_id, ts,
+            CASE WHEN ts <= mark THEN (epoch_us(mark) - epoch_us(ts)) // 1000 END AS lag_ms FROM (
+            SELECT *, make_timestamp(((SELECT max(epoch_us(ts)) FROM events x WHERE x.event_id % 5 <> 0 AND (e.event_id % 5 = 0
+                OR x.event_id % 5 < 3)) // 1000 - 3600000) * 1000) AS mark FROM events e WHERE event_id % 5 NOT IN (1, 2)
+            UNION ALL SELECT *, NULL FROM events WHERE event_id % 5 IN (1, 2))""",
+        "files_per_trigger": "SELECT count(*) AS rows, true AS within, true AS no_batch_more FROM orders",
+        "parse_once_tables": _with(
+            _tables("tender"),
+            """SELECT 'silver_transactions' AS table_name, transaction_id, customer_id AS part_id, transaction_end_ts AS at,
+                status AS what, total_amount::double AS number FROM transactions
+            UNION ALL SELECT 'silver_transaction_items', transaction_id, line_id, scan_ts, scan_method, quantity FROM items
+            UNION ALL SELECT 'silver_transaction_incidents', transaction_id, incident_id, resolution_ts, incident_type, duration_seconds
+            FROM incidents
+            UNION ALL SELECT 'silver_transaction_tender', transaction_id, tender_id, tender_ts, tender_type, amount FROM tender""",
+        ),
+        "stream_rule_counts": _with(
+            faulty,
+            " UNION ALL ".join(
+                f"SELECT 'silver_{name}' AS table_name, '{rule}' AS rule, '{action}' AS action, "
+                f"count(*) FILTER (NOT coalesce({holds}, false))::bigint AS violations FROM faulty_{table}"
+                for table, name in (
+                    ("transactions", "transactions"),
+                    ("items", "transaction_items"),
+                    ("incidents", "transaction_incidents"),
+                    ("tender", "transaction_tender"),
+                )
+                for rule, (action, holds) in {
+                    **retail_rules[table],
+                    "rows": ("all", "false"),
+                    "quarantined": (
+                        "quarantined",
+                        " AND ".join(f"coalesce({h}, false)" for a, h in retail_rules[table].values() if a == "drop"),
+                    ),
+                }.items()
+            ),
+        ),
+        "stream_quarantine": _with(
+            faulty,
+            """SELECT 'silver_transactions' AS table_name, transaction_id, customer_id AS part_id, 'valid_start_ts' AS broken_rules
+                FROM faulty_transactions WHERE transaction_start_ts IS NULL
+            UNION ALL SELECT 'silver_transaction_items', transaction_id, line_id, 'valid_sku' FROM faulty_items WHERE sku IS NULL
+            UNION ALL SELECT 'silver_transaction_tender', transaction_id, tender_id, 'valid_tender_type'
+                FROM faulty_tender WHERE tender_type IS NULL""",
+        ),
+        "dedup_lasting": """SELECT user_id, event_type, event_id, ts, event_id % 5 AS batch FROM events
+            QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 5, event_id) = 1""",
+        "layout_clustered": _with(order, "SELECT * FROM edges WHERE channel = 'BUILDING'"),
         "pipeline_reset": "SELECT g AS generation, o_orderkey FROM orders, (VALUES ('g0'), ('g1')) t(g)",
         "numbers_from_text": """SELECT l_orderkey, l_linenumber::bigint AS l_linenumber, q AS whole, q::double AS part FROM (
             SELECT *, CASE WHEN l_quantity::int % 7 = 0 OR l_quantity::int % 11 = 0 THEN 0 ELSE l_quantity::int END::bigint AS q

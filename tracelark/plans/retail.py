@@ -141,6 +141,18 @@ def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
     return texts[0].unionByName(texts[1])
 
 
+def with_faults(lines: DataFrame, column: str = "raw_json") -> DataFrame:
+    """The same documents with fields misnamed, missing or negative, a few of each table."""
+    text = F.col(column)
+    text = F.regexp_replace(text, '"sku":("SKU-[0-9]*7")', '"code":$1')
+    text = F.regexp_replace(text, '"quantity":(5[.])', '"quantity":-$1')
+    text = F.regexp_replace(text, '"tender_type":"COUPON"', '"kind":"COUPON"')
+    text = F.regexp_replace(text, '"amount":1[.]00([,}])', '"amount":0.00$1')
+    early = F.contains(text, F.lit("STR-007-TERM-01"))
+    text = F.when(early, F.regexp_replace(text, '"transaction_start_ts":"[^"]*",', "")).otherwise(text)
+    return lines.withColumn(column, text)
+
+
 def retail_raw(spark: SparkSession, folder: str) -> DataFrame:
     ingested = F.lit(INGEST_TS).cast("timestamp")
     return add_ingest_columns(retail_lines(spark, folder), ingest_ts=ingested)

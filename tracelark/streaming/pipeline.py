@@ -8,7 +8,7 @@ percentiles of a case's edges change when late events reach the case.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import partial
 
@@ -25,6 +25,7 @@ from ..sources.documents import explode_incidents, explode_items, explode_tender
 from ..sources.raw import FILES_PER_TRIGGER, add_ingest_columns, raw_line_stream
 from ..sources.snapshots import Folder, Snapshots
 from ..sources.tables import by_keys
+from .fanout import TableFanout
 
 BRONZE_SCHEMA = T.StructType(
     [
@@ -148,13 +149,28 @@ class Pipeline:
         for query in started:
             query.awaitTermination()
 
+    def fanout(self) -> TableFanout:
+        """The writer behind ``parse_once`` and its tables, quarantine and counts."""
+        return TableFanout(self.spark, f"{self.root}/{self.generation}/fanout", keep_null_ids=self.keep_null_ids)
+
+    def parse_once(self) -> None:
+        """Bronze to the four typed tables in one stream: each document is read and parsed once, rules are applied.
+
+        An alternative to ``parse``, with tables of its own; copies are dropped against all batches before, as with the scope ``forever``.
+        """
+        writer = self.bronze_stream().writeStream.foreachBatch(self.fanout().write)
+        writer.option("checkpointLocation", self.checkpoint("fanout")).trigger(availableNow=True).start().awaitTermination()
+
     def refresh(self) -> None:
         """Recompute event log, edges and nodes; readers change over to the new ones in one step.
 
         A refresh that fails leaves the tables as they were.  The stored log carries successor, end flag and dimensions, so the
         graph reads a few narrow columns of it and needs no window.
         """
-        transactions, items, incidents, tender = (self.table(name) for name in PARSERS)
+        self._refresh_from(self.table)
+
+    def _refresh_from(self, table: Callable[[str], DataFrame]) -> None:
+        transactions, items, incidents, tender = (table(name) for name in PARSERS)
         sources = retail_sources(transactions, items, incidents, tender)
         linked = linked_log(sources, CATEGORY_RANKS, case_dimensions(transactions), self.hot_rows)
         gold = self.gold
@@ -165,6 +181,12 @@ class Pipeline:
         gold.publish({"gold_event_log": stored, "gold_dfg_edges": gold.write(edges), "gold_dfg_nodes": gold.write(nodes)})
         gold.expire()
 
+    def run_once(self) -> None:
+        """Like ``run``, over ``parse_once``; rows in quarantine have no part in log and graph."""
+        self.ingest()
+        self.parse_once()
+        self._refresh_from(self.fanout().table)
+
     def run(self) -> None:
         self.ingest()
         self.parse()
