@@ -20,10 +20,8 @@ import hashlib
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql import types as T
 
 from .contexttree import _gathered
 from .tables import BROADCAST_ROWS, TEXT_HASH, document_texts, narrow, text_hash, written
@@ -390,12 +388,18 @@ def sanitised(docs: DataFrame, **thresholds) -> DataFrame:
     same = F.col("__id").eqNullSafe(F.col("__other")) & (F.col(TEXT_HASH) == F.col("__other_hash"))
     other = narrow(other)
 
-    @F.pandas_udf(T.StringType())
-    def replace(text, spans):
-        return pd.Series([rewritten(t, s) for t, s in zip(text, spans)], dtype=object)
+    place = docs.columns.index("text")
 
+    def replaced(batches):
+        for batch in batches:
+            texts, spans = batch.column(place), batch.column(len(docs_columns))
+            own = pa.array([rewritten(t.as_py(), s.as_py()) for t, s in zip(texts, spans)], texts.type)
+            columns = [own if i == place else batch.column(i) for i in range(len(docs_columns))]
+            yield pa.RecordBatch.from_arrays(columns, names=docs_columns)
+
+    docs_columns = list(docs.columns)
     # only rows with something to replace go through Python
-    changed = keyed.join(other, same).withColumn("text", replace(F.col("text"), F.col("__spans")))
+    changed = keyed.join(other, same).select(*docs_columns, "__spans").mapInArrow(replaced, docs.schema)
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return keyed.join(other, same, "left_anti").select(*docs.columns).union(changed.select(*docs.columns))

@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text handled at once (one longer document is handled alone).
-CHUNK = 2 << 20
+#: Bytes of text handled at once (one longer document is handled alone); numpy's working arrays are some 100 times that.
+CHUNK = 256 << 10
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
