@@ -339,10 +339,11 @@ def schedule_of(sizes: list[int], asked: list[float], queues: int, window: int)
     return Schedule(np.array(lengths, np.int64), np.array(weights), window, groups), [paths[i] for i in range(len(sizes))]
 
 
-def _pieces(sent, id_type, window: int):
+def _pieces(sent, window: int):
     def run(batches):
         schedule, paths = sent.value
         word_encoder.cache_clear()  # the tokens are written: a worker need not keep the words for what runs next
+        pa.default_memory_pool().release_unused()
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             sources = batch.column(1).to_pylist()
@@ -362,7 +363,9 @@ def _pieces(sent, id_type, window: int):
                     edges, shift = schedule.table(path, low, high)
                     for i in group:
                         begin, end = int(first[i]), int(first[i] + sizes[i])
-                        ids = np.frombuffer(blobs[i].as_buffer(), id_type).astype("<u4")
+                        stored = blobs[i].as_buffer()
+                        # two or four bytes a token, whichever the tokenizer's vocabulary needs
+                        ids = np.frombuffer(stored, "<u2" if stored.size == 2 * (end - begin) else "<u4").astype("<u4")
                         a = int(np.searchsorted(edges, begin, "right")) - 1
                         b = int(np.searchsorted(edges, end, "left"))
                         cuts = np.unique(np.clip(edges[a : b + 1], begin, end))
@@ -425,5 +428,4 @@ The driver and each task hold a length and a place for every source.
         narrow(bases).alias("b"), (F.col("t.part") == F.col("b.part")) & F.col("t.source").eqNullSafe(F.col("b.source"))
     )
     columns = placed.select("doc_id", F.col("t.source").alias("source"), "n", (F.col("base") + F.col("before")).alias("first"), "ids", "queue")
-    id_type = word_encoder(tokenizer_path).type
-    return columns.mapInArrow(_pieces(spark.sparkContext.broadcast((schedule, paths)), id_type, window), PIECE_DDL)
+    return columns.mapInArrow(_pieces(spark.sparkContext.broadcast((schedule, paths)), window), PIECE_DDL)
