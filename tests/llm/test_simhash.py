@@ -85,8 +85,7 @@ def clusters(seed: int) -> list[int]:
     return sorted(values | {random.getrandbits(64) for _ in range(100)})
 
 
-@pytest.mark.parametrize("radius", [1, 2, 3])
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("radius,seed", [(1, 1), (2, 1), (3, 1), (3, 2)])
 def test_components_of_fingerprints(spark, radius, seed):
     values = clusters(seed)
     found = {r.node: r.root for r in simhash.linked_components(spark.createDataFrame([(signed(v),) for v in values], "fp bigint"), radius).collect()}
@@ -94,13 +93,14 @@ def test_components_of_fingerprints(spark, radius, seed):
     assert {v: found.get(v, v) for v in expected} == expected
 
 
-@pytest.mark.parametrize("bits", [(a, b, c) for a in (0, 15, 31) for b in (16, 40) for c in (47, 48, 63)])
-def test_any_three_bits_meet(spark, bits):
+def test_any_three_bits_meet(spark):
     base = 0x0123456789ABCDEF
-    values = [signed(base), signed(base ^ sum(1 << b for b in bits))]
-    keys = simhash.variants(spark.createDataFrame([(v,) for v in values], "fp bigint"), 3).collect()
-    assert len(keys) == 2 * 4 * 49
-    assert {k.key for k in keys if k.fp == values[0]} & {k.key for k in keys if k.fp == values[1]}
+    apart = [(a, b, c) for a in (0, 15, 31) for b in (16, 40) for c in (47, 48, 63)]
+    values = [signed(base)] + [signed(base ^ sum(1 << b for b in bits)) for bits in apart]
+    keys = {v: set() for v in values}
+    for key in simhash.variants(spark.createDataFrame([(v,) for v in values], "fp bigint"), 3).collect():
+        keys[key.fp].add(key.key)
+    assert all(len(k) == 4 * 49 and k & keys[values[0]] for k in keys.values())
 
 
 def test_empty_table(spark):
