@@ -55,7 +55,7 @@ def test_awkward_rows(spark, window):
 def test_every_window_has_the_shares_of_the_corpus(spark):
     rows = [(i, shared.prose(i, 50 + i % 70), "big" if i % 3 else f"small{i % 2}") for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
-    found = packing.pack(docs, PATH, 512).collect()
+    found = packing.pack(docs, PATH, 512, quantum=1).collect()
     windows = check(found, [(r[0], r[1]) for r in rows], 512)
     total = sum(r.length for r in found)
     shares = defaultdict(int)
@@ -72,25 +72,52 @@ def test_every_window_has_the_shares_of_the_corpus(spark):
 def test_targets(spark):
     rows = [(i, shared.prose(i, 60), "ab"[i % 2]) for i in range(100)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
-    found = packing.pack(docs, PATH, 256, targets={"a": 0.75, "b": 0.25}).collect()
+    found = packing.pack(docs, PATH, 256, targets={"a": 0.75, "b": 0.25}, quantum=1).collect()
     windows = check(found, [(r[0], r[1]) for r in rows], 256)
     share = [sum(r.length for r in windows[w] if r.source == "a") for w in range(len(windows))]
     full = [w for w in range(len(windows)) if share[w] >= 191]
     assert len(full) >= 0.6 * len(windows) and all(191 <= share[w] <= 193 for w in full[:-1])
 
 
-def test_many_sources_share_the_last_queue(spark):
-    rows = [(i, shared.prose(i, 20), f"s{i}") for i in range(40)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
-    check(packing.pack(docs, PATH, 128, queues=5).collect(), [(r[0], r[1]) for r in rows], 128)
+def dealt_one_by_one(sizes, quantum):
+    """Deficit round-robin as a loop: the next quantum is of the queue whose middle is due first."""
+    total = sum(sizes.values())
+    order = sorted(((j // quantum + 0.5) / (n / total), s, j) for s, n in sizes.items() for j in range(n))
+    return [s for _, s, _ in order]
 
 
-def test_order_of_the_places():
-    lengths, weights = np.array([7, 0, 20, 3]), np.array([0.5, 0.1, 0.3, 0.1])
-    order = sorted(((j + 0.5) / w, q) for q, (n, w) in enumerate(zip(lengths, weights)) for j in range(n))
-    for after in range(0, 31):
-        expected = np.bincount([q for _, q in order[:after]], minlength=4)
-        assert (packing.given_after(np.array([after]), 1, lengths, weights)[0] == expected).all()
+@pytest.mark.parametrize("quantum", [1, 7, 64, 1000])
+def test_order_is_that_of_a_loop(spark, quantum):
+    rows = [(i, shared.prose(i, 5 + 13 * i % 60), f"s{i * i % 5}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = packing.pack(docs.repartition(3), PATH, 128, quantum=quantum).collect()
+    check(found, [(r[0], r[1]) for r in rows], 128)
+    sizes, given = defaultdict(int), []
+    for r in sorted(found, key=lambda r: (r.sequence_id, r.offset)):
+        sizes[r.source] += r.length
+        given += [r.source] * r.length
+    assert given == dealt_one_by_one(sizes, quantum)
+
+
+def test_pieces_do_not_grow_with_sources(spark):
+    counts = {}
+    for sources in (1, 20, 400):
+        rows = [(i, shared.prose(i, 300), f"s{i % sources}") for i in range(400)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+        found = packing.pack(docs, PATH).collect()
+        windows = check(found, [(r[0], r[1]) for r in rows], 2048)
+        counts[sources] = len(found)
+        total = sum(r.length for r in found)
+        shares, given = defaultdict(int), defaultdict(int)
+        for r in found:
+            shares[r.source] += r.length
+        for number in range(len(windows) - 1):
+            for r in windows[number]:
+                given[r.source] += r.length
+            for source, size in shares.items():
+                assert abs(given[source] - 2048 * (number + 1) * size / total) < 2 * packing.QUANTUM
+        assert len(found) <= len(rows) + total // packing.QUANTUM + sources + len(windows) + 200
+    assert counts[400] < 3 * counts[20]
 
 
 def test_no_rows_and_no_end(spark):

@@ -1,19 +1,18 @@
 """Packing of tokenised documents into fixed windows with a controlled mixture of sources.
 
-Every source is a queue of tokens.  Deficit round-robin with a quantum of one
-token hands the next place to the queue that is furthest behind its target, so
-after any number of places a queue is less than one token away from its share
-(until it runs dry, when the others divide what it leaves).  That order needs no
-loop over windows: the place of token j of a queue with weight w follows from
-its virtual time (j + 1/2) / w, so how many tokens each queue has given after W
-windows is a function of W, the weights and the queue lengths alone.  Each task
-evaluates it for the windows its documents fall in, and deficits carry over
-windows, partitions and tasks without any message between them.
-
-Sources beyond the largest ones form groups, and a group is one queue whose
-places are dealt to its own queues by the same rule (in as many levels as it
-takes), so every source keeps its share and no evaluation sees many queues.
-Sources with a target are never in a group.
+Every source is a queue of tokens, dealt in quanta.  Deficit round-robin hands
+the next quantum to the queue that is furthest behind its target, so after any
+number of tokens a queue is about a quantum away from its share at most (until it
+runs dry, when the others divide what it leaves).  That order needs no loop over
+rounds or windows: quantum j of a queue with weight w is due at the time
+(j + 1/2) / w, so the order of all quanta is a sort by that time.  Spark
+partitions the quanta by ranges of it; what the ranges before have dealt is one
+number per range, so deficits carry over windows, ranges and tasks, and neither
+the driver nor a task holds a list of sources.
+
+A quantum is cut only where a document or a window ends, and quanta of one
+document that follow each other are joined again.  So there are at most
+documents + quanta + windows + ranges pieces, however many sources there are.
 """
 
 from __future__ import annotations
@@ -33,8 +32,8 @@ from .textops import chunks, text_array
 
 WINDOW = 2048
 END_ID = 1
-#: Queues dealt to at once; sources beyond the largest ones without a target form groups, each one queue of its own queues.
-QUEUES = 256
+#: Tokens a queue gives at once: the shorter, the closer each window is to the targets, and the more pieces there are.
+QUANTUM = 256
 #: Words whose ids a worker remembers.
 CACHED_WORDS = 500_000
 
@@ -220,174 +219,107 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID)
     return plain.mapInArrow(run, "part bigint, row bigint, doc_id bigint, source string, n bigint, before bigint, ids binary")
 
 
-def given_after(windows: np.ndarray, window: int, lengths: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Tokens each queue has given after each number of windows: [windows, queues].
+def quanta(tokens: DataFrame, quantum: int) -> DataFrame:
+    """due, source, place, doc_id, start, doc_tokens, ids: the parts of documents in each quantum of their source.
 
-    The first window * windows tokens in the order of ((j + 1/2) / weight, queue).
-    """
-    lengths, weights = lengths.astype(np.int64), weights.astype(np.float64)
-    places = np.minimum(np.asarray(windows, np.int64) * window, lengths.sum())
-    dry = lengths / weights
-    times = np.unique(np.concatenate([[0.0], dry]))
-    reached = np.minimum(lengths[None, :], weights[None, :] * times[:, None]).sum(1)
-    time = np.interp(places, reached, times)
-    given = np.clip(np.floor(weights[None, :] * time[:, None] + 0.5), 0, lengths[None, :]).astype(np.int64)
-    rows = np.arange(len(places))
-
-    def ahead() -> np.ndarray:
-        return np.where(given < lengths[None, :], (given + 0.5) / weights[None, :], np.inf)
-
-    def behind() -> np.ndarray:
-        return np.where(given > 0, (given - 0.5) / weights[None, :], -np.inf)
-
-    def last_of(keys: np.ndarray) -> np.ndarray:
-        return keys.shape[1] - 1 - keys[:, ::-1].argmax(1)
-
-    while True:
-        missing = places - given.sum(1)
-        more, less = missing > 0, missing < 0
-        if not more.any() and not less.any():
-            break
-        given[rows[more], ahead().argmin(1)[more]] += 1
-        given[rows[less], last_of(behind())[less]] -= 1
-    while True:
-        coming, gone = ahead(), behind()
-        next_, last = coming.argmin(1), last_of(gone)
-        early, late = coming[rows, next_], gone[rows, last]
-        wrong = (early < late) | ((early == late) & (next_ < last))
-        if not wrong.any():
-            return given
-        given[rows[wrong], next_[wrong]] += 1
-        given[rows[wrong], last[wrong]] -= 1
-
-
-class Schedule:
-    """Where in which window each place of each source is.
-
-    A source is named by the queues on its path: of the whole, of its group, of the group in that, and so on.
+    ``tokens`` has doc_id, source, n, first (tokens of the source before it), weight and ids.
     """
 
-    def __init__(self, lengths: np.ndarray, weights: np.ndarray, window: int, groups: dict[int, Schedule] | None = None):
-        self.lengths, self.weights, self.window, self.groups = lengths, weights, window, groups or {}
-        self.windows = -(-int(lengths.sum()) // window)
-
-    def _given(self, path: tuple[int, ...], windows: np.ndarray) -> list[np.ndarray]:
-        """Per step of the path, the places that each of its queues has given before each window."""
-        out, level, places, step = [], self, windows, self.window
-        for queue in path:
-            out.append(given_after(places, step, level.lengths, level.weights))
-            places, step, level = out[-1][:, queue], 1, level.groups.get(queue)
-        return out
-
-    def window_of(self, path: tuple[int, ...], place: int) -> int:
-        """The window of one place: the last one that begins at or before it."""
-        low, high = 0, self.windows
-        while high - low > 1:
-            middle = np.unique(np.linspace(low, high, 18).astype(np.int64))[1:-1]
-            before = self._given(path, middle)[-1][:, path[-1]]
-            begun = middle[before <= place]
-            low, high = (int(begun[-1]) if len(begun) else low), int(min([high, *middle[before > place]]))
-        return low
-
-    def table(self, path: tuple[int, ...], low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
-        """For windows low..high: places of the source given before each (one row more), and offset of its tokens in the window."""
-        shift = np.zeros(high - low + 1, np.int64)
-        steps = self._given(path, np.arange(low, high + 2))
-        for queue, given in zip(path, steps):
-            shift += np.diff(given[:, :queue], axis=0).sum(1)
-        return steps[-1][:, path[-1]], shift
-
-
-def _grouped(sizes: list[int], at: list[int], total: int, most: int, window: int) -> tuple[Schedule, dict[int, tuple[int, ...]]]:
-    """A schedule of the sources numbered ``at``, weighed by their sizes, in levels of at most ``most`` queues; and their paths."""
-    members: list[list[int]] = [[i] for i in at]
-    if len(at) > most:
-        # groups of nearly equal numbers of sources
-        members = [list(map(int, part)) for part in np.array_split(np.array(at), most)]
-    groups, paths, lengths = {}, {}, []
-    for queue, own in enumerate(members):
-        lengths.append(sum(sizes[i] for i in own))
-        if len(own) == 1:
-            paths[own[0]] = (queue,)
-        else:
-            groups[queue], inner = _grouped(sizes, own, total, most, window)
-            paths.update({i: (queue, *rest) for i, rest in inner.items()})
-    lengths = np.array(lengths, np.int64)
-    return Schedule(lengths, np.maximum(lengths, 1) / total, window, groups), paths
-
-
-def schedule_of(sizes: list[int], asked: list[float], queues: int, window: int) -> tuple[Schedule, list[tuple[int, ...]]]:
-    """The schedule of all sources and each one's path.
-
-    A queue of its own have all sources with a target and the largest others, ``queues - 1`` in all or as many as have
-    targets; the rest is the last queue, if there is any.
-    """
-    total = max(1, sum(sizes))
-    wanted = [i for i, share in enumerate(asked) if share > 0]
-    others = sorted((i for i, share in enumerate(asked) if not share > 0), key=lambda i: (-sizes[i], i))
-    room = max(0, queues - 1 - len(wanted))
-    alone, rest = sorted(wanted + others[:room]), sorted(others[room:])
-    lengths = [sizes[i] for i in alone]
-    weights = [asked[i] if asked[i] > 0 else max(sizes[i], 1) / total for i in alone]
-    paths: dict[int, tuple[int, ...]] = {i: (queue,) for queue, i in enumerate(alone)}
-    groups = {}
-    if rest:
-        groups[len(alone)], inner = _grouped(sizes, rest, total, max(2, queues), window)
-        paths.update({i: (len(alone), *path) for i, path in inner.items()})
-        lengths.append(sum(sizes[i] for i in rest))
-        weights.append(max(lengths[-1], 1) / total)
-    return Schedule(np.array(lengths, np.int64), np.array(weights), window, groups), [paths[i] for i in range(len(sizes))]
-
-
-def _pieces(sent, window: int):
     def run(batches):
-        schedule, paths = sent.value
+        for batch in batches:
+            at, place, due, start, blobs = [], [], [], [], []
+            sizes, firsts, weights = (batch.column(i).to_numpy() for i in (2, 3, 4))
+            stored = batch.column(5)
+            for i, (n, first, weight) in enumerate(zip(sizes.tolist(), firsts.tolist(), weights.tolist())):
+                ids = stored[i].as_buffer()
+                width = ids.size // n  # two or four bytes a token, whichever the tokenizer's vocabulary needs
+                for unit in range(first // quantum, (first + n - 1) // quantum + 1):
+                    begin = max(unit * quantum, first)
+                    end = min((unit + 1) * quantum, first + n)
+                    at.append(i)
+                    place.append(begin)
+                    due.append((unit + 0.5) / weight)
+                    start.append(begin - first)
+                    blobs.append(ids.slice((begin - first) * width, (end - begin) * width).to_pybytes())
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(due, pa.float64()),
+                    batch.column(1).take(at),
+                    pa.array(place, pa.int64()),
+                    batch.column(0).take(at),
+                    pa.array(start, pa.int64()),
+                    batch.column(2).take(at),
+                    pa.array(blobs, pa.binary()),
+                ],
+                names=["due", "source", "place", "doc_id", "start", "doc_tokens", "ids"],
+            )
+
+    columns = tokens.select("doc_id", "source", "n", "first", "weight", "ids")
+    return columns.mapInArrow(run, "due double, source string, place bigint, doc_id bigint, start bigint, doc_tokens bigint, ids binary")
+
+
+_DEALT = "range bigint, at bigint, doc_id bigint, start bigint, length bigint, doc_tokens bigint, source string, ids binary"
+
+
+def dealt(units: DataFrame, width: int) -> DataFrame:
+    """The quanta in the order they are due: range, tokens of the range before, and the piece; neighbours in a document are joined."""
+
+    def run(batches):
         word_encoder.cache_clear()  # the tokens are written: a worker need not keep the words for what runs next
-        pa.default_memory_pool().release_unused()
+        number, given, held = TaskContext.get().partitionId(), 0, None
+        names = ["range", "at", "doc_id", "start", "length", "doc_tokens", "source", "ids"]
+        kinds = [pa.int64()] * 6 + [pa.string(), pa.binary()]
+
+        def table(rows):
+            columns = zip(*[(number, at, doc, start, length, n, source, b"".join(parts)) for at, doc, start, length, n, source, parts, _ in rows])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+        for batch in batches:
+            done = []
+            for source, place, doc, start, n, ids in zip(*[batch.column(i).to_pylist() for i in range(6)]):
+                length = len(ids) // width
+                if held and start and held[5] == source and held[7] == place:
+                    held[3] += length
+                    held[6].append(ids)
+                    held[7] += length
+                else:
+                    if held:
+                        done.append(held)
+                    held = [given, doc, start, length, n, source, [ids], place + length]
+                given += length
+            if done:
+                yield table(done)
+        if held:
+            yield table([held])
+
+    order = ["due", "source", "place"]
+    sorted_ = units.repartitionByRange(*order).sortWithinPartitions(*order)
+    return sorted_.select("source", "place", "doc_id", "start", "doc_tokens", "ids").mapInArrow(run, _DEALT)
+
+
+def cut_at_windows(pieces: DataFrame, before: dict[int, int], width: int, window: int) -> DataFrame:
+    """Pieces cut where windows end; ``before`` has the tokens dealt before each range."""
+
+    def run(batches):
         for batch in batches:
-            doc_ids = batch.column(0).to_pylist()
-            sources = batch.column(1).to_pylist()
-            sizes, first = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            blobs = batch.column(4)
-            queues = batch.column(5).to_numpy()
-            out = [[] for _ in range(8)]
-            # documents of one queue whose places follow each other closely are looked up together
-            for queue in np.unique(queues):
-                rows = np.flatnonzero(queues == queue)
-                rows = rows[np.argsort(first[rows], kind="stable")]
-                gaps = np.flatnonzero(np.diff(first[rows]) - sizes[rows][:-1] > 64 * window) + 1
-                for group in np.split(rows, gaps):
-                    path = paths[queue]
-                    low = schedule.window_of(path, int(first[group[0]]))
-                    high = schedule.window_of(path, int(first[group[-1]] + sizes[group[-1]] - 1))
-                    edges, shift = schedule.table(path, low, high)
-                    for i in group:
-                        begin, end = int(first[i]), int(first[i] + sizes[i])
-                        stored = blobs[i].as_buffer()
-                        # two or four bytes a token, whichever the tokenizer's vocabulary needs
-                        ids = np.frombuffer(stored, "<u2" if stored.size == 2 * (end - begin) else "<u4").astype("<u4")
-                        a = int(np.searchsorted(edges, begin, "right")) - 1
-                        b = int(np.searchsorted(edges, end, "left"))
-                        cuts = np.unique(np.clip(edges[a : b + 1], begin, end))
-                        at = np.searchsorted(edges, cuts[:-1], "right") - 1
-                        for cut, stop, w in zip(cuts[:-1].tolist(), cuts[1:].tolist(), at.tolist()):
-                            values = (
-                                doc_ids[i],
-                                cut - begin,
-                                stop - cut,
-                                zlib.crc32(ids[cut - begin : stop - begin].tobytes()),
-                                end - begin,
-                                low + w,
-                                int(shift[w]) + cut - int(edges[w]),
-                                sources[i],
-                            )
-                            for column, value in zip(out, values):
-                                column.append(value)
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            blobs, out = batch.column(7), [[] for _ in range(8)]
+            for i, (number, at, doc, start, length, n, source) in enumerate(zip(*columns)):
+                ids = np.frombuffer(blobs[i].as_buffer(), f"<u{width}").astype("<u4")
+                place, done = before[number] + at, 0
+                while done < length:
+                    sequence, offset = divmod(place + done, window)
+                    size = min(length - done, window - offset)
+                    crc = zlib.crc32(ids[done : done + size].tobytes())
+                    for column, value in zip(out, (doc, start + done, size, crc, n, sequence, offset, source)):
+                        column.append(value)
+                    done += size
             kinds = [pa.int64()] * 7 + [pa.string()]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
-    return run
+    return pieces.mapInArrow(run, PIECE_DDL)
 
 
 def pack(
@@ -396,36 +328,41 @@ def pack(
     window: int = WINDOW,
     targets: dict[str | None, float] | None = None,
     end_id: int | None = END_ID,
-    queues: int = QUEUES,
+    quantum: int = QUANTUM,
 ) -> DataFrame:
     """One row per piece of a document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source.
 
     ``targets`` are shares of tokens by source (default: each source's share of
-    the corpus, so every window is the corpus in small); a source without a
-    target gets its share of the corpus.  All windows but the last are full.  A
-    null text is empty (its only id is ``end_id``; without one it has no piece),
-    a null source is a source, repeated rows are packed once each, no rows give
-    no pieces.  At most ``queues`` queues (more only for targets) are dealt to at
-once: sources beyond the largest ones form groups with the same rule inside.
-The driver and each task hold a length and a place for every source.
+    the corpus, so every window is the corpus in small, up to a quantum); a source
+    without a target gets its share of the corpus.  All windows but the last are
+    full.  A null text is empty (its only id is ``end_id``; without one it has no
+    piece), a null source is a source, repeated rows are packed once each, no rows
+    give no pieces.  The driver holds a number for each range of the sort.
     """
     spark = docs.sparkSession
-    tokens = written(tokenised(docs, tokenizer_path, end_id), "tokens")
+    tokens = written(tokenised(docs, tokenizer_path, end_id), "tokens").where("n > 0")
     by_part = written(tokens.groupBy("part", "source").agg(F.sum("n").alias("n")), "queues")
-    totals = by_part.groupBy("source").agg(F.sum("n").alias("n")).collect()
-    totals.sort(key=lambda r: (r.source is not None, r.source or ""))
-    sizes = [r.n for r in totals]
-    if not sum(sizes):
+    total = by_part.agg(F.sum("n").alias("n")).first().n
+    if not total:
         return spark.createDataFrame([], PIECE_DDL)
-    schedule, paths = schedule_of(sizes, [(targets or {}).get(r.source, 0.0) for r in totals], queues, window)
+    width = tokens.select(F.expr("int(length(ids) div n)").alias("width")).first().width  # the same in all rows
 
-    known = spark.createDataFrame([(r.source, i) for i, r in enumerate(totals)], "source string, queue bigint")
+    asked = [(source, float(share)) for source, share in (targets or {}).items() if share > 0]
+    asked = narrow(spark.createDataFrame(asked, "source string, target double"), len(asked)).alias("a")
+    sizes = by_part.groupBy("source").agg(F.sum("n").alias("size")).alias("s")
+    weight = F.coalesce("a.target", F.col("s.size") / F.lit(float(total)))
+    weights = sizes.join(asked, F.col("s.source").eqNullSafe(F.col("a.source")), "left").select("s.source", weight.alias("weight"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = by_part.select("part", "source", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")).alias("p")
-    parts = parts.join(narrow(known, len(totals)).alias("k"), F.col("p.source").eqNullSafe(F.col("k.source")))
-    bases = written(parts.select("part", "p.source", "base", "queue"), "bases")
-    placed = tokens.where("n > 0").alias("t").join(
+    parts = parts.join(weights.alias("w"), F.col("p.source").eqNullSafe(F.col("w.source")))
+    bases = written(parts.select("part", "p.source", "base", "weight"), "bases")
+    placed = tokens.alias("t").join(
         narrow(bases).alias("b"), (F.col("t.part") == F.col("b.part")) & F.col("t.source").eqNullSafe(F.col("b.source"))
     )
-    columns = placed.select("doc_id", F.col("t.source").alias("source"), "n", (F.col("base") + F.col("before")).alias("first"), "ids", "queue")
-    return columns.mapInArrow(_pieces(spark.sparkContext.broadcast((schedule, paths)), window), PIECE_DDL)
+    placed = placed.select("doc_id", "t.source", "n", (F.col("base") + F.col("before")).alias("first"), "weight", "ids")
+    pieces = written(dealt(quanta(placed, quantum), width), "dealt")
+    before, given = {}, 0
+    for r in pieces.groupBy("range").agg(F.sum("length").alias("n")).orderBy("range").collect():
+        before[r.range] = given
+        given += r.n
+    return cut_at_windows(pieces, before, width, window)
