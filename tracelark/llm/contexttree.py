@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .tables import document_texts, held_out, written
-from .textops import LOWER, SPACE, chunks, text_array, word_hashes, word_spans
+from .textops import LOWER, SPACE, chunks, text_array, tidy, word_hashes, word_spans
 
 DEPTH = 4
 END = 255
@@ -110,7 +110,7 @@ def counted(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                     names=["word", "key", "n"],
                 )
 
-    parts = document_texts(docs).select("text").mapInArrow(run, "word boolean, key bigint, n bigint")
+    parts = document_texts(docs).select("text").mapInArrow(tidy(run), "word boolean, key bigint, n bigint")
     return parts.groupBy("word", "key").agg(F.sum("n").alias("n"))
 
 
@@ -274,7 +274,7 @@ def _gathered(table: DataFrame, kinds: dict[str, type]) -> list[np.ndarray]:
             ]
             yield pa.RecordBatch.from_arrays(blobs, names=names)
 
-    rows = table.select(*names).mapInArrow(run, ", ".join(f"`{n}` binary" for n in names)).collect()
+    rows = table.select(*names).mapInArrow(tidy(run), ", ".join(f"`{n}` binary" for n in names)).collect()
     return [np.frombuffer(b"".join(r[n] for r in rows), kinds[n]) for n in names]
 
 
@@ -424,7 +424,7 @@ def scored(docs: DataFrame, modulo: int = 10, depth: int = DEPTH, nodes: int = N
                 )
                 row += count
 
-    rows = written(document_texts(docs).mapInArrow(run, _SCORED), "scored")
+    rows = written(document_texts(docs).mapInArrow(tidy(run), _SCORED), "scored")
     rare = rows.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
     looked = rare.join(words, "key", "left")
     more = looked.groupBy("row").agg(

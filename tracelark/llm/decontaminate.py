@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .neardup import ratio
 from .tables import TEXT_HASH, document_texts, narrow, text_hash, written
-from .textops import NOT_ALNUM, chunks, overlap, shingle_hashes, shingle_set, text_array, word_hashes, word_spans
+from .textops import NOT_ALNUM, chunks, overlap, shingle_hashes, shingle_set, text_array, tidy, word_hashes, word_spans
 
 PERMUTATIONS = 32
 GROWTH = 1.5
@@ -68,7 +68,7 @@ def item_sets(items: DataFrame, width: int, id_name: str = "item_id") -> DataFra
             )
 
     plain = items.select(F.col(id_name).cast("bigint").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return plain.mapInArrow(run, "item_id bigint, width bigint, n bigint, values binary").where("n > 0").distinct()
+    return plain.mapInArrow(tidy(run), "item_id bigint, width bigint, n bigint, values binary").where("n > 0").distinct()
 
 
 class Index:
@@ -193,7 +193,7 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, containme
     for block in range(blocks):
         part = sets.where(F.pmod(F.xxhash64("values"), F.lit(blocks)) == block).orderBy("item_id", "values").collect()
         index = Index([r.item_id for r in part], [r.width for r in part], [np.frombuffer(r["values"], np.int64) for r in part])
-        found = plain.mapInArrow(_search(spark.sparkContext.broadcast(index), top, bottom), ddl)
+        found = plain.mapInArrow(tidy(_search(spark.sparkContext.broadcast(index), top, bottom)), ddl)
         result = found if result is None else result.unionByName(found)
     return result
 

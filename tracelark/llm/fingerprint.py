@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from .neardup import components_of, full_sets
 from .tables import TEXT_HASH, document_texts, text_hash, written
-from .textops import CHUNK, chunks, shingle_hashes, text_array, word_hashes, word_spans
+from .textops import CHUNK, chunks, shingle_hashes, text_array, tidy, word_hashes, word_spans
 
 PERMUTATIONS = 64
 #: 64 values as 21 bands of 3 rows: a pair of similarity 0.8 shares no band with a probability of 3e-7.
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, width: int = 5) -> DataFrame:
             )
 
     keyed = document_texts(docs).select("doc_id", text_hash().alias(TEXT_HASH), "text")
-    return keyed.mapInArrow(run, f"doc_id bigint, {TEXT_HASH} bigint, signature array<bigint>, fingerprint string")
+    return keyed.mapInArrow(tidy(run), f"doc_id bigint, {TEXT_HASH} bigint, signature array<bigint>, fingerprint string")
 
 
 def similar_fingerprints(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -191,4 +191,4 @@ def fingerprints_of_edits(docs: DataFrame, width: int = 5, slices: int | None =
                     names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
                 )
 
-    return rows.mapInArrow(run, EDITED_DDL)
+    return rows.mapInArrow(tidy(run), EDITED_DDL)

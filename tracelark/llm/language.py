@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .tables import TEXT_HASH, document_texts, held_out, narrow, text_hash, written
-from .textops import SpanHasher, chunks, mix, text_array, word_spans
+from .textops import SpanHasher, chunks, mix, text_array, tidy, word_spans
 
 CHAIN = 32
 BITS = 16
@@ -248,7 +248,7 @@ def training_spans(docs: DataFrame, documents: int = DOCUMENTS, spans: int = SPA
                     langs.append(lang)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(langs, pa.string())], names=["text", "lang"])
 
-    return ranked.where(F.col("rank") <= documents).select("text", "lang").mapInArrow(run, "text string, lang string").collect()
+    return ranked.where(F.col("rank") <= documents).select("text", "lang").mapInArrow(tidy(run), "text string, lang string").collect()
 
 
 def train(docs: DataFrame, documents: int = DOCUMENTS, modulo: int = 5) -> Model | None:
@@ -296,7 +296,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             )
 
     plain = document_texts(docs).select("doc_id", text_hash().alias(TEXT_HASH), "text")
-    return plain.mapInArrow(run, f"doc_id bigint, {TEXT_HASH} bigint, lang_pred string, score double, clear double")
+    return plain.mapInArrow(tidy(run), f"doc_id bigint, {TEXT_HASH} bigint, lang_pred string, score double, clear double")
 
 
 def language_runs(docs: DataFrame, model: Model) -> DataFrame:
@@ -322,7 +322,7 @@ def language_runs(docs: DataFrame, model: Model) -> DataFrame:
                 [pa.array(c, k) for c, k in zip(out, kinds)], names=["doc_id", "first_word", "last_word", "lang"]
             )
 
-    return document_texts(docs).mapInArrow(run, "doc_id bigint, first_word bigint, last_word bigint, lang string")
+    return document_texts(docs).mapInArrow(tidy(run), "doc_id bigint, first_word bigint, last_word bigint, lang string")
 
 
 def identified(docs: DataFrame, least: float = 0.35, modulo: int = 5) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .components import connected_components
 from .tables import TEXT_HASH, document_texts, narrow, text_hash, written
-from .textops import overlap, shingle_rows, shingle_set, text_array
+from .textops import overlap, shingle_rows, shingle_set, text_array, tidy
 
 SKETCH = 48
 DEVIATIONS = 6.2
@@ -82,7 +82,7 @@ def sketches(docs: DataFrame, width: int, k: int = SKETCH) -> DataFrame:
             )
 
     keyed = document_texts(docs).select("doc_id", text_hash().alias(TEXT_HASH), "text")
-    return keyed.mapInArrow(run, _SKETCHED_DDL)
+    return keyed.mapInArrow(tidy(run), _SKETCHED_DDL)
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -100,7 +100,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     rows = keyed.join(
         narrow(wanted), (keyed.doc_id.eqNullSafe(F.col("__id"))) & (keyed[TEXT_HASH] == F.col("__hash"))
     )
-    return rows.select("node", "n", "text").mapInArrow(run, "node bigint, n bigint, values binary")
+    return rows.select("node", "n", "text").mapInArrow(tidy(run), "node bigint, n bigint, values binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -120,7 +120,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFram
 
     first = sets.select(F.col("node").alias("a"), F.col("values").alias("left"))
     second = sets.select(F.col("node").alias("b"), F.col("values").alias("right"))
-    return pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
+    return pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "left", "right").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def _estimated(pairs: DataFrame, nodes: DataFrame, k: int, similarity: float) -> DataFrame:
@@ -214,7 +214,7 @@ def _prefixes(postings: DataFrame, roots: DataFrame, sets: DataFrame, similarity
             )
 
     chosen = sets.join(members.select("node"), "node", "left_semi").select("node", "values")
-    whole = chosen.mapInArrow(values, "node bigint, v bigint")
+    whole = chosen.mapInArrow(tidy(values), "node bigint, v bigint")
     common = whole.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     by_node = Window.partitionBy("node")
     ranked = whole.join(common, "v").select(

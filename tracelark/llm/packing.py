@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .tables import document_texts, narrow, written
-from .textops import chunks, text_array
+from .textops import chunks, text_array, tidy
 
 WINDOW = 2048
 END_ID = 1
@@ -216,7 +216,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID)
                 row += count
 
     plain = document_texts(docs, F.col("source").cast("string").alias("source"))
-    return plain.mapInArrow(run, "part bigint, row bigint, doc_id bigint, source string, n bigint, before bigint, ids binary")
+    return plain.mapInArrow(tidy(run), "part bigint, row bigint, doc_id bigint, source string, n bigint, before bigint, ids binary")
 
 
 def quanta(tokens: DataFrame, quantum: int) -> DataFrame:
@@ -256,7 +256,7 @@ def quanta(tokens: DataFrame, quantum: int) -> DataFrame:
             )
 
     columns = tokens.select("doc_id", "source", "n", "first", "weight", "ids")
-    return columns.mapInArrow(run, "due double, source string, place bigint, doc_id bigint, start bigint, doc_tokens bigint, ids binary")
+    return columns.mapInArrow(tidy(run), "due double, source string, place bigint, doc_id bigint, start bigint, doc_tokens bigint, ids binary")
 
 
 _DEALT = "range bigint, at bigint, doc_id bigint, start bigint, length bigint, doc_tokens bigint, source string, ids binary"
@@ -295,7 +295,7 @@ def dealt(units: DataFrame, width: int) -> DataFrame:
 
     order = ["due", "source", "place"]
     sorted_ = units.repartitionByRange(*order).sortWithinPartitions(*order)
-    return sorted_.select("source", "place", "doc_id", "start", "doc_tokens", "ids").mapInArrow(run, _DEALT)
+    return sorted_.select("source", "place", "doc_id", "start", "doc_tokens", "ids").mapInArrow(tidy(run), _DEALT)
 
 
 def cut_at_windows(pieces: DataFrame, before: dict[int, int], width: int, window: int) -> DataFrame:
@@ -319,7 +319,7 @@ def cut_at_windows(pieces: DataFrame, before: dict[int, int], width: int, window
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
-    return pieces.mapInArrow(run, PIECE_DDL)
+    return pieces.mapInArrow(tidy(run), PIECE_DDL)
 
 
 def pack(

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .contexttree import _gathered
 from .tables import BROADCAST_ROWS, TEXT_HASH, document_texts, narrow, text_hash, written
-from .textops import NOT_ALNUM, chunks, text_array, word_hashes, word_spans
+from .textops import NOT_ALNUM, chunks, text_array, tidy, word_hashes, word_spans
 
 KINDS = ("email", "ip", "card", "phone")
 #: Words looked at on either side of an entity, and the characters they must lie in.
@@ -176,7 +176,7 @@ def annotated(docs: DataFrame) -> DataFrame:
 
     plain = document_texts(docs).select("doc_id", text_hash().alias(TEXT_HASH), "text")
     numbers = ", ".join(f"n_{k} bigint" for k in KINDS)
-    return plain.mapInArrow(run, f"doc_id bigint, {TEXT_HASH} bigint, {numbers}, base_sha256 string, base_spans string, near {_NEAR}, entities array<bigint>, text string")
+    return plain.mapInArrow(tidy(run), f"doc_id bigint, {TEXT_HASH} bigint, {numbers}, base_sha256 string, base_spans string, near {_NEAR}, entities array<bigint>, text string")
 
 
 def document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -210,7 +210,7 @@ def document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
             some = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(wanted[some]), pa.array(counts[some])], names=["term", "n"])
 
-        counted = document_texts(docs).select("text").mapInArrow(run, "term bigint, n bigint")
+        counted = document_texts(docs).select("text").mapInArrow(tidy(run), "term bigint, n bigint")
         result = counted if result is None else result.unionByName(counted)
     return result.groupBy("term").agg(F.sum("n").alias("n_term"))
 
@@ -268,7 +268,7 @@ def together(rows: DataFrame, pairs: DataFrame) -> DataFrame:
             )
 
         held = rows.where(F.size("entities") > 0).select("entities", "text")
-        counted = held.mapInArrow(run, "entity bigint, term bigint, n bigint")
+        counted = held.mapInArrow(tidy(run), "entity bigint, term bigint, n bigint")
         result = counted if result is None else result.unionByName(counted)
     return result.groupBy("entity", "term").agg(F.sum("n").alias("n_both"))
 
@@ -306,7 +306,7 @@ def everywhere(rows: DataFrame, told: DataFrame) -> DataFrame:
                 )
 
         held = rows.where(F.size("entities") > 0).select("doc_id", TEXT_HASH, "entities", "base_spans", "text")
-        found = held.mapInArrow(run, f"doc_id bigint, {TEXT_HASH} bigint, start int, end int, gone boolean")
+        found = held.mapInArrow(tidy(run), f"doc_id bigint, {TEXT_HASH} bigint, start int, end int, gone boolean")
         result = found if result is None else result.unionByName(found)
     return result
 
@@ -399,7 +399,7 @@ def sanitised(docs: DataFrame, **thresholds) -> DataFrame:
 
     docs_columns = list(docs.columns)
     # only rows with something to replace go through Python
-    changed = keyed.join(other, same).select(*docs_columns, "__spans").mapInArrow(replaced, docs.schema)
+    changed = keyed.join(other, same).select(*docs_columns, "__spans").mapInArrow(tidy(replaced), docs.schema)
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return keyed.join(other, same, "left_anti").select(*docs.columns).union(changed.select(*docs.columns))

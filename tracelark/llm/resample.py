@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .tables import document_texts, written
-from .textops import text_array
+from .textops import text_array, tidy
 
 #: Bytes of text joined at once; a longer document is taken in pieces of about this size.
 JOINED = 512 << 10
@@ -100,7 +100,7 @@ def bucket_counts(texts: DataFrame, longest: int = 1, buckets: int = 10_000) ->
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array(total[held], pa.int64())], names=["bucket", "n"])
 
-    return texts.select("text").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(tidy(run), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
 def gains(docs: DataFrame, target: DataFrame, longest: int = 1, buckets: int = 10_000) -> np.ndarray:
@@ -138,7 +138,7 @@ def weighed(docs: DataFrame, gain: np.ndarray, longest: int = 1) -> DataFrame:
                 [batch.column(0), *(pa.array(c, pa.int64()) for c in counts)], names=["doc_id", "n_words", "n_features", "weight"]
             )
 
-    return document_texts(docs).mapInArrow(run, "doc_id bigint, n_words bigint, n_features bigint, weight bigint")
+    return document_texts(docs).mapInArrow(tidy(run), "doc_id bigint, n_words bigint, n_features bigint, weight bigint")
 
 
 def noise(doc_id: Column, seed: int) -> Column:

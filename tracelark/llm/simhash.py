@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .components import connected_components
 from .tables import document_texts, narrow, written
-from .textops import text_array
+from .textops import text_array, tidy
 
 SEED = 42
 BITS = 64
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
             found = [fingerprint(t.as_buffer().to_pybytes(), width) for t in text_array(batch)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
 
-    return document_texts(docs).mapInArrow(run, "doc_id bigint, fp bigint")
+    return document_texts(docs).mapInArrow(tidy(run), "doc_id bigint, fp bigint")
 
 
 def _without(quarter: int) -> Column:

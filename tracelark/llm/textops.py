@@ -8,8 +8,9 @@ hashes as equal words.  A null text is an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,31 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int]:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):  # another C library
+        return lambda pad: 0
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow: when a task ends, its worker gives memory it has freed back to the system.
+
+    Workers wait for later tasks, and what numpy and Arrow freed would stay theirs beside the executor's heap.
+    """
+
+    @wraps(run)
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            _trim()(0)
+
+    return tidied
+
+
 @lru_cache(maxsize=2)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = pow(_PRIME, -1, 2**64)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .tables import TEXT_HASH, document_texts, held_out, text_hash
-from .textops import NOT_ALNUM, SpanHasher, chunks, mix, text_array, word_spans
+from .textops import NOT_ALNUM, SpanHasher, chunks, mix, text_array, tidy, word_spans
 
 #: Bounds of the sample the classifier is fitted to.
 POSITIVES = 3_000
@@ -144,7 +144,7 @@ def _sample(rows: DataFrame, total: int, most: int) -> list[np.ndarray]:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], names=["drawn", "features"])
 
     kept, size = [], 0
-    for row in some.mapInArrow(run, "drawn bigint, features binary").orderBy("drawn", "features").limit(most).toLocalIterator():
+    for row in some.mapInArrow(tidy(run), "drawn bigint, features binary").orderBy("drawn", "features").limit(most).toLocalIterator():
         size += len(row.features)
         if size > SAMPLE_BYTES:
             break
@@ -188,4 +188,4 @@ def predict(docs: DataFrame, classifier: Classifier) -> DataFrame:
             )
 
     plain = document_texts(docs).select("doc_id", text_hash().alias(TEXT_HASH), "text")
-    return plain.mapInArrow(run, f"doc_id bigint, {TEXT_HASH} bigint, score double")
+    return plain.mapInArrow(tidy(run), f"doc_id bigint, {TEXT_HASH} bigint, score double")
