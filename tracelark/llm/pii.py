@@ -12,6 +12,18 @@ that stand near each other at least once.  Wherever a document of the entity
 holds the term, it is removed above one threshold and generalised above a lower
 one.  A document without the entity keeps the term.  Counts are of document rows
 and over all of them.
+
+Secrets (keys, tokens, passwords made by machines) have no pattern.  They are
+entities found by their information content: long runs of ASCII letters and
+digits for which a model of the corpus' own letter pairs needs as many bits a
+character as for random ones.  The model learns from shorter words only, so
+no secret, however often it is copied, explains itself.
+
+Most entities occur once, which leaves nothing to count for a single value.  So
+every kind of entity is protected as well: n(e,t) is then the number of
+documents in which the term stands near an entity of the kind, and n(e) that of
+documents with one.  Such terms are removed or generalised where they stand near
+an entity of their kind.
 """
 
 from __future__ import annotations
@@ -28,6 +40,12 @@ from .tables import BROADCAST_ROWS, TEXT_HASH, document_texts, narrow, text_hash
 from .textops import NOT_ALNUM, chunks, text_array, tidy, word_hashes, word_spans
 
 KINDS = ("email", "ip", "card", "phone")
+#: Kinds of entities: those of the patterns, and secrets.
+ENTITIES = (*KINDS, "secret")
+#: Letters and digits that a secret has at least, and bits a character: more than an even choice among 16 digits takes, so that a
+#: few rare pairs in an ordinary compound do not suffice.
+SECRET_CHARS = 20
+SECRET_BITS = 4.5
 #: Words looked at on either side of an entity, and the characters they must lie in.
 CONTEXT_WORDS = 6
 CONTEXT_CHARS = 120
@@ -36,6 +54,8 @@ REMOVE_AT = 0.9
 GENERALISE_AT = 0.6
 #: Documents that must hold both a term and an entity before their counts say anything.
 MIN_SUPPORT = 3
+#: The same for a term and a kind; larger, as a kind has many documents and a rare word may be among them by chance.
+KIND_SUPPORT = 20
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -46,6 +66,9 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+_RUN = re.compile(rf"(?<![A-Za-z0-9])[A-Za-z0-9]{{{SECRET_CHARS},}}+")
+_NOT_RUN = np.ones(256, bool)
+_NOT_RUN[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = False
 
 
 def _luhn(digits: str) -> bool:
@@ -96,10 +119,50 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 def _entity(kind: str, value: str) -> int:
     """A number for what the span names, whatever its spelling."""
-    plain = value.lower() if kind in ("email", "ip") else "".join(c for c in value if "0" <= c <= "9")
+    plain = value.lower() if kind in ("email", "ip") else value if kind == "secret" else "".join(c for c in value if "0" <= c <= "9")
     return int.from_bytes(hashlib.blake2b(f"{kind}:{plain}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def letter_bits(docs: DataFrame) -> np.ndarray:
+    """[byte, next byte] bits of each pair of lower-case ASCII letters and digits, from all words too short for secrets."""
+
+    def run(batches):
+        counts = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for _, _, data, offsets in chunks(text_array(batch)):
+                start, end, _ = word_spans(data, offsets, _NOT_RUN)
+                inside = np.zeros(len(data) + 1, np.int32)
+                short = end - start < SECRET_CHARS
+                inside[start[short]] = 1
+                inside[end[short] - 1] -= 1  # the last byte of a word begins no pair
+                first = np.flatnonzero(np.cumsum(inside[:-1]))
+                counts += np.bincount(data[first].astype(np.int64) << 8 | data[first + 1], minlength=1 << 16)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["pair", "n"])
+
+    counted = document_texts(docs).select("text").mapInArrow(tidy(run), "pair bigint, n bigint")
+    counts = np.zeros(1 << 16)
+    for r in counted.groupBy("pair").agg(F.sum("n").alias("n")).collect():  # at most 36 * 36 rows
+        counts[r.pair] = r.n
+    counts = counts.reshape(256, 256) + 0.5
+    kept = ~_NOT_RUN
+    kept[ord("A") : ord("Z") + 1] = False
+    return np.log2(counts[:, kept].sum(1))[:, None] - np.log2(counts)
+
+
+def secret_spans(text: str, bits: np.ndarray) -> list[tuple[int, int]]:
+    """Runs with letters and digits that take at least ``SECRET_BITS`` a character."""
+    found = []
+    for m in _RUN.finditer(text):
+        run = m.group().lower()
+        if run.isalpha() or run.isdigit():
+            continue
+        codes = np.frombuffer(run.encode(), np.uint8)
+        if bits[codes[:-1], codes[1:]].mean() >= SECRET_BITS:
+            found.append(m.span())
+    return found
+
+
 def _near(text: str, start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
     """Words near a span that are in no span themselves."""
     low = max(0, start - CONTEXT_CHARS)
@@ -124,38 +187,48 @@ def _term_hashes(terms: list[str]) -> np.ndarray:
     return word_hashes(data, ends - np.array([len(r) for r in raw]), ends).view(np.int64)
 
 
-_NEAR = "array<struct<entity:bigint,term:bigint,start:int,end:int>>"
+_NEAR = "array<struct<kind:int,entity:bigint,term:bigint,start:int,end:int>>"
 
 
 def annotated(docs: DataFrame) -> DataFrame:
-    """Each document row's key, counts by kind, base spans as text with their digest, the terms near them, and its entities.
+    """Each document row's key, counts by kind, digest of the base spans, spans of all entities as text, terms near them, and the entities.
 
+    ``near.kind`` is a place in ``ENTITIES``.  A secret that overlaps a base span is part of it and not counted.
     Rows with an entity have their text as well, so that what follows need not read all documents.
     """
-    near_type = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
-    names = ["doc_id", TEXT_HASH, *[f"n_{k}" for k in KINDS], "base_sha256", "base_spans", "near", "entities", "text"]
+    bits = letter_bits(docs)
+    near_type = pa.list_(
+        pa.struct([("kind", pa.int32()), ("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+    )
+    names = ["doc_id", TEXT_HASH, *[f"n_{k}" for k in ENTITIES], "base_sha256", "base_spans", "near", "entities", "text"]
 
     def run(batches):
         for batch in batches:
             texts = text_array(batch)
-            for first, stop, _, _ in chunks(texts, lower=False):
-                counts, digests, shown, nears, entities, kept = [[] for _ in KINDS], [], [], [], [], []
+            for first, stop, data, offsets in chunks(texts, lower=False):
+                counts, digests, shown, nears, entities, kept = [[] for _ in ENTITIES], [], [], [], [], []
                 terms: list[str] = []
-                for text in texts.slice(first, stop - first).to_pylist():
+                start, end, _ = word_spans(data, offsets, _NOT_RUN)
+                long = np.zeros(stop - first, bool)
+                long[np.searchsorted(offsets, start[end - start >= SECRET_CHARS], "right") - 1] = True
+                for text, runs in zip(texts.slice(first, stop - first).to_pylist(), long):
                     spans = base_spans(text)
-                    for column, kind in zip(counts, KINDS):
-                        column.append(len(spans[kind]))
                     line = ",".join(f"{k}:{s}:{e}" for k in KINDS for s, e in spans[k])
-                    shown.append(line)
                     digests.append(hashlib.sha256(line.encode()).hexdigest())
                     taken = [x for k in KINDS for x in spans[k]]
+                    secrets = secret_spans(text, bits) if runs else []
+                    spans["secret"] = [(s, e) for s, e in secrets if not any(a < e and s < b for a, b in taken)]
+                    taken += spans["secret"]
+                    for column, kind in zip(counts, ENTITIES):
+                        column.append(len(spans[kind]))
+                    shown.append(",".join(f"{k}:{s}:{e}" for k in ENTITIES for s, e in spans[k]))
                     near, own = [], set()
-                    for kind in KINDS:
+                    for number, kind in enumerate(ENTITIES):
                         for s, e in spans[kind]:
                             entity = _entity(kind, text[s:e])
                             own.add(entity)
                             for a, b, term in _near(text, s, e, taken):
-                                near.append({"entity": entity, "term": len(terms), "start": a, "end": b})
+                                near.append({"kind": number, "entity": entity, "term": len(terms), "start": a, "end": b})
                                 terms.append(term)
                     nears.append(near)
                     entities.append(sorted(own))
@@ -175,7 +248,7 @@ def annotated(docs: DataFrame) -> DataFrame:
                 )
 
     plain = document_texts(docs).select("doc_id", text_hash().alias(TEXT_HASH), "text")
-    numbers = ", ".join(f"n_{k} bigint" for k in KINDS)
+    numbers = ", ".join(f"n_{k} bigint" for k in ENTITIES)
     return plain.mapInArrow(tidy(run), f"doc_id bigint, {TEXT_HASH} bigint, {numbers}, base_sha256 string, base_spans string, near {_NEAR}, entities array<bigint>, text string")
 
 
@@ -327,33 +400,59 @@ def disclosures(docs: DataFrame, rows: DataFrame, min_support: int = MIN_SUPPORT
     return counted.where(information > 0).select("entity", "term", (pmi / information).alias("disclosure"))
 
 
+def kind_disclosures(docs: DataFrame, rows: DataFrame, support: int = KIND_SUPPORT) -> DataFrame:
+    """(kind, term, disclosure) of terms near entities of a kind in enough of the annotated rows; ``kind`` is a place in ``ENTITIES``."""
+    kept = rows.agg(F.count("*").alias("rows"), *[F.count(F.when(F.col(f"n_{k}") > 0, 1)).alias(k) for k in ENTITIES]).first()
+    once = F.array_distinct(F.transform("near", lambda x: F.struct(x["kind"].alias("kind"), x["term"].alias("term"))))
+    met = rows.where(F.size("near") > 0).select(F.explode(once).alias("x")).groupBy("x.kind", "x.term").agg(F.count("*").alias("n_both"))
+    met = written(met.where(F.col("n_both") >= support), "kind_terms")
+    counted = met.join(document_frequencies(docs, met.select("term").distinct()), "term")
+    n_kind = F.element_at(F.array(*[F.lit(float(kept[k])) for k in ENTITIES]), F.col("kind") + 1)
+    information = F.log(F.lit(float(kept.rows)) / n_kind)
+    pmi = F.log(F.col("n_both") * float(kept.rows) / (n_kind * F.col("n_term")))
+    return counted.where(information > 0).select("kind", "term", (pmi / information).alias("disclosure"))
+
+
 def spans_of(
-    docs: DataFrame, remove_at: float = REMOVE_AT, generalise_at: float = GENERALISE_AT, min_support: int = MIN_SUPPORT
+    docs: DataFrame,
+    remove_at: float = REMOVE_AT,
+    generalise_at: float = GENERALISE_AT,
+    min_support: int = MIN_SUPPORT,
+    kind_support: int = KIND_SUPPORT,
 ) -> DataFrame:
-    """doc_id, text hash, counts by kind, base_sha256 and spans ("kind:start:end", comma-joined) of every document row.
+    """doc_id, text hash, counts by kind, base_sha256, n_added and spans ("kind:start:end", comma-joined) of every document row.
 
-    Kinds: email, ip, card, phone, then generalise and remove for terms.  A text
-    without any of them (null and empty ones too) has an empty string.  Repeated
-    rows have equal results; no rows give none.
+    Kinds: email, ip, card, phone, then secret, then generalise and remove for
+    terms; ``n_added`` counts those after phone.  A text without any of them (null
+    and empty ones too) has an empty string.  Repeated rows have equal results; no
+    rows give none.
     """
     rows = written(annotated(docs), "annotated")
     told = disclosures(docs, rows, min_support).where(F.col("disclosure") >= generalise_at)
     told = written(told.select("entity", "term", (F.col("disclosure") >= remove_at).alias("gone")), "disclosures")
     near = rows.where(F.size("near") > 0).select("doc_id", TEXT_HASH, F.explode("near").alias("x")).select("doc_id", TEXT_HASH, "x.*")
     places = near.join(told, ["entity", "term"]).select("doc_id", TEXT_HASH, "start", "end", "gone")
+    kinds = kind_disclosures(docs, rows, kind_support).where(F.col("disclosure") >= generalise_at)
+    kinds = narrow(written(kinds.select("kind", "term", (F.col("disclosure") >= remove_at).alias("gone")), "kinds"))
+    places = places.unionByName(near.join(kinds, ["kind", "term"]).select("doc_id", TEXT_HASH, "start", "end", "gone"))
     flagged = places.unionByName(everywhere(rows, told)).groupBy("doc_id", TEXT_HASH, "start", "end").agg(F.max("gone").alias("gone"))
     flagged = flagged.withColumn("kind", F.when(F.col("gone"), "remove").otherwise("generalise"))
     ordered = F.transform(
         F.array_sort(F.collect_list(F.struct("kind", "start", "end"))), lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])
     )
-    more = written(flagged.groupBy("doc_id", TEXT_HASH).agg(F.array_join(ordered, ",").alias("more")), "spans")
-    other = more.select(F.col("doc_id").alias("__id"), F.col(TEXT_HASH).alias("__hash"), "more")
+    more = written(flagged.groupBy("doc_id", TEXT_HASH).agg(F.array_join(ordered, ",").alias("more"), F.count("*").alias("n_more")), "spans")
+    other = more.select(F.col("doc_id").alias("__id"), F.col(TEXT_HASH).alias("__hash"), "more", "n_more")
     joined = rows.drop("near", "entities", "text").join(
         narrow(other), rows.doc_id.eqNullSafe(F.col("__id")) & (rows[TEXT_HASH] == F.col("__hash")), "left"
     )
     base = F.when(F.col("base_spans") != "", F.col("base_spans"))
     return joined.select(
-        "doc_id", TEXT_HASH, *[f"n_{k}" for k in KINDS], "base_sha256", F.concat_ws(",", base, "more").alias("spans")
+        "doc_id",
+        TEXT_HASH,
+        *[f"n_{k}" for k in ENTITIES],
+        "base_sha256",
+        (F.col("n_secret") + F.coalesce("n_more", F.lit(0))).alias("n_added"),
+        F.concat_ws(",", base, "more").alias("spans"),
     )
 
 

@@ -111,10 +111,10 @@ def op3_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op2_disclosing_terms")
 def op2_disclosing_terms(spark: SparkSession, folder: str) -> DataFrame:
-    from .pii import KINDS, spans_of
+    from .pii import ENTITIES, spans_of
 
     found = spans_of(table(spark, folder, "documents"))
-    return found.select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans")
+    return found.select("doc_id", *[f"n_{k}" for k in ENTITIES], "n_added", "base_sha256", "spans")
 
 
 @query("op5_language_field")
