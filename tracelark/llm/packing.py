@@ -8,7 +8,8 @@ rounds or windows: quantum j of a queue with weight w is due at the time
 (j + 1/2) / w, so the order of all quanta is a sort by that time.  Spark
 partitions the quanta by ranges of it; what the ranges before have dealt is one
 number per range, so deficits carry over windows, ranges and tasks, and neither
-the driver nor a task holds a list of sources.
+the driver nor a task holds a list of sources.  Quanta are sorted as places in
+their documents; the ids are joined to the finished pieces.
 
 A quantum is cut only where a document or a window ends, and quanta of one
 document that follow each other are joined again.  So there are at most
@@ -77,6 +78,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.type = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.letters = _byte_letters()
         self.direct = self._direct()
@@ -94,7 +96,7 @@ class WordEncoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _model(self, word: str) -> list[int]:
-        return [token.id for token in self.tokenizer.model.tokenize(word.translate(self.letters))]
+        return [token.id for token in self.model.tokenize(word if word.isascii() else word.translate(self.letters))]
 
     def _clear(self) -> None:
         self.codes = _Codes()
@@ -114,7 +116,7 @@ class WordEncoder:
             word = new[i]
             stem = word[:-1] if word[-1] in ".,;:!?" else word
             ids: list[int] = []
-            if self.direct and stem.isalpha() and max(stem) <= "\xff":
+            if self.direct and stem.isalpha() and (stem.isascii() or max(stem) <= "\xff"):
                 low = stem.lower()
                 if low != word:
                     composed.append(i)
@@ -220,106 +222,100 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID)
 
 
 def quanta(tokens: DataFrame, quantum: int) -> DataFrame:
-    """due, source, place, doc_id, start, doc_tokens, ids: the parts of documents in each quantum of their source.
+    """due, source, place, part, row, doc_id, start, length, doc_tokens: the parts of documents in each quantum of their source.
 
-    ``tokens`` has doc_id, source, n, first (tokens of the source before it), weight and ids.
+    ``tokens`` has part, row, doc_id, source, n, first (tokens of the source before it) and weight.
     """
+    whole = F.sequence(F.expr(f"first div {quantum}"), F.expr(f"(first + n - 1) div {quantum}"))
+    begin = F.greatest(F.col("unit") * quantum, F.col("first"))
+    end = F.least((F.col("unit") + 1) * quantum, F.col("first") + F.col("n"))
+    return tokens.withColumn("unit", F.explode(whole)).select(
+        ((F.col("unit") + 0.5) / F.col("weight")).alias("due"),
+        "source",
+        begin.alias("place"),
+        "part",
+        "row",
+        "doc_id",
+        (begin - F.col("first")).alias("start"),
+        (end - begin).alias("length"),
+        F.col("n").alias("doc_tokens"),
+    )
 
-    def run(batches):
-        for batch in batches:
-            at, place, due, start, blobs = [], [], [], [], []
-            sizes, firsts, weights = (batch.column(i).to_numpy() for i in (2, 3, 4))
-            stored = batch.column(5)
-            for i, (n, first, weight) in enumerate(zip(sizes.tolist(), firsts.tolist(), weights.tolist())):
-                ids = stored[i].as_buffer()
-                width = ids.size // n  # two or four bytes a token, whichever the tokenizer's vocabulary needs
-                for unit in range(first // quantum, (first + n - 1) // quantum + 1):
-                    begin = max(unit * quantum, first)
-                    end = min((unit + 1) * quantum, first + n)
-                    at.append(i)
-                    place.append(begin)
-                    due.append((unit + 0.5) / weight)
-                    start.append(begin - first)
-                    blobs.append(ids.slice((begin - first) * width, (end - begin) * width).to_pybytes())
-            at = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(due, pa.float64()),
-                    batch.column(1).take(at),
-                    pa.array(place, pa.int64()),
-                    batch.column(0).take(at),
-                    pa.array(start, pa.int64()),
-                    batch.column(2).take(at),
-                    pa.array(blobs, pa.binary()),
-                ],
-                names=["due", "source", "place", "doc_id", "start", "doc_tokens", "ids"],
-            )
-
-    columns = tokens.select("doc_id", "source", "n", "first", "weight", "ids")
-    return columns.mapInArrow(tidy(run), "due double, source string, place bigint, doc_id bigint, start bigint, doc_tokens bigint, ids binary")
-
-
-_DEALT = "range bigint, at bigint, doc_id bigint, start bigint, length bigint, doc_tokens bigint, source string, ids binary"
-
-
-def dealt(units: DataFrame, width: int) -> DataFrame:
+
+_DEALT = "range bigint, at bigint, part bigint, row bigint, doc_id bigint, start bigint, length bigint, doc_tokens bigint, source string"
+
+
+def dealt(units: DataFrame) -> DataFrame:
     """The quanta in the order they are due: range, tokens of the range before, and the piece; neighbours in a document are joined."""
+    columns = ["part", "row", "doc_id", "start", "length", "doc_tokens", "source"]
 
     def run(batches):
         word_encoder.cache_clear()  # the tokens are written: a worker need not keep the words for what runs next
         number, given, held = TaskContext.get().partitionId(), 0, None
-        names = ["range", "at", "doc_id", "start", "length", "doc_tokens", "source", "ids"]
-        kinds = [pa.int64()] * 6 + [pa.string(), pa.binary()]
 
-        def table(rows):
-            columns = zip(*[(number, at, doc, start, length, n, source, b"".join(parts)) for at, doc, start, length, n, source, parts, _ in rows])
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        def numbered(pieces, at):
+            head = [pa.array(np.full(len(at), number, np.int64)), pa.array(at)]
+            return pa.RecordBatch.from_arrays([*head, *pieces.columns], names=["range", "at", *columns])
 
         for batch in batches:
-            done = []
-            for source, place, doc, start, n, ids in zip(*[batch.column(i).to_pylist() for i in range(6)]):
-                length = len(ids) // width
-                if held and start and held[5] == source and held[7] == place:
-                    held[3] += length
-                    held[6].append(ids)
-                    held[7] += length
-                else:
-                    if held:
-                        done.append(held)
-                    held = [given, doc, start, length, n, source, [ids], place + length]
-                given += length
-            if done:
-                yield table(done)
-        if held:
-            yield table([held])
+            batch = pa.RecordBatch.from_arrays(batch.columns, names=columns)  # all fields nullable, as in what is held
+            if held is not None:  # the last piece so far, which may go on
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            if not batch.num_rows:
+                continue
+            part, row, start, length = (batch.column(i).to_numpy() for i in (0, 1, 3, 4))
+            goes_on = (part[1:] == part[:-1]) & (row[1:] == row[:-1]) & (start[1:] == start[:-1] + length[:-1])
+            first = np.flatnonzero(np.concatenate([[True], ~goes_on]))
+            at = (given + np.cumsum(length) - length)[first]
+            pieces = batch.take(pa.array(first))
+            pieces = pieces.set_column(4, "length", pa.array(np.add.reduceat(length, first)))
+            if len(first) > 1:
+                yield numbered(pieces.slice(0, len(first) - 1), at[:-1])
+            held, given = pieces.slice(len(first) - 1), int(at[-1])
+        if held is not None:
+            yield numbered(held, np.array([given], np.int64))
 
     order = ["due", "source", "place"]
     sorted_ = units.repartitionByRange(*order).sortWithinPartitions(*order)
-    return sorted_.select("source", "place", "doc_id", "start", "doc_tokens", "ids").mapInArrow(tidy(run), _DEALT)
+    return sorted_.select(*columns).mapInArrow(tidy(run), _DEALT)
 
 
-def cut_at_windows(pieces: DataFrame, before: dict[int, int], width: int, window: int) -> DataFrame:
+def cut_at_windows(pieces: DataFrame, before: dict[int, int], window: int) -> DataFrame:
     """Pieces cut where windows end; ``before`` has the tokens dealt before each range."""
+    bases = pieces.sparkSession.createDataFrame(list(before.items()), "range bigint, base bigint")  # one row for each range
+    placed = pieces.join(F.broadcast(bases), "range").withColumn("place", F.col("base") + F.col("at"))
+    last = F.expr(f"(place + length - 1) div {window}")
+    begin = F.greatest(F.col("window") * window, F.col("place"))
+    end = F.least((F.col("window") + 1) * window, F.col("place") + F.col("length"))
+    return placed.withColumn("window", F.explode(F.sequence(F.expr(f"place div {window}"), last))).select(
+        "part",
+        "row",
+        "doc_id",
+        (F.col("start") + begin - F.col("place")).alias("start"),
+        (end - begin).alias("length"),
+        "doc_tokens",
+        F.col("window").alias("sequence_id"),
+        (begin - F.col("window") * window).alias("offset"),
+        "source",
+    )
+
+
+def with_checksums(pieces: DataFrame, tokens: DataFrame, width: int) -> DataFrame:
+    """The pieces with the CRC-32 of their ids: each document's ids move once, to its pieces, and are cut before Python sees them."""
 
     def run(batches):
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(7)]
-            blobs, out = batch.column(7), [[] for _ in range(8)]
-            for i, (number, at, doc, start, length, n, source) in enumerate(zip(*columns)):
-                ids = np.frombuffer(blobs[i].as_buffer(), f"<u{width}").astype("<u4")
-                place, done = before[number] + at, 0
-                while done < length:
-                    sequence, offset = divmod(place + done, window)
-                    size = min(length - done, window - offset)
-                    crc = zlib.crc32(ids[done : done + size].tobytes())
-                    for column, value in zip(out, (doc, start + done, size, crc, n, sequence, offset, source)):
-                        column.append(value)
-                    done += size
-            kinds = [pa.int64()] * 7 + [pa.string()]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
-
-    return pieces.mapInArrow(tidy(run), PIECE_DDL)
+            blobs = batch.column(7)
+            ids = (np.frombuffer(blobs[i].as_buffer(), f"<u{width}").astype("<u4") for i in range(batch.num_rows))
+            crc = pa.array([zlib.crc32(x) for x in ids], pa.int64())
+            columns = [batch.column(i) for i in range(7)]
+            yield pa.RecordBatch.from_arrays([*columns[:3], crc, *columns[3:]], names=names)
+
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"]
+    own = F.expr(f"substring(t.ids, int(p.start * {width}) + 1, int(p.length * {width}))")
+    joined = pieces.alias("p").join(tokens.select("part", "row", "ids").alias("t"), ["part", "row"])
+    cut = joined.select("p.doc_id", "p.start", "p.length", "p.doc_tokens", "p.sequence_id", "p.offset", "p.source", own.alias("ids"))
+    return cut.mapInArrow(tidy(run), PIECE_DDL)
 
 
 def pack(
@@ -359,10 +355,11 @@ def pack(
     placed = tokens.alias("t").join(
         narrow(bases).alias("b"), (F.col("t.part") == F.col("b.part")) & F.col("t.source").eqNullSafe(F.col("b.source"))
     )
-    placed = placed.select("doc_id", "t.source", "n", (F.col("base") + F.col("before")).alias("first"), "weight", "ids")
-    pieces = written(dealt(quanta(placed, quantum), width), "dealt")
+    first = (F.col("base") + F.col("before")).alias("first")
+    placed = placed.select("t.part", "row", "doc_id", "t.source", "n", first, "weight")
+    pieces = written(dealt(quanta(placed, quantum)), "dealt")
     before, given = {}, 0
     for r in pieces.groupBy("range").agg(F.sum("length").alias("n")).orderBy("range").collect():
         before[r.range] = given
         given += r.n
-    return cut_at_windows(pieces, before, width, window)
+    return with_checksums(cut_at_windows(pieces, before, window), tokens, width)
