@@ -81,6 +81,7 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.type = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.letters = _byte_letters()
+        self.marks = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]  # found before letters are lowered
         self.direct = self._direct()
         self._clear()
 
@@ -156,13 +157,25 @@ class WordEncoder:
         """All ids of the texts one after the other, and the number of ids of each text."""
         if len(self.codes) > CACHED_WORDS:
             self._clear()
-        split = [self._words(text) for text in texts]
+        split = [self._words(self._folded(text)) for text in texts]
         counts = np.fromiter(map(len, split), np.int64, len(split))
         code = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
         self._learn()
         ids, ends = self._gather(code)
         return ids, np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
 
+    def _folded(self, text: str) -> str:
+        """In small letters if the tokenizer makes no difference, so that fewer words are new."""
+        if not self.direct:
+            return text
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text
+        low = text.lower()
+        return text if any(mark in low for mark in self.marks) else low
+
     @staticmethod
     def _words(text: str) -> list[str]:
         """Runs without white space; str.split also cuts at four control characters that are no white space to the tokenizer."""
