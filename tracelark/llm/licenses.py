@@ -7,7 +7,8 @@ looked up, the postings of a template's index words are intersected by relative
 position (place in the file minus place in the template), and what remains is
 verified word by word, with the mandatory phrases of sentences.  A sentence has
 two more indexed places than words that may differ, so at least two of them agree
-in every file it is to be found in, whichever words those are.
+in every file it is to be found in, whichever words those are.  Words put in or
+left out move what follows, so places of a sentence agree within a drift of ``DRIFT``.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: A sentence is recognised when this share of its words stands in place.
 SENTENCE_SHARE = 0.7
+#: How far words of a sentence may have moved by words put in or left out.
+DRIFT = 2
 
 
 @dataclass(frozen=True)
@@ -44,19 +47,37 @@ TEMPLATES = (
     Template("agpl", "affero general public license"),
     Template("apache", "apache license"),
     Template("apache-2.0", "apache license version 2 0"),
+    Template("agpl-3", "agpl 3 0"),
+    Template("apache-2.0", "apache 2 0"),
+    Template("boost", "boost software license"),
+    Template("boost", "bsl 1 0"),
     Template("bsd", "bsd license"),
+    Template("bsd-2-clause", "bsd 2 clause"),
+    Template("bsd-3-clause", "bsd 3 clause"),
     Template("cc-by-nc", "cc by nc"),
     Template("cc-by-nd", "cc by nd"),
     Template("cc-by-sa", "cc by sa"),
+    Template("cc0", "cc0 1 0"),
     Template("creative-commons", "creative commons attribution"),
     Template("epl", "eclipse public license"),
+    Template("epl", "epl 2 0"),
     Template("gpl-2", "general public license version 2"),
     Template("gpl-3", "general public license version 3"),
+    Template("gpl-2", "gpl 2 0"),
+    Template("gpl-3", "gpl 3 0"),
     Template("isc", "isc license"),
+    Template("isc", "license identifier isc"),
     Template("lgpl", "lesser general public license"),
+    Template("lgpl-2.1", "lgpl 2 1"),
+    Template("lgpl-3", "lgpl 3 0"),
     Template("mit", "mit license"),
+    Template("mit", "license identifier mit"),
     Template("mpl", "mozilla public license"),
+    Template("mpl", "mpl 2 0"),
     Template("public-domain", "released into the public domain"),
+    Template("unlicense", "license identifier unlicense"),
+    Template("zlib", "zlib license"),
+    Template("zlib", "license identifier zlib"),
     Template(
         "apache",
         "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
@@ -66,7 +87,13 @@ TEMPLATES = (
         "bsd",
         "redistribution and use in source and binary forms with or without modification are permitted provided that the "
         "following conditions are met",
-        mandatory=("source and binary forms",),
+        mandatory=("binary forms",),
+    ),
+    Template(
+        "boost",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license",
+        mandatory=("hereby granted", "accompanying documentation"),
     ),
     Template(
         "gpl",
@@ -74,11 +101,28 @@ TEMPLATES = (
         "license as published by the free software foundation",
         mandatory=("general public license", "free software foundation"),
     ),
+    Template(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+        "provided that the above copyright notice and this permission notice appear in all copies",
+        mandatory=("without fee", "all copies"),
+    ),
     Template(
         "mit",
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
         "documentation files",
-        mandatory=("hereby granted", "free of charge"),
+        mandatory=("hereby granted", "this software"),
+    ),
+    Template(
+        "unlicense",
+        "this is free and unencumbered software released into the public domain",
+        mandatory=("unencumbered software",),
+    ),
+    Template(
+        "zlib",
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter "
+        "it and redistribute it freely subject to the following restrictions",
+        mandatory=("commercial applications",),
     ),
 )
 
@@ -118,8 +162,8 @@ def _index_words(template: Template, frequency: dict[str, int], most: int) -> li
 def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, frequency: dict[str, int] | None = None) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row.
 
-    score is the largest share of a recognised template's words in place: 1 for
-    phrases, 0 if nothing is recognised.  first_word and last_word are null
+    score is the largest share of a recognised template's words in place (within
+    ``DRIFT`` places for sentences): 1 for phrases, 0 if nothing is recognised.  first_word and last_word are null
     without a base phrase.  Null and empty texts have no words; repeated rows
     have equal results; other columns are left.
     """
@@ -148,19 +192,22 @@ def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, freque
             found = F.filter(both, lambda o: F.slice("words", o + 1, len(template.words)) == words)
             return F.transform(found, lambda o: F.struct(o.alias("at"), F.lit(1.0).alias("share")))
         every = f"o{sentences.index(template)}"
-        either = F.array_distinct(F.filter(every, lambda o, i: F.coalesce(F.get(every, i + 1) == o, F.lit(len(index[template]) < 2))))
+        either = F.array_distinct(F.filter(every, lambda o, i: F.coalesce(F.get(every, i + 1) <= o + DRIFT, F.lit(len(index[template]) < 2))))
 
         def share(o: Column) -> Column:
-            same = [F.coalesce(F.get("words", o + i) == w, F.lit(False)).cast("int") for i, w in enumerate(template.words)]
+            near = [F.slice("words", F.greatest(o + (i - DRIFT), F.lit(0)) + 1, 2 * DRIFT + 1) for i in range(len(template.words))]
+            same = [F.array_contains(place, w).cast("int") for place, w in zip(near, template.words)]
             return sum(same[1:], same[0]) / len(same)
 
         def complete(o: Column) -> Column:
-            window = F.concat(F.lit(" "), F.array_join(F.slice("words", o + 1, len(template.words) + 4), " "), F.lit(" "))
+            around = F.slice("words", F.greatest(o - DRIFT, F.lit(0)) + 1, len(template.words) + 4 + DRIFT)
+            window = F.concat(F.lit(" "), F.array_join(around, " "), F.lit(" "))
             out = F.lit(True)
             for phrase in template.mandatory:
                 out = out & F.contains(window, F.lit(f" {phrase} "))
             return out
 
+        # the phrases first: few candidates hold them, and only those are gone through word by word
         rated = F.transform(either, lambda o: F.struct(o.alias("at"), F.when(complete(o), share(o)).otherwise(0.0).alias("share")))
         return F.filter(rated, lambda x: x["share"] >= SENTENCE_SHARE)
 
