@@ -22,6 +22,10 @@ from .tables import TEXT_HASH, document_texts, held_out, narrow, text_hash, writ
 from .textops import SpanHasher, chunks, mix, text_array, tidy, word_spans
 
 CHAIN = 32
+#: Scoring takes so many words at a time, with so many more on both sides, whose messages reach them but which are answered elsewhere.
+KEPT, MARGIN = 128, 32
+#: Letters of a training word; longer ones (whole sentences where none separate words) are several words.
+WORD = 200
 BITS = 16
 #: Bounds of the sample the model is fitted to: documents of a language, spans of a document.
 DOCUMENTS = 300
@@ -190,19 +194,23 @@ def word_posteriors(model: Model, data: np.ndarray, offsets: np.ndarray):
     _, index, inverse = np.unique(SpanHasher(data)(start, end), return_index=True, return_inverse=True)
     scores = model.scores(word_features(data, start[index], end[index]))
     counts = np.diff(bounds)
-    chains = -(-counts // CHAIN)
-    first = np.concatenate([[0], np.cumsum(chains)])
-    row = np.repeat(np.arange(len(counts)), chains)
-    begin = bounds[row] + (np.arange(first[-1]) - first[row]) * CHAIN
-    at = begin[:, None] + np.arange(CHAIN)
-    present = at < bounds[row + 1][:, None]
-    # many chains at a time, but not more than fit in memory for any number of labels
+    parts = -(-counts // KEPT)
+    first = np.concatenate([[0], np.cumsum(parts)])
+    row = np.repeat(np.arange(len(counts)), parts)
+    begin = bounds[row] + (np.arange(first[-1]) - first[row]) * KEPT
+    head = np.maximum(begin - MARGIN, bounds[row])
+    tail = np.minimum(begin + KEPT + MARGIN, bounds[row + 1])
     out = np.empty((len(start), len(model.labels)), np.float32)
-    step = max(1, (1 << 21) // (CHAIN * len(model.labels)))
-    for i in range(0, len(at), step):
-        some, own = present[i : i + step], at[i : i + step]
-        part = scores[inverse[np.where(some, own, 0)]] * some[..., None]
-        out[own[some]] = _posteriors(part, some, model.transitions)[some]
+    # chains of like length together, many at a time, but not more than fit in memory for any number of labels
+    order = np.argsort(tail - head, kind="stable")
+    step = max(1, (1 << 21) // ((KEPT + 2 * MARGIN) * len(model.labels)))
+    for i in range(0, len(order), step):
+        some = order[i : i + step]
+        own = head[some, None] + np.arange((tail - head)[some[-1]])
+        present = own < tail[some, None]
+        part = scores[inverse[np.where(present, own, 0)]] * present[..., None]
+        kept = present & (own >= begin[some, None]) & (own < begin[some, None] + KEPT)
+        out[own[kept]] = _posteriors(part, present, model.transitions)[kept]
     return start, end, bounds, out
 
 
@@ -240,11 +248,11 @@ def training_spans(docs: DataFrame, documents: int = DOCUMENTS, spans: int = SPA
         for batch in batches:
             texts, langs = [], []
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = text.split()
+                words = [w[i : i + WORD] for w in text.split() for i in range(0, len(w), WORD)]
                 count = min(spans, -(-len(words) // CHAIN))
                 for i in range(count):
                     at = i * max(0, len(words) - CHAIN) // max(1, count - 1) if count > 1 else 0
-                    texts.append(" ".join(w[:200] for w in words[at : at + CHAIN]))
+                    texts.append(" ".join(words[at : at + CHAIN]))
                     langs.append(lang)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(langs, pa.string())], names=["text", "lang"])
 
