@@ -20,8 +20,9 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections import defaultdict
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,19 +44,6 @@ PIECE_DDL = (
 )
 
 
-class _Codes(dict):
-    """Numbers words as they are first asked for and notes the new ones."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        code = self[word] = len(self)
-        self.new.append(word)
-        return code
-
-
 def _byte_letters() -> dict[int, str]:
     """Latin-1 characters as the letters that stand for their UTF-8 bytes in byte-level vocabularies."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -100,20 +88,25 @@ class WordEncoder:
         return [token.id for token in self.model.tokenize(word if word.isascii() else word.translate(self.letters))]
 
     def _clear(self) -> None:
-        self.codes = _Codes()
+        self.codes = defaultdict(count().__next__)  # words are numbered as they are first asked for
+        self.learnt = 0
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
         self.ids = np.zeros(0, self.type)
 
     def _learn(self) -> None:
-        """Ids of the words noted as new: of simple ones by tokenising, of others from their parts."""
-        codes, new = self.codes, self.codes.new
+        """Ids of the words numbered since the last call: of simple ones by tokenising, of others from their parts."""
+        codes, new = self.codes, self._numbered(self.learnt)
         found: list[list[int]] = []
         whole: list[int] = []
         composed: list[int] = []
         parts: list[list[int]] = []
         i = 0
-        while i < len(new):  # parts of composed words may be new as well
+        while True:
+            if i == len(new):  # parts of composed words may be new as well
+                new += self._numbered(self.learnt + i)
+                if i == len(new):
+                    break
             word = new[i]
             stem = word[:-1] if word[-1] in ".,;:!?" else word
             ids: list[int] = []
@@ -129,7 +122,7 @@ class WordEncoder:
             found.append(ids)
             i += 1
         if whole:
-            encoded = self.tokenizer.encode_batch([new[i] for i in whole], add_special_tokens=False)
+            encoded = self.tokenizer.encode_batch_fast([new[i] for i in whole], add_special_tokens=False)
             for i, e in zip(whole, encoded):
                 found[i] = e.ids
         lengths = np.fromiter(map(len, found), np.int64, len(found))
@@ -141,11 +134,15 @@ class WordEncoder:
             sizes = np.fromiter(map(len, parts), np.int64, len(parts))
             ids, ends = self._gather(np.fromiter(chain.from_iterable(parts), np.int64, int(sizes.sum())))
             edges = ends[np.concatenate([[0], np.cumsum(sizes)])]
-            at = len(self.codes) - len(new) + np.array(composed)
+            at = self.learnt + np.array(composed)
             self.starts[at] = len(self.ids) + edges[:-1]
             self.lengths[at] = np.diff(edges)
             self.ids = np.concatenate([self.ids, ids])
-        new.clear()
+        self.learnt = len(codes)
+
+    def _numbered(self, first: int) -> list[str]:
+        """The words with numbers from ``first`` on."""
+        return list(islice(reversed(self.codes), len(self.codes) - first))[::-1]
 
     def _gather(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of coded words one after the other, and the number of ids before each word and at the end."""
