@@ -13,6 +13,11 @@ RUNTIME_CONF = {
     # Percentile buffers are hash-aggregated; the default of 128 groups sends
     # a (store x channel x edge) aggregate to the sort-based fallback.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
+    # Events repeat a lot, so a shuffled MB is about 35 MB in a task that sorts
+    # them by case, and up to 75 where cases are then aggregated.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    # Documents, hashes and ids of the stored tables take half the room they have with snappy.
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 #: Settings for a session of our own.  Shuffle partition counts are left to
