@@ -4,8 +4,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tracelark.plans import catalogue
 from tracelark.plans.catalogue import all_queries
 from tracelark.plans.retail import retail_lines
+from tracelark.streaming import run_available
 
 DAY = dt.datetime(1996, 1, 2)
 
@@ -45,3 +47,26 @@ def test_queries_bound_what_a_task_reads(spark, tmp_path):
     all_queries()["parse_headers"](spark, orders_and_lines(spark, tmp_path))
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
     assert spark.conf.get("spark.sql.parquet.compression.codec") == "zstd"
+
+
+def test_landing_files_follow_the_bytes(spark, tmp_path, monkeypatch):
+    """Micro-batches cost their own; files of a thousand lines make one of a few MB."""
+    spark.range(2_500).selectExpr("id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    root = tmp_path / "root"
+    monkeypatch.setattr(catalogue, "fresh_dir", lambda spark, tag: str(root))
+    assert all_queries()["raw_ingest"](spark, str(tmp_path)).count() == 2_500
+    assert len(list((root / "landing").glob("part-*"))) == 1
+
+
+def test_a_state_stores_its_changes(spark, tmp_path):
+    name = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    spark.range(5).selectExpr("id", "timestamp_seconds(id) AS ts").write.parquet(f"{tmp_path}/in")
+    try:
+        live = spark.readStream.schema("id bigint, ts timestamp").parquet(f"{tmp_path}/in")
+        run_available(live.dropDuplicates(["id"]), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+        assert spark.conf.get(name) == "true"
+    finally:
+        spark.conf.set(name, before)
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 5
