@@ -92,3 +92,12 @@ def test_the_state_does_not_grow(spark):
     keys = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
     assert max(keys) <= 3 * keys[0]
     assert found.select("case_id").distinct().count() == 20 * 7  # the last ones are open
+
+
+def test_cases_share_a_state(spark):
+    batches = [[(f"c{i}", at(i % 7 + 20 * b), f"n{b}", str(b)) for i in range(200)] for b in range(2)]
+    batches += [[("e", at(5000), "q", "1")], [("e", at(5001), "q", "2")]]
+    found, progress = streamed(spark, batches, delay="10 minutes", gap="30 minutes", keep="2 hours", buckets=8)
+    rows = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    assert max(rows) <= 8 * 4  # a value and the entries of a timer for each bucket, however many cases there are
+    assert numbered(settled_log(found)) == expected(spark, batches, {f"c{i}" for i in range(200)})

@@ -1,12 +1,17 @@
 """A numbered event log out of a stream: a case is numbered when it is complete.
 
-Each case is keyed state: its events, and a timer that fires when no event has
-come for ``gap`` of event time.  Then the case is complete and all its events go
-out, numbered.  They stay in the state for ``keep`` more; an event that comes
+Cases live in keyed state: their events, and the time to act on them.  When no
+event has come for ``gap`` of event time, a case is complete and all its events
+go out, numbered.  They stay in the state for ``keep`` more; an event that comes
 meanwhile reopens the case, which goes out again as a higher revision.  After
-that the state is dropped, so it holds the cases of about delay + gap + keep of
+that it is dropped, so the state holds the cases of about delay + gap + keep of
 event time, however long the stream runs.
 
+The key of the state is a bucket of cases, not a case: a call into the state
+costs as much as dozens of events, and most cases have but a few.  A bucket is
+read and written once per micro-batch that touches it, and has one timer, that
+of the case which is due first.
+
 An event that comes even later begins another life of its case, and a case with
 more events than a state should hold goes out in parts without numbers.
 ``settled_log`` puts lives and parts together and numbers those few cases in a
@@ -15,7 +20,9 @@ batch, long ones spread over several tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import json
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, Window, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -35,59 +42,98 @@ EVENT_FIELDS = (
 EMITTED = f"{CASE} string, life bigint, part int, revision int, event_sequence bigint, {EVENT_FIELDS}"
 #: A row to be sent out: it has to know its names.
 EmittedRow = Row(*[field.split()[0] for field in EMITTED.split(", ")])
-LIFE = "life bigint, part int, revision int, events int, last_ms bigint, timer_ms bigint, complete boolean"
+BUCKET = "case_bucket"
+#: Buckets of cases.  All live cases of a bucket meet in one value of the state: choose more for more live cases than some 10 million.
+BUCKETS = 2_048
+
+
+@dataclass
+class LiveCase:
+    """A case as its bucket holds it; ``timer_ms`` is when it is complete or, if it is complete already, forgotten."""
+
+    case: str | None
+    life: int
+    part: int
+    revision: int
+    last_ms: int
+    timer_ms: int
+    complete: bool
+    events: list = field(default_factory=list)
 
 
 class CompleteCases(StatefulProcessor):
-    """Collects a case's events, sends them out numbered once the case is complete, forgets them later."""
+    """Collects the events of a bucket's cases, sends a case out numbered once it is complete, forgets it later."""
 
     def __init__(self, gap_ms: int, keep_ms: int, most_events: int = STATE_EVENTS):
         self.gap_ms, self.keep_ms, self.most_events = gap_ms, keep_ms, most_events
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.events = handle.getListState("events", EVENT_FIELDS)
-        self.life = handle.getValueState("life", LIFE)
+        self.bucket = handle.getValueState("bucket", "timer_ms bigint, cases string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        arrived = [tuple(r[1:]) for r in rows]
         now = timerValues.getCurrentWatermarkInMs()
-        life, part, revision, events, last_ms, timer_ms, _ = self.life.get() if self.life.exists() else (now, 0, 0, 0, now, None, False)
-        self.events.appendList(arrived)
-        events += len(arrived)
-        last_ms = max([last_ms, *(r[1] // 1000 for r in arrived if r[1] is not None)])
-        if events > self.most_events:
-            yield from self._emitted(key[0], life, part, revision + 1, numbered=False)
-            self.events.clear()
-            part, revision, events = part + 1, 0, 0
-        self._wait(life, part, revision, events, last_ms, timer_ms, last_ms + self.gap_ms, complete=False)
+        timer_ms, cases = self._stored()
+        arrived: dict[str | None, list] = {}
+        for row in rows:
+            arrived.setdefault(row[1], []).append(tuple(row[2:]))
+        for case, events in arrived.items():
+            live = cases.get(case)
+            if live is None:
+                live = cases[case] = LiveCase(case, now, 0, 0, now, 0, False)
+            live.events += events
+            live.last_ms = max([live.last_ms, *(e[1] // 1000 for e in events if e[1] is not None)])
+            live.timer_ms, live.complete = live.last_ms + self.gap_ms, False
+            if len(live.events) > self.most_events:
+                yield from self._emitted(live, numbered=False)
+                live.events, live.part, live.revision = [], live.part + 1, 0
+        self._store(timer_ms, cases.values())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        life, part, revision, events, last_ms, timer_ms, complete = self.life.get()
-        if complete:
-            self.events.clear()
-            self.life.clear()
-            return
-        if events:
-            yield from self._emitted(key[0], life, part, revision + 1, numbered=True)
-        self._wait(life, part, revision + 1, events, last_ms, None, timer_ms + max(1, self.keep_ms), complete=True)
+        # what is due at the expired time, or before the watermark as Spark's own timers are
+        until = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+        _, cases = self._stored()
+        staying = []
+        for live in cases.values():
+            if live.timer_ms <= until and not live.complete:
+                if live.events:
+                    yield from self._emitted(live, numbered=True)
+                live.revision, live.complete = live.revision + 1, True
+                live.timer_ms += max(1, self.keep_ms)
+            if live.timer_ms > until:
+                staying.append(live)
+        self._store(None, staying)  # Spark takes away the timer that has expired
 
     def close(self) -> None:
         pass
 
-    def _wait(self, life, part, revision, events, last_ms, old_ms, new_ms, complete) -> None:
+    def _stored(self) -> tuple[int | None, dict[str | None, LiveCase]]:
+        """The bucket's timer and its cases."""
+        if not self.bucket.exists():
+            return None, {}
+        timer_ms, cases = self.bucket.get()
+        return timer_ms, {fields[0]: LiveCase(*fields) for fields in json.loads(cases)}
+
+    def _store(self, old_ms: int | None, cases: Iterable[LiveCase]) -> None:
+        rows = [(c.case, c.life, c.part, c.revision, c.last_ms, c.timer_ms, c.complete, c.events) for c in cases]
+        new_ms = min((row[5] for row in rows), default=None)
         if old_ms != new_ms:
             if old_ms is not None:
                 self.handle.deleteTimer(old_ms)
-            self.handle.registerTimer(new_ms)
-        self.life.update((life, part, revision, events, last_ms, new_ms, complete))
-
-    def _emitted(self, case, life, part, revision, numbered) -> Iterator[Row]:
-        found = [tuple(r) for r in self.events.get()]
+            if new_ms is not None:
+                self.handle.registerTimer(new_ms)
+        if rows:
+            self.bucket.update((new_ms, json.dumps(rows)))
+        else:
+            self.bucket.clear()
+
+    @staticmethod
+    def _emitted(live: LiveCase, numbered: bool) -> Iterator[Row]:
+        found = live.events
         if numbered:  # time, priority, label, key; missing values first
-            found.sort(key=lambda r: [(v is not None, v) for v in (r[1], r[6], r[0], r[5])])
+            found = sorted(found, key=lambda e: [(v is not None, v) for v in (e[1], e[6], e[0], e[5])])
         for place, event in enumerate(found, 1):
-            yield EmittedRow(case, life, part, revision, place if numbered else None, *event)
+            yield EmittedRow(live.case, live.life, live.part, live.revision + 1, place if numbered else None, *event)
 
 
 def _ms(interval: str) -> int:
@@ -105,15 +151,18 @@ def numbered_stream(
     gap: str = "1 hour",
     keep: str = "1 day",
     most_events: int = STATE_EVENTS,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Stream of the events of complete cases, with their numbers; append it to a table and read that by ``settled_log``.
 
     Intervals are in seconds, minutes, hours or days.  Events behind the watermark are dropped as
     late, as in every stream.  A null case is a case like others; events without a time come out with their case.
+    ``buckets`` is fixed for the life of a checkpoint.
     """
     events = stream_events(sources, ranks, delay)
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", BUILD_CONF["spark.sql.streaming.stateStore.providerClass"])
     plain = events.select(
+        F.pmod(F.xxhash64(F.col(CASE).cast("string")), F.lit(buckets)).alias(BUCKET),
         F.col(CASE).cast("string").alias(CASE),
         "activity_name",
         F.unix_micros("event_ts").alias("at"),
@@ -125,7 +174,7 @@ def numbered_stream(
         "event_ts",
     )
     processor = CompleteCases(_ms(gap), _ms(keep), most_events)
-    return plain.drop("event_ts").groupBy(CASE).transformWithState(processor, EMITTED, "Append", "EventTime")
+    return plain.drop("event_ts").groupBy(BUCKET).transformWithState(processor, EMITTED, "Append", "EventTime")
 
 
 def settled_log(emitted: DataFrame, hot_rows: int | None = HOT_CASE_ROWS) -> DataFrame:
