@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tracelark.plans import catalogue
+from tracelark.plans import catalogue, retail
 from tracelark.plans.catalogue import all_queries
 from tracelark.plans.retail import retail_lines
 from tracelark.streaming import run_available
@@ -70,3 +70,14 @@ def test_a_state_stores_its_changes(spark, tmp_path):
     finally:
         spark.conf.set(name, before)
     assert spark.read.parquet(f"{tmp_path}/out").count() == 5
+
+
+def test_a_log_carries_the_attributes_asked_for(spark, tmp_path):
+    folder = orders_and_lines(spark, tmp_path)
+    whole, some = retail.retail_log(spark, folder), retail.retail_log(spark, folder, ["line_id"])
+    names = [name for name in whole.columns if name != "event_attributes"]
+    line = F.col("event_attributes")["line_id"].alias("line_id")
+    assert sorted(map(str, some.select(*names, line).collect())) == sorted(map(str, whole.select(*names, line).collect()))
+    assert {k for r in some.collect() for k in r.event_attributes} == {"line_id"}
+    stored = retail.retail_tables(spark, folder).stored(f"{tmp_path}/typed", ["line_id"])
+    assert "sku" not in stored.items.columns and "record_hash" not in stored.transactions.columns

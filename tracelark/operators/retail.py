@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, functions as F
 
 from .event_log import Event, EventSource
@@ -20,6 +23,13 @@ SCAN_LABELS = {
     "PLU_LOOKUP": "ITEM_LOOKED_UP",
 }
 DEFAULT_SCAN_LABEL = "ITEM_SCANNED_BARCODE"
+#: What the log reads of each table, besides attributes.
+READ = {
+    "transactions": ("transaction_id", "transaction_start_ts", "transaction_end_ts", "status", "cashier_id", "store_id", "channel"),
+    "items": ("transaction_id", "line_id", "scan_ts", "scan_method", "is_void", "is_return"),
+    "incidents": ("transaction_id", "incident_id", "incident_type", "incident_ts", "resolution_ts", "resolved_by"),
+    "tender": ("transaction_id", "tender_id", "tender_ts"),
+}
 
 
 def _attributes(*names: str) -> dict:
@@ -90,15 +100,35 @@ def tender_source(tender: DataFrame) -> EventSource:
     return EventSource(tender, F.col("transaction_id"), F.col("tender_id"), [applied])
 
 
+def columns_read(table: str, attributes: Sequence[str], columns: Sequence[str]) -> list[str]:
+    """Those of a typed table's columns that a log with these attributes needs."""
+    return [name for name in columns if name in READ[table] or name in attributes]
+
+
 def retail_sources(
-    transactions: DataFrame, items: DataFrame, incidents: DataFrame, tender: DataFrame
+    transactions: DataFrame,
+    items: DataFrame,
+    incidents: DataFrame,
+    tender: DataFrame,
+    attributes: Sequence[str] | None = None,
 ) -> list[EventSource]:
-    return [
+    """The four sources; ``attributes`` names the event attributes to carry along (default: all).
+
+    A map is shuffled with its event as a whole, so one that nobody reads in full is better built in part.
+    """
+    sources = [
         lifecycle_source(transactions),
         item_source(items),
         incident_source(incidents),
         tender_source(tender),
     ]
+    if attributes is None:
+        return sources
+
+    def wanted(event: Event) -> Event:
+        return replace(event, attributes={name: value for name, value in event.attributes.items() if name in attributes})
+
+    return [replace(source, events=[wanted(event) for event in source.events]) for source in sources]
 
 
 def case_dimensions(transactions: DataFrame) -> DataFrame:

@@ -8,13 +8,14 @@ grows with the number of lines of its order.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, fields
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..operators.dedup import drop_copies
 from ..operators.event_log import linked_log
-from ..operators.retail import CATEGORY_RANKS, case_dimensions, retail_sources
+from ..operators.retail import CATEGORY_RANKS, case_dimensions, columns_read, retail_sources
 from ..session import fresh_dir
 from ..sources.documents import explode_incidents, explode_items, explode_tender, parse_headers
 from ..sources.raw import add_ingest_columns
@@ -38,14 +39,15 @@ def _money(amount: Column) -> Column:
     return amount.cast("decimal(12,2)")
 
 
-def _headers(orders: DataFrame, *more: str) -> DataFrame:
+def _document(*sections: Column) -> Column:
+    """An order's header and the given sections as JSON."""
     order_key, customer = F.col("o_orderkey"), F.col("o_custkey")
     store = F.concat(F.lit("STR-00"), (F.pmod(customer, F.lit(7)) + 1).cast("string"))
     start = _start_ms(order_key)
     end = start + 45_000 + F.pmod(customer, F.lit(30)) * 1000
     status = F.when(F.col("o_orderstatus") == "F", "COMPLETED").when(F.col("o_orderstatus") == "O", "SUSPENDED")
     total = _money(F.col("o_totalprice"))
-    return orders.select(
+    columns = [
         F.concat(F.lit("T"), order_key.cast("string")).alias("transaction_id"),
         store.alias("store_id"),
         F.concat(store, F.lit("-TERM-0"), (F.pmod(order_key, F.lit(4)) + 1).cast("string")).alias("terminal_id"),
@@ -63,8 +65,9 @@ def _headers(orders: DataFrame, *more: str) -> DataFrame:
         _money(F.lit(0)).alias("tax_amount"),
         total.alias("total_amount"),
         F.pmod(customer, F.lit(10)).cast("int").alias("item_count"),
-        *(more or [_tender(order_key, customer, end, total).alias("tender")]),
-    )
+        *(sections or [_tender(order_key, customer, end, total).alias("tender")]),
+    ]
+    return F.to_json(F.struct(*columns), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSX"})
 
 
 def _tender(order_key: Column, customer: Column, end: Column, total: Column) -> Column:
@@ -153,22 +156,18 @@ def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The documents as JSON text lines (``raw_json``)."""
     orders = read_table(spark, folder, "orders")
     blocks = _line_blocks(read_table(spark, folder, "lineitem"))
-    format_options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSX"}
-    joined = orders.join(blocks, orders["o_orderkey"] == blocks["order_key"])
+    is_first = F.row_number().over(Window.partitionBy("order_key").orderBy("block")) == 1
+    # All documents of an order are written next to each other, so that copies of its header meet before they are shuffled.
+    joined = orders.join(blocks.withColumn("is_first", is_first), F.col("o_orderkey") == F.col("order_key"), "left")
     order_key, lines = F.col("order_key"), F.col("lines")
-    with_lines = joined.withColumns(
-        {
-            "items": F.transform(lines, lambda line: _item(order_key, line)),
-            "incidents": F.transform(
-                F.filter(lines, lambda line: line["l_returnflag"] == "R"), lambda line: _incident(order_key, line)
-            ),
-        }
+    items = F.transform(lines, lambda line: _item(order_key, line))
+    returned = F.filter(lines, lambda line: line["l_returnflag"] == "R")
+    incidents = F.transform(returned, lambda line: _incident(order_key, line))
+    texts = F.array(
+        F.when(order_key.isNull() | F.col("is_first"), _document()),
+        F.when(order_key.isNotNull(), _document(items.alias("items"), incidents.alias("incidents"))),
     )
-    texts = [
-        frame.select(F.to_json(F.struct("*"), format_options).alias("raw_json"))
-        for frame in (_headers(orders), _headers(with_lines, "items", "incidents"))
-    ]
-    return texts[0].unionByName(texts[1])
+    return joined.select(F.explode(texts).alias("raw_json")).where(F.col("raw_json").isNotNull())
 
 
 def with_faults(lines: DataFrame, column: str = "raw_json") -> DataFrame:
@@ -195,11 +194,21 @@ class RetailTables:
     incidents: DataFrame
     tender: DataFrame
 
-    def sources(self) -> list:
-        return retail_sources(self.transactions, self.items, self.incidents, self.tender)
+    def sources(self, attributes: Sequence[str] | None = None) -> list:
+        return retail_sources(self.transactions, self.items, self.incidents, self.tender, attributes)
+
+    def log(self, attributes: Sequence[str] | None = None, **options) -> DataFrame:
+        return linked_log(self.sources(attributes), CATEGORY_RANKS, case_dimensions(self.transactions), **options)
 
-    def log(self, **options) -> DataFrame:
-        return linked_log(self.sources(), CATEGORY_RANKS, case_dimensions(self.transactions), **options)
+    def stored(self, root: str, attributes: Sequence[str] | None = None) -> RetailTables:
+        """The tables written below ``root``; with ``attributes`` only the columns that a log with those attributes reads."""
+        tables = {}
+        for name in (f.name for f in fields(RetailTables)):
+            table = getattr(self, name)
+            if attributes is not None:
+                table = table.select(columns_read(name, attributes, table.columns))
+            tables[name] = overwrite_table(table, f"{root}/{name}")
+        return RetailTables(**tables)
 
 
 def typed_tables(raw: DataFrame, **options) -> RetailTables:
@@ -216,9 +225,6 @@ def retail_tables(spark: SparkSession, folder: str) -> RetailTables:
     return typed_tables(overwrite_table(retail_raw(spark, folder), fresh_dir(spark, "retail-raw")))
 
 
-def retail_log(spark: SparkSession, folder: str) -> DataFrame:
-    """The linked retail log over stored typed tables."""
-    parsed = retail_tables(spark, folder)
-    root = fresh_dir(spark, "retail-typed")
-    stored = {f.name: overwrite_table(getattr(parsed, f.name), f"{root}/{f.name}") for f in fields(RetailTables)}
-    return RetailTables(**stored).log()
+def retail_log(spark: SparkSession, folder: str, attributes: Sequence[str] | None = None) -> DataFrame:
+    """The linked retail log over stored typed tables; ``attributes`` names the event attributes wanted (default: all)."""
+    return retail_tables(spark, folder).stored(fresh_dir(spark, "retail-typed"), attributes).log(attributes)
