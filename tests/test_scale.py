@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tracelark.plans import catalogue, retail
 from tracelark.plans.catalogue import all_queries
 from tracelark.plans.retail import retail_lines
+from tracelark.sources.documents import SECTIONS, header_rows, section_rows
 from tracelark.streaming import run_available
 
 DAY = dt.datetime(1996, 1, 2)
@@ -72,6 +73,29 @@ def test_a_state_stores_its_changes(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 5
 
 
+def test_a_document_is_parsed_once_for_a_table(spark, tmp_path):
+    texts = [
+        '{"transaction_id":"T1","items":[{"line_id":"a"},{"sku":"no id"}],"tender":[]}',
+        '{"transaction_id":"T2","items":[],"incidents":null}',
+        '{"items":[{"line_id":"b"}]}',
+        "not json",
+        "",
+        None,
+    ]
+    lines = spark.createDataFrame([(t,) for t in texts], "raw_json string")
+    retail.add_ingest_columns(lines).write.parquet(f"{tmp_path}/raw")
+    raw = spark.read.parquet(f"{tmp_path}/raw")
+    for rows in (header_rows(raw), *[section_rows(raw, section) for section in SECTIONS]):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert sum(line.count("[from_json(") + line.count("(from_json(") for line in plan.splitlines()) == 1
+    assert sorted(r.transaction_id for r in header_rows(raw).collect()) == ["T1", "T2"]
+    assert header_rows(raw, keep_null_ids=True).count() == len(texts)
+    assert [(r.transaction_id, r.line_id) for r in section_rows(raw, "items").collect()] == [("T1", "a")]
+    kept = section_rows(raw, "items", keep_null_ids=True).collect()
+    assert sorted((r.transaction_id or "", r.line_id or "") for r in kept) == [("", "b"), ("T1", ""), ("T1", "a")]
+    assert not section_rows(raw, "incidents").collect() and not section_rows(raw, "tender").collect()
+
+
 def test_a_log_carries_the_attributes_asked_for(spark, tmp_path):
     folder = orders_and_lines(spark, tmp_path)
     whole, some = retail.retail_log(spark, folder), retail.retail_log(spark, folder, ["line_id"])

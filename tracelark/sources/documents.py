@@ -46,22 +46,27 @@ SECTIONS = {
 WATERMARK = "1 hour"
 
 
+def _parsed(raw: DataFrame, fields: str, *more: str) -> DataFrame:
+    """The fields as columns, all null for a malformed line, and ``more`` of the raw columns.
+
+    A filter on fields would be moved ahead of a plain projection and parse every
+    document once more; it stays behind a generator.
+    """
+    return raw.select(F.inline(F.array(F.from_json("raw_json", fields))), *more)
+
+
 def header_rows(raw: DataFrame, keep_null_ids: bool = False) -> DataFrame:
     """Typed header columns with ``ingest_ts`` and ``record_hash``; copies still in."""
-    rows = raw.select(F.from_json("raw_json", HEADER_FIELDS).alias("doc"), "ingest_ts", "record_hash").select(
-        "doc.*", "ingest_ts", "record_hash"
-    )
+    rows = _parsed(raw, HEADER_FIELDS, "ingest_ts", "record_hash")
     return rows if keep_null_ids else rows.where(F.col("transaction_id").isNotNull())
 
 
 def section_rows(raw: DataFrame, section: str, keep_null_ids: bool = False) -> DataFrame:
     """One row per element of a document's array; copies still in."""
     fields, key = SECTIONS[section]
-    doc = F.from_json("raw_json", f"transaction_id STRING, {section} ARRAY<STRUCT<{fields}>>")
     rows = (
-        raw.select(doc.alias("doc"), "ingest_ts")
-        .where(F.col(f"doc.{section}").isNotNull() & (F.size(f"doc.{section}") > 0))
-        .select("doc.transaction_id", F.explode(f"doc.{section}").alias("part"), "ingest_ts")
+        _parsed(raw, f"transaction_id STRING, {section} ARRAY<STRUCT<{fields}>>", "ingest_ts")
+        .select("transaction_id", F.explode(section).alias("part"), "ingest_ts")
         .select("transaction_id", "part.*", "ingest_ts")
     )
     if keep_null_ids:
