@@ -73,6 +73,15 @@ def test_a_state_stores_its_changes(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 5
 
 
+def test_orders_without_a_customer_have_a_coupon(spark, tmp_path):
+    folder = orders_and_lines(spark, tmp_path)
+    orders = spark.read.parquet(f"{folder}/orders.parquet").withColumn("o_custkey", F.lit(None).cast("bigint"))
+    orders.write.parquet(f"{tmp_path}/null/orders.parquet")
+    spark.read.parquet(f"{folder}/lineitem.parquet").write.parquet(f"{tmp_path}/null/lineitem.parquet")
+    tender = retail.retail_tables(spark, f"{tmp_path}/null").tender
+    assert {(r.tender_type, r.card_brand) for r in tender.where("tender_id = 'P1'").collect()} == {("COUPON", None)}
+
+
 def test_a_document_is_parsed_once_for_a_table(spark, tmp_path):
     texts = [
         '{"transaction_id":"T1","items":[{"line_id":"a"},{"sku":"no id"}],"tender":[]}',
