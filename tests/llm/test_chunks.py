@@ -2,9 +2,11 @@
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import shared
 from tracelark.llm import neardup, pii, textops
+from tracelark.llm.tables import BATCH_BYTES, document_texts
 
 
 @pytest.mark.parametrize("size", [1, 100, 5_000, 2 << 20])
@@ -28,3 +30,15 @@ def test_replaced_texts_keep_all_other_columns(spark):
         else:
             assert r.text == text and r.n_chars == 5
     assert neardup.one_of_each(docs).count() <= 12
+
+
+def test_texts_go_to_python_by_bytes(spark, tmp_path):
+    long = spark.range(60).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 40_000).alias("text"))
+    long.coalesce(1).write.parquet(f"{tmp_path}/documents")
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["size", "n"])
+
+    sizes = document_texts(spark.read.parquet(f"{tmp_path}/documents")).mapInArrow(run, "size bigint, n bigint").collect()
+    assert sum(r.n for r in sizes) == 60 and max(r.size for r in sizes) < 2 * BATCH_BYTES

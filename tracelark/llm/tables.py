@@ -9,6 +9,10 @@ from ..session import fresh_dir
 #: A side of a join is broadcast only if it was counted and has at most this many rows of fixed width.
 BROADCAST_ROWS = 1_000_000
 
+#: Bytes of rows that go to a Python worker at once: with Spark's 10,000 rows of texts, JVM and worker would each hold 20 MB and more beside their heaps.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: Identifies a document row together with its doc_id; equal keys mean equal ids and texts.
 TEXT_HASH = "__text_hash"
 
@@ -28,7 +32,11 @@ def narrow(df: DataFrame, rows: int | None = None, bound: int = BROADCAST_ROWS)
 
 
 def document_texts(docs: DataFrame, *more: str) -> DataFrame:
-    """doc_id, text (null: empty) and the columns asked for; other columns, whatever their names, are left."""
+    """doc_id, text (null: empty) and the columns asked for; other columns, whatever their names, are left.
+
+    From now on the session sends Python at most ``BATCH_BYTES`` at once (one longer row is sent alone).
+    """
+    docs.sparkSession.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
