@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import shared
-from tracelark.llm import neardup, pii, textops
+from tracelark.llm import language, neardup, pii, textops
 from tracelark.llm.tables import BATCH_BYTES, document_texts
 
 
@@ -42,3 +42,10 @@ def test_texts_go_to_python_by_bytes(spark, tmp_path):
 
     sizes = document_texts(spark.read.parquet(f"{tmp_path}/documents")).mapInArrow(run, "size bigint, n bigint").collect()
     assert sum(r.n for r in sizes) == 60 and max(r.size for r in sizes) < 2 * BATCH_BYTES
+
+
+def test_the_driver_gives_memory_back_after_learning(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(language, "release", lambda: given.append(1))
+    model = language.train(shared.documents(spark, [(i, shared.prose(i, 20), "ab"[i % 2], "s", 5) for i in range(30)]))
+    assert sorted(model.labels) == ["a", "b"] and given == [1]

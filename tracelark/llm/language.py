@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .tables import TEXT_HASH, document_texts, held_out, narrow, text_hash, written
-from .textops import SpanHasher, chunks, mix, text_array, tidy, word_spans
+from .textops import SpanHasher, chunks, mix, release, text_array, tidy, word_spans
 
 CHAIN = 32
 #: Scoring takes so many words at a time, with so many more on both sides, whose messages reach them but which are answered elsewhere.
@@ -260,10 +260,17 @@ def training_spans(docs: DataFrame, documents: int = DOCUMENTS, spans: int = SPA
 
 
 def train(docs: DataFrame, documents: int = DOCUMENTS, modulo: int = 5) -> Model | None:
-    """The field of the labelled rows that are not held out; None without any."""
+    """The field of the labelled rows that are not held out; None without any.
+
+    The driver gives back what learning took, as it goes on with other work.
+    """
     rows = training_spans(docs, documents, modulo=modulo)
     rows.sort(key=lambda r: (r.lang, r.text))
-    return fit([r.text for r in rows], [r.lang for r in rows]) if rows else None
+    try:
+        return fit([r.text for r in rows], [r.lang for r in rows]) if rows else None
+    finally:
+        del rows
+        release()
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:

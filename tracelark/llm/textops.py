@@ -51,6 +51,12 @@ def _trim() -> Callable[[int], int]:
         return lambda pad: 0
 
 
+def release() -> None:
+    """Gives memory that numpy and Arrow have freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """For mapInArrow: when a task ends, its worker gives memory it has freed back to the system.
 
@@ -62,8 +68,7 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            _trim()(0)
+            release()
 
     return tidied
 
