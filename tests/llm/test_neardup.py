@@ -8,8 +8,9 @@ import pyarrow as pa
 import pytest
 
 from tests.llm import shared
-from tracelark.llm import fingerprint, neardup, textops
-from tracelark.llm.components import connected_components
+from tracelark import session
+from tracelark.llm import fingerprint, neardup, tables, textops
+from tracelark.llm.components import connected_components, joined_components
 
 
 def exact_components(texts: dict, width: int, top: int, bottom: int) -> dict:
@@ -155,3 +156,25 @@ def test_signatures_are_minima(spark):
         factor, shift = int(fingerprint._FACTORS[i]), int(fingerprint._SHIFTS[i])
         assert values[0, i] == min((factor * int(h) + shift) % 2**64 for h in hashes) >> 32
     assert (values[1] == 0xFFFFFFFF).all() and values.dtype == np.uint32
+
+
+def test_stars_need_no_round_and_few_files(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(tables, "fresh_dir", lambda spark, tag: made.append(session.fresh_dir(spark, tag)) or made[-1])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stars = spark.createDataFrame([(i, i % 5) for i in range(5, 400)] + [(3, 3), (8, 3)], "a bigint, b bigint")
+        found = connected_components(stars)
+        assert dict(found.collect()) == {i: i % 5 for i in range(400)}
+        assert len(made) == 1 and len(found.inputFiles()) <= 4 * spark.sparkContext.defaultParallelism < 97
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
+def test_further_links_join_components(spark):
+    roots = connected_components(spark.createDataFrame([(2, 1), (3, 2), (6, 5), (9, 8)], "a bigint, b bigint"))
+    more = spark.createDataFrame([(6, 3), (7, 7), (11, 9), (4, 11)], "a bigint, b bigint")
+    assert dict(joined_components(roots, more).collect()) == {1: 1, 2: 1, 3: 1, 5: 1, 6: 1, 4: 4, 8: 4, 9: 4, 11: 4}

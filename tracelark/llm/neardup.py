@@ -29,8 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .components import connected_components
-from .tables import TEXT_HASH, document_texts, narrow, text_hash, written
+from .components import connected_components, joined_components
+from .tables import TEXT_HASH, document_texts, narrow, text_hash, written, written_by_cores
 from .textops import overlap, shingle_rows, shingle_set, text_array, tidy
 
 SKETCH = 48
@@ -161,7 +161,7 @@ def _postings(nodes: DataFrame, k: int, similarity: float) -> DataFrame:
     )
     # rare values of one node come first in its order, so rank counts on from them
     possible = ranked.join(facts, "node").where((F.col("m") >= needed) & (F.col("k") - F.col("m") + F.col("rank") <= F.col("k") - needed + 1))
-    return written(possible.select("node", "n", "v", "centre"), "postings")
+    return written_by_cores(possible.select("node", "n", "v", "centre"), "postings")
 
 
 def _star_pairs(lists: DataFrame, similarity: float) -> DataFrame:
@@ -199,7 +199,7 @@ def _prefixes(postings: DataFrame, roots: DataFrame, sets: DataFrame, similarity
     top, bottom = ratio(similarity)
     placed = _rooted(postings.select("v", "node", "n"), roots)
     split = placed.groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("v")
-    members = written(placed.join(split, "v", "left_semi").select("node", "n").distinct(), "open")
+    members = written_by_cores(placed.join(split, "v", "left_semi").select("node", "n").distinct(), "open")
 
     def values(batches):
         for batch in batches:
@@ -226,7 +226,7 @@ def _prefixes(postings: DataFrame, roots: DataFrame, sets: DataFrame, similarity
     )
     # values of one node only stand before all others, so rank counts on from them
     rest = ranked.join(members, "node").withColumn("rest", (F.col("m") - F.col("rank") + 1).cast("bigint"))
-    return written(rest.where(F.col("rest") * bottom >= F.col("n") * top).select("v", "node", "n", "centre", "rest"), "prefixes")
+    return written_by_cores(rest.where(F.col("rest") * bottom >= F.col("n") * top).select("v", "node", "n", "centre", "rest"), "prefixes")
 
 
 def _cross_pairs(prefixes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
@@ -241,6 +241,11 @@ def _cross_pairs(prefixes: DataFrame, roots: DataFrame, similarity: float) -> Da
     return pairs.select("a", "b").distinct()
 
 
+def _further(roots: DataFrame, found: DataFrame) -> DataFrame:
+    links = written_by_cores(found, "links")
+    return written_by_cores(joined_components(roots, links), "roots") if links.take(1) else roots
+
+
 def components_of(postings: DataFrame, sets: DataFrame, similarity: float, estimate: Callable[[DataFrame], DataFrame] = lambda p: p) -> DataFrame:
     """(node, root) of all nodes with links, given lists (v, node, n, centre) in which every similar pair meets.
 
@@ -248,19 +253,17 @@ def components_of(postings: DataFrame, sets: DataFrame, similarity: float, estim
     still apart; ``estimate`` drops pairs before their whole sets are compared.
     """
     alone = postings.withColumn("root", F.col("node")).withColumn("rest", F.col("n"))
-    tried = written(_star_pairs(alone, similarity), "stars")
-    links = written(_confirmed(estimate(tried), sets, similarity), "links")
-    roots = written(connected_components(links), "roots")
+    tried = written_by_cores(_star_pairs(alone, similarity), "stars")
+    links = written_by_cores(_confirmed(estimate(tried), sets, similarity), "links")
+    roots = written_by_cores(connected_components(links), "roots")
     prefixes = _prefixes(postings, roots, sets, similarity)
-    again = written(_star_pairs(_rooted(prefixes, roots), similarity).join(tried, ["a", "b"], "left_anti"), "stars")
+    again = written_by_cores(_star_pairs(_rooted(prefixes, roots), similarity).join(tried, ["a", "b"], "left_anti"), "stars")
     if again.take(1):
         tried = tried.union(again)
-        links = written(links.union(_confirmed(estimate(again), sets, similarity)), "links")
-        roots = written(connected_components(links), "roots")
-    others = _cross_pairs(prefixes, roots, similarity).join(tried, ["a", "b"], "left_anti")
-    more = written(_confirmed(estimate(others), sets, similarity), "links")
-    if more.take(1):
-        roots = written(connected_components(links.union(more)), "roots")
+        roots = _further(roots, _confirmed(estimate(again), sets, similarity))
+    others = written_by_cores(_cross_pairs(prefixes, roots, similarity).join(tried, ["a", "b"], "left_anti"), "pairs")
+    if others.take(1):
+        roots = _further(roots, _confirmed(estimate(others), sets, similarity))
     return roots
 
 
@@ -278,7 +281,7 @@ def similar_classes(docs: DataFrame, width: int = 5, similarity: float = 0.8, k:
     nodes = filled.groupBy("high", "low").agg(
         F.min_by(F.struct("doc_id", TEXT_HASH, "n_shingles", "sketch"), F.struct("doc_id", TEXT_HASH)).alias("x")
     )
-    nodes = written(
+    nodes = written_by_cores(
         nodes.select(
             F.monotonically_increasing_id().alias("node"),
             "high",
@@ -291,7 +294,7 @@ def similar_classes(docs: DataFrame, width: int = 5, similarity: float = 0.8, k:
         "nodes",
     )
     postings = _postings(nodes, k, similarity)
-    members = written(nodes.join(postings.select("node").distinct(), "node", "left_semi"), "members")
+    members = written_by_cores(nodes.join(postings.select("node").distinct(), "node", "left_semi"), "members")
     sets = written(full_sets(docs, members, width).dropDuplicates(["node"]), "sets")
     roots = components_of(postings, sets, similarity, lambda pairs: _estimated(pairs, members, k, similarity))
     named = nodes.select(F.col("node").alias("root"), F.col("high").alias("class_high"), F.col("low").alias("class_low"))
@@ -312,7 +315,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, k:
     component_id is the smallest doc_id of the component (null if all are null),
     kept tells whether the row has that id.  A row without runs is its own component.
     """
-    placed = written(similar_classes(docs, width, similarity, k), "classes")
+    placed = written_by_cores(similar_classes(docs, width, similarity, k), "classes")
     smallest = placed.where("high is not null").groupBy("high", "low").agg(F.min("doc_id").alias("smallest"))
     joined = placed.join(smallest, ["high", "low"], "left")
     component = F.when(F.col("high").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))

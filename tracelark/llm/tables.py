@@ -9,6 +9,9 @@ from ..session import fresh_dir
 #: A side of a join is broadcast only if it was counted and has at most this many rows of fixed width.
 BROADCAST_ROWS = 1_000_000
 
+#: Many small files take longer to open, commit and list than their rows to compute.
+FILES_PER_CORE = 4
+
 #: Bytes of rows that go to a Python worker at once: with Spark's 10,000 rows of texts, JVM and worker would each hold 20 MB and more beside their heaps.
 BATCH_BYTES = 4 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -24,6 +27,14 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_by_cores(df: DataFrame, tag: str) -> DataFrame:
+    """The same for a table of ids and numbers out of a shuffle: at most ``FILES_PER_CORE`` files a core, however many partitions there were.
+
+    A task writes several partitions, one after the other, so what it holds at once does not grow.
+    """
+    return written(df.coalesce(FILES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism), tag)
+
+
 def narrow(df: DataFrame, rows: int | None = None, bound: int = BROADCAST_ROWS) -> DataFrame:
     """With a broadcast hint if its counted rows are few, else as it is (a shuffle join)."""
     if rows is None:
