@@ -2,14 +2,16 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tracelark.operators.dedup import drop_stream_copies
 from tracelark.operators.quality import ITEM_RULES, clean_rows, quarantined_rows, violation_counts
+from tracelark.plans import catalogue
 from tracelark.plans.retail import retail_lines, typed_tables, with_faults
-from tracelark.session import fresh_dir
+from tracelark.session import fresh_dir, shared_dir
 from tracelark.sources import add_ingest_columns
 from tracelark.sources.layout import clustered
 from tracelark.sources.tables import by_keys, overwrite_table
@@ -57,6 +59,29 @@ def test_a_repeated_batch_changes_nothing(spark, folder):
     assert counted == {r.rule: r.violations for r in violation_counts(items, ITEM_RULES).collect()}
 
 
+def test_rows_are_stored_once(spark, fixture_lines):
+    """Besides tables, keys, filters and counts a batch leaves nothing behind: no staged documents, no arrivals."""
+    fanned = TableFanout(spark, fresh_dir(spark, "fanout"))
+    others = set(os.listdir(shared_dir(spark)))
+    for batch in range(2):
+        fanned.write(raw(spark, fixture_lines, batch), batch)
+    assert sorted(os.listdir(fanned.root)) == ["counts", "keys", "staged", "tables"]
+    assert not os.listdir(f"{fanned.root}/staged")
+    assert {p for p in set(os.listdir(shared_dir(spark))) - others if not p.startswith("fanout-")} == set()
+    read = spark.read.option("recursiveFileLookup", "true").parquet(f"{fanned.root}/tables/silver_transaction_items")
+    assert read.count() == fanned.table("silver_transaction_items").count() + fanned.quarantine("silver_transaction_items").count()
+    assert fanned.table("silver_transactions").groupBy("transaction_id").count().where("count > 1").count() == 0
+
+
+def test_documents_land_compressed_and_are_built_once(spark, folder):
+    fanned = catalogue._fanned(spark, folder, True)
+    landing = f"{fanned.root.split('/g0/')[0]}/landing"
+    landed = [name for name in os.listdir(landing) if name.startswith("part-")]
+    assert landed and all(name.endswith(".gz") for name in landed)
+    assert spark.read.text(landing).count() == retail_lines(spark, folder).count()
+    assert not [name for name in os.listdir(shared_dir(spark)) if name.startswith("built-")]
+
+
 def test_bronze_is_read_once(spark, fixture_lines, monkeypatch):
     root = fresh_dir(spark, "once")
     spark.createDataFrame([(line,) for line in fixture_lines], "value string").coalesce(1).write.text(f"{root}/landing")
