@@ -1,6 +1,7 @@
 """Appends of touched cases against the full refresh; sketches that merge."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -10,7 +11,7 @@ from tracelark.operators import dfg, rollup
 from tracelark.operators.event_log import LOG_ORDER
 from tracelark.operators.sequence import link_events
 from tracelark.plans import catalogue, logs
-from tracelark.session import fresh_dir
+from tracelark.session import fresh_dir, shared_dir
 from tracelark.streaming import IncrementalGraph
 
 EVENTS = (
@@ -105,6 +106,25 @@ def test_a_failed_append_changes_nothing(spark, monkeypatch):
     same_as_full(spark, graph, first + [event("a", "C", 5)], [("a", "s1", "x")])
 
 
+@pytest.mark.parametrize("hot_rows", [None, 30, 2_000_000])
+def test_long_cases_append_alike_and_nothing_else_is_left(spark, hot_rows):
+    """Appends that reopen cases, some too long for one task, in buckets with others that stay as they are."""
+    random.seed(8)
+    names = ["A", "B", "X_RAISED", "X_RESOLVED", "Y_RAISED", "Y_RESOLVED"]
+    dims = [(f"c{i}", f"s{i % 2}", None if i == 3 else "ch") for i in range(12)]
+    graph = IncrementalGraph(spark, fresh_dir(spark, "increment"), buckets=3, hot_rows=hot_rows)
+    others = set(os.listdir(shared_dir(spark)))
+    every = []
+    for part, chosen in enumerate((["c0"] * 40 + [f"c{i}" for i in range(10)], ["c0"] * 5 + ["c2", "c11", None], ["c0", "c0", "c3"])):
+        rows = [event(c, random.choice(names), random.randrange(-500 * part, 500), f"{part}-{i}") for i, c in enumerate(chosen)]
+        every += rows
+        appended(spark, graph, rows, dims if part == 1 else [d for d in dims if d[0] in chosen])
+        same_as_full(spark, graph, every, dims)
+    assert not {"row_state", "row_was"} & set(graph.log().columns)
+    left = {n.rsplit("-", 1)[0] for n in set(os.listdir(shared_dir(spark))) - others}
+    assert not left & {"new-events", "touched", "known", "old-cases", "linked", "append"}
+
+
 def test_sketches_merge_within_their_error(spark):
     k = 200
     random.seed(5)

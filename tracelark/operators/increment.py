@@ -13,9 +13,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .dfg import DIMS, _merge, assemble_nodes, counted_percentiles, edge_observations, incident_sums, node_occurrences
+from .dfg import DIMS, _merge, assemble_nodes, counted_percentiles, edge_observations, incident_changes
 
 EDGE = ("source_activity", "target_activity")
 NODE = ("activity_name", "activity_category")
@@ -32,26 +32,51 @@ def summed_columns(dims: Sequence[str] = DIMS) -> dict[str, tuple[list[str], lis
 
 
 def graph_sums(linked: DataFrame, precision: str = "second", dims: Sequence[str] = DIMS) -> dict[str, DataFrame]:
-    """The four tables for the cases of a linked log."""
-    observed = edge_observations(linked, precision, dims)
-    edge = [*dims, *EDGE]
+    """The four tables for the cases of a linked log.
+
+    With columns ``now`` and ``was`` (1 or 0) they hold what the cases add as they are now less what they added as they were;
+    a row that is the same in both need not come twice.
+    """
+    rows = linked if "now" in linked.columns else linked.withColumns({"now": F.lit(1), "was": F.lit(0)})
+    observed = edge_observations(rows, precision, dims, keep=("now", "was"))
+    changed = F.col("now") != F.col("was")
+    edge, node = [*dims, *EDGE], [*NODE, *dims]
+    difference = F.sum(F.col("now") - F.col("was"))
+
+    def held(now_or_was: str) -> Column:
+        """Whether the case has the edge or node at all."""
+        return F.when(F.col("case_id").isNotNull(), (F.col(now_or_was) > 0).cast("int")).otherwise(0)
+
+    in_case = observed.groupBy("case_id", *edge).agg(F.sum("now").alias("now"), F.sum("was").alias("was"))
+    starts, ends = F.col("event_sequence") == 1, F.col("is_end") & F.col("case_id").isNotNull()
+    step = F.col("now") - F.col("was")
+    per_case = rows.groupBy("case_id", *node).agg(
+        F.sum("now").alias("now"),
+        F.sum("was").alias("was"),
+        F.sum(F.when(starts, step).otherwise(0)).alias("starts"),
+        F.sum(F.when(ends, step).otherwise(0)).alias("ends"),
+    )
+    per_case = per_case.where(changed | (F.col("starts") != 0) | (F.col("ends") != 0))
     return {
-        "edge_values": observed.groupBy(*edge, "duration_ms").agg(F.count("*").alias("n")),
-        "edge_cases": observed.groupBy("case_id", *edge).agg(F.lit(1)).groupBy(*edge).agg(F.count("case_id").alias("case_count")),
-        "node_counts": node_occurrences(linked, dims),
-        "incident_sums": incident_sums(linked, precision, dims),
+        "edge_values": observed.where(changed).groupBy(*edge, "duration_ms").agg(difference.alias("n")),
+        "edge_cases": in_case.where(changed).groupBy(*edge).agg(F.sum(held("now") - held("was")).alias("case_count")),
+        "node_counts": per_case.groupBy(*node).agg(
+            difference.alias("occurrence_count"),
+            F.sum(held("now") - held("was")).alias("case_count"),
+            F.sum("starts").alias("start_count"),
+            F.sum("ends").alias("end_count"),
+        ),
+        "incident_sums": incident_changes(rows, precision, dims),
     }
 
 
 def changed_sums(
-    before: Mapping[str, DataFrame], out: Mapping[str, DataFrame], into: Mapping[str, DataFrame], dims: Sequence[str] = DIMS
+    before: Mapping[str, DataFrame], change: Mapping[str, DataFrame], dims: Sequence[str] = DIMS
 ) -> dict[str, DataFrame]:
-    """``before`` without ``out`` and with ``into``; each may be empty.  Rows that come to nothing are gone."""
+    """``before``, which may be empty, with ``change``.  Rows that come to nothing are gone."""
     result = {}
     for name, (keys, sums) in summed_columns(dims).items():
-        parts = [t[name] for t in (before, into) if t]
-        if out:
-            parts.append(out[name].withColumns({s: -F.col(s) for s in sums}))
+        parts = [t[name] for t in (before, change) if t]
         stacked = reduce(DataFrame.unionByName, parts)
         total = stacked.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
         result[name] = total.where(reduce(lambda a, b: a | b, [F.col(s) != 0 for s in sums]))

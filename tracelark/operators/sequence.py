@@ -44,6 +44,7 @@ def link_events(
     dims: DataFrame | None = None,
     hot_rows: int | None = HOT_CASE_ROWS,
     probe: DataFrame | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``event_sequence``, ``next_activity``, ``next_ts``, ``is_end`` and the case dimensions.
 
@@ -52,16 +53,18 @@ def link_events(
     case and is left-joined after the window, whose partitioning and order the
     join then reuses.  ``probe`` stands in for
     ``events`` when cases are counted, see ``long_cases``; it may count too
-    much, not too little.  ``hot_rows=None`` skips the count.
+    much, not too little.  ``hot_rows=None`` skips the count.  ``within`` names
+    columns that depend on the case alone and by which the rows are already
+    partitioned.
     """
     kept = events.drop(*[name for name in LINKS if name not in order and name in events.columns])
     if not hot_rows:
-        return _with_dims(_by_case(kept, order), dims)
+        return _with_dims(_by_case(kept, order, within), dims)
     shared_dir(kept.sparkSession)  # checkpoint() needs the folder
     hot = long_cases(probe if probe is not None else events, hot_rows).checkpoint()
     found, rows = hot.agg(F.count("*"), F.sum("n")).first()
     if not found:
-        return _with_dims(_by_case(kept, order), dims)
+        return _with_dims(_by_case(kept, order, within), dims)
 
     def small(frame: DataFrame, size: int) -> DataFrame:
         return F.broadcast(frame) if size <= BROADCAST_ROWS else frame
@@ -76,15 +79,15 @@ def link_events(
         long_dims = small(dims.join(keys, dims[CASE] == hot[CASE], "left_semi"), found)
     # a case covers adjacent ranges, so there are at most ranges + cases summary rows
     linked = _by_range(long, order, ranges, lambda summary: small(summary, ranges + found))
-    return _with_dims(_by_case(short, order), dims).unionByName(_with_dims(linked, long_dims))
+    return _with_dims(_by_case(short, order, within), dims).unionByName(_with_dims(linked, long_dims))
 
 
 def _with_dims(linked: DataFrame, dims: DataFrame | None) -> DataFrame:
     return linked if dims is None else linked.join(dims, CASE, "left")
 
 
-def _by_case(events: DataFrame, order: Sequence[str]) -> DataFrame:
-    window = Window.partitionBy(CASE).orderBy(*order)
+def _by_case(events: DataFrame, order: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    window = Window.partitionBy(CASE, *within).orderBy(*order)
     number = F.col("event_sequence") if "event_sequence" in order else F.row_number().over(window).cast("bigint")
     return events.select(
         *[F.col(name) for name in events.columns if name != "event_sequence"],
