@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 
 from tracelark.operators.dedup import drop_copies, drop_stream_copies
 from tracelark.plans.retail import typed_tables
-from tracelark.session import fresh_dir
+from tracelark.session import RELEASE, fresh_dir, shuffles_released
 from tracelark.sources import add_ingest_columns, raw_lines, source_path, write_ndjson
 from tracelark.streaming import Pipeline, run_available
 
 START = dt.datetime(2024, 1, 1)
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.length())) if name.startswith("shuffle_")}
+
+
 def append_lines(spark, landing, lines):
     spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.mode("append").text(landing)
 
@@ -77,6 +82,23 @@ BATCHES = [
 ]
 
 
+def test_a_refresh_leaves_no_shuffle_files(spark, fixture_lines):
+    root = fresh_dir(spark, "released")
+    append_lines(spark, f"{root}/landing", fixture_lines)
+    pipeline = Pipeline(spark, f"{root}/landing", root)
+    pipeline.ingest()
+    pipeline.parse()
+    before, setting = shuffle_files(spark), spark.conf.get(RELEASE, None)
+    pipeline.refresh()
+    assert not shuffle_files(spark) - before
+    with pytest.raises(RuntimeError), shuffles_released(spark):
+        assert spark.conf.get(RELEASE) == "true"
+        raise RuntimeError
+    assert spark.conf.get(RELEASE, None) == setting != "true"
+    log = pipeline.table("gold_event_log").groupBy("case_id").count()
+    assert len(log.collect()) == len(log.collect()) > 0
+
+
 def test_forever_remembers_every_key(spark):
     root = fresh_dir(spark, "forever")
     stream = stream_of(spark, f"{root}/in", BATCHES)

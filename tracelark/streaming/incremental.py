@@ -22,7 +22,7 @@ from ..operators.dfg import DIMS
 from ..operators.event_log import LOG_ORDER
 from ..operators.increment import changed_sums, edges_of_sums, graph_sums, nodes_of_sums, summed_columns
 from ..operators.sequence import CASE, HOT_CASE_ROWS, LINKS, link_events
-from ..session import fresh_dir
+from ..session import fresh_dir, shuffles_released
 from ..sources.snapshots import Folder, Snapshots
 from ..sources.tables import overwrite_table, remove_table
 
@@ -75,6 +75,10 @@ class IncrementalGraph:
         A case without a row in ``dims`` keeps the dimensions it has.  Events of any
         time may come for any case.  No events change nothing but the version.
         """
+        with shuffles_released(self.spark):
+            return self._append(events, dims)
+
+    def _append(self, events: DataFrame, dims: DataFrame) -> Appended:
         snapshots = self.snapshots
         folders = snapshots.current()
         work = fresh_dir(self.spark, "append")
