@@ -58,13 +58,14 @@ def link_events(
     partitioned.
     """
     kept = events.drop(*[name for name in LINKS if name not in order and name in events.columns])
+    more = (within,) if within else ()
     if not hot_rows:
-        return _with_dims(_by_case(kept, order, within), dims)
+        return _with_dims(_by_case(kept, order, *more), dims)
     shared_dir(kept.sparkSession)  # checkpoint() needs the folder
     hot = long_cases(probe if probe is not None else events, hot_rows).checkpoint()
     found, rows = hot.agg(F.count("*"), F.sum("n")).first()
     if not found:
-        return _with_dims(_by_case(kept, order, within), dims)
+        return _with_dims(_by_case(kept, order, *more), dims)
 
     def small(frame: DataFrame, size: int) -> DataFrame:
         return F.broadcast(frame) if size <= BROADCAST_ROWS else frame
@@ -79,7 +80,7 @@ def link_events(
         long_dims = small(dims.join(keys, dims[CASE] == hot[CASE], "left_semi"), found)
     # a case covers adjacent ranges, so there are at most ranges + cases summary rows
     linked = _by_range(long, order, ranges, lambda summary: small(summary, ranges + found))
-    return _with_dims(_by_case(short, order, within), dims).unionByName(_with_dims(linked, long_dims))
+    return _with_dims(_by_case(short, order, *more), dims).unionByName(_with_dims(linked, long_dims))
 
 
 def _with_dims(linked: DataFrame, dims: DataFrame | None) -> DataFrame:
